@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampleloom.functions.text import full, full_col
-from sampleloom.llm.bpe import encode_corpus
+from sampleloom.llm.bpe import count_tokens, encode_corpus
 from sampleloom.llm.canonical import map_to_entries, ontology_lexicon
+from sampleloom.llm.langid import language_segments, wrong_or_mixed
+from sampleloom.llm.packing import pack
 from sampleloom.llm.term_counts import mark_terms, term_counts
 from sampleloom.operators.wide_table import attributes_of
-from sampleloom.session import shipped, table
+from sampleloom.session import cut, shipped, table
 
 
 def _attribute_names(types: DataFrame, target: str) -> set[str]:
@@ -59,5 +61,27 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"))
 
 
-QUERIES = {k: shipped(f) for k, f in {"p4_found": p4_found, "p5_found": p5_found, "p5_terms": p5_terms, "p6_ids": p6_ids}.items()}
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with text, or its pieces, in a container of 2,048 tokens."""
+    docs = table(spark, d, "documents").filter("text <> ''")
+    packed = pack(cut(count_tokens(docs).withColumnRenamed("doc_id", "key")))
+    return packed.select(F.col("key").alias("doc_id"), "part_no", "container_id", "from_token", F.col("size").alias("n_tokens"))
+
+
+def _languages(spark: SparkSession, d: str) -> list[str]:
+    return sorted(r[0] for r in table(spark, d, "languages").select("lang").distinct().collect() if r[0])
+
+
+def p8_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Language and confidence of every document or segment."""
+    return language_segments(table(spark, d, "documents").select("doc_id", "text", "lang"), _languages(spark, d))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose label is wrong or missing, and those in several languages."""
+    return wrong_or_mixed(p8_segments(spark, d), _languages(spark, d)).select("doc_id", "seg_no", "lang")
+
+
+_ALL = (p4_found, p5_found, p5_terms, p6_ids, p7_containers, p8_found, p8_segments)
+QUERIES = {f.__name__: shipped(f) for f in _ALL}
 ORACLE: dict[str, str] = {}
