@@ -35,7 +35,6 @@ LEVEL = 3
 _MEMO_LIMIT = 300_000
 
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"')\]]*\s+|\s*\n\s*\n\s*|\s+[/|]\s+|(?<=[;])\s+")
-_TOKEN = re.compile(r"\S+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _SEQUENCE = re.compile(r"[acgtun]{8,}")
 
@@ -44,16 +43,24 @@ def sentences(text: str) -> list[str]:
     return [s for s in _SENTENCE.split(html.unescape(text) if "&" in text else text) if s]
 
 
-def language_words(sentence: str, neutral: frozenset[str] = frozenset()) -> str:
-    """Lower-case words of ``sentence`` that can have a language, joined by spaces."""
-    out = []
-    for t in sentence.lower().split():
-        if t.isascii() and any("0" <= ch <= "9" for ch in t):
-            continue
-        for w in _WORD.findall(t):
-            if w not in neutral and not _SEQUENCE.fullmatch(w):
-                out.append(w)
-    return " ".join(out)
+class WordFilter(dict):
+    """Token -> its lower-case words that can have a language, joined by spaces; each distinct token is read once."""
+
+    def __init__(self, neutral: frozenset[str] = frozenset()) -> None:
+        self.neutral = neutral
+
+    def __missing__(self, token: str) -> str:
+        if len(self) > _MEMO_LIMIT:
+            self.clear()
+        if token.isascii() and any("0" <= ch <= "9" for ch in token):
+            got = ""
+        else:
+            got = " ".join(w for w in _WORD.findall(token) if w not in self.neutral and not _SEQUENCE.fullmatch(w))
+        self[token] = got
+        return got
+
+    def words(self, sentence: str) -> str:
+        return " ".join(filter(None, map(self.__getitem__, sentence.lower().split())))
 
 
 @dataclass(frozen=True)
@@ -69,12 +76,13 @@ def fit(rows: list[tuple[str, str]]) -> LanguageModel:
     A sentence is kept for its label only if its words, weighted by how exclusive they are to each language, speak for
     that label most. The most frequent sentences come last in a dictionary, where they are cheapest to refer to.
     """
+    plain = WordFilter()
     docs: dict[str, list[list[str]]] = defaultdict(list)
     for lang, text in sorted(rows):
         docs[lang].append(sentences(text))
     share: dict[str, dict[str, float]] = defaultdict(dict)
     for lang, ds in docs.items():
-        df = Counter(w for d in ds for w in {w for s in d for w in language_words(s).split()})
+        df = Counter(w for d in ds for w in {w for s in d for w in plain.words(s).split()})
         for w, n in df.items():
             share[w][lang] = n / len(ds)
     langs = tuple(sorted(docs))
@@ -84,11 +92,12 @@ def fit(rows: list[tuple[str, str]]) -> LanguageModel:
         weight[w] = {k: v / total for k, v in x.items()}
     # spread evenly over most languages: no language of its own
     neutral = frozenset(w for w, x in weight.items() if len(langs) >= 4 and len(x) > 0.6 * len(langs) and max(x.values()) < 0.3)
+    worded = WordFilter(neutral)
     kept: dict[str, Counter] = {k: Counter() for k in langs}
     for lang, ds in docs.items():
         for d in ds:
             for s in d:
-                words = language_words(s, neutral)
+                words = worded.words(s)
                 votes: Counter = Counter()
                 for w in words.split():
                     for k, v in weight[w].items():
@@ -129,6 +138,7 @@ class Classifier:
             raw = zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             raw.precompute_compress(level=LEVEL)
             self.compress.append(zstandard.ZstdCompressor(dict_data=raw, write_checksum=False, write_content_size=False, write_dict_id=False).compress)
+        self.words = WordFilter(model.neutral).words
         self.memo: dict[str, tuple[int, ...]] = {}
 
     def cost(self, words: str) -> tuple[int, ...]:
@@ -146,7 +156,7 @@ class Classifier:
             return []
         costs = []
         for s in sentences(text):
-            words = language_words(s, self.model.neutral)
+            words = self.words(s)
             if words:
                 costs.append(self.cost(words))
         if not costs:
@@ -154,6 +164,9 @@ class Classifier:
         table = np.array(costs, np.int64)
         whole = table.sum(axis=0)
         n, k = table.shape
+        favourite = table.argmin(axis=1)
+        if (favourite == favourite[0]).all():  # no change of language can cost less
+            return self._sure([[int(favourite[0]), whole]])
         best = np.zeros((n, k), np.int64)
         total = table[0].copy()
         for i in range(1, n):
@@ -172,8 +185,10 @@ class Classifier:
                 runs[-1][1] = runs[-1][1] + table[i]
             else:
                 runs.append([lang, table[i].copy()])
-        if len(runs) == 1:
-            runs = [[runs[0][0], whole]]
+        return self._sure(runs)
+
+    def _sure(self, runs: list[list]) -> list[tuple[str, float]]:
+        """The runs with a clear margin; neighbours of one language are one run."""
         sure: list[tuple[int, np.ndarray]] = []
         for lang, sizes in runs:
             if self._narrow(lang, sizes):
