@@ -36,7 +36,7 @@ def _unicode_form(form: Callable[[str], str]):
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             known = {v: form(v) for v in s.dropna().unique()}
-            yield s.map(known)
+            yield pd.Series([known.get(v) for v in s], dtype=object)
 
     return apply
 

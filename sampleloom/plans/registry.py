@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from sampleloom.plans import training_data
+from sampleloom.plans import date_queries, text_queries, training_data
 from sampleloom.session import shipped
 
-_MODULES = (training_data,)
+_MODULES = (training_data, text_queries, date_queries)
 
 
 def all_queries() -> dict:
