@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from sampleloom.plans import date_queries, text_queries, training_data
+from sampleloom.plans import date_queries, entity_queries, pipeline_queries, relational_queries, text_queries, training_data
 from sampleloom.session import shipped
 
-_MODULES = (training_data, text_queries, date_queries)
+_MODULES = (training_data, text_queries, date_queries, relational_queries, entity_queries, pipeline_queries)
 
 
 def all_queries() -> dict:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sampleloom.functions.strings import html_text, none_of
+from sampleloom.operators.ranking import top_examples
 
 # Relevance flags in their order and the texts that affirm one.
 RELEVANCE = ("Agricultural", "Environmental", "Veterinary")
@@ -82,26 +83,6 @@ def attach_accessions(rows: DataFrame, key: str, ids: str, projects: DataFrame)
 
 
 def unresolved_links(links: DataFrame, projects: DataFrame) -> DataFrame:
-    """``(id, samples, examples)`` of linked ids without a project: distinct samples and the three first of them.
-
-    Only the three smallest accessions of each partition and id travel, whatever a hot id holds.
-    """
-    missing = links.filter("id is not null").join(projects.select("id").distinct(), "id", "left_anti").groupBy("id", "accession").agg(F.lit(1).alias("one"))
-    first = F.array_join(F.slice(F.array_sort(F.collect_set(F.when(F.col("r") <= 3, F.col("accession")))), 1, 3), "||")
-    ranked = top_per_group(missing, ["id"], ["accession"], 3)
-    return ranked.groupBy("id").agg(F.sum("n").alias("samples"), first.alias("examples"))
-
-
-def top_per_group(rows: DataFrame, group: list[str], order: list[str], k: int) -> DataFrame:
-    """Rows with rank ``r`` up to ``k`` of each group, and one row per salted part with the other rows' count in ``n``.
-
-    Each group is first ranked inside salted parts, so that no task holds a whole hot group.
-    """
-    from pyspark.sql import Window
-
-    salt = F.pmod(F.xxhash64(*order), F.lit(64))
-    part = rows.withColumn("__salt", salt)
-    local = part.withColumn("__r", F.row_number().over(Window.partitionBy(*group, "__salt").orderBy(*order)))
-    count = local.groupBy(*group).agg(F.count("*").alias("__n"))
-    best = local.filter(F.col("__r") <= k).withColumn("r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("r") <= k)
-    return best.drop("__salt", "__r").join(count, group).withColumn("n", F.when(F.col("r") == 1, F.col("__n")).otherwise(0)).drop("__n")
+    """``(id, samples, examples)`` of ``links (id, accession)`` without a project: distinct samples and the first three."""
+    missing = links.filter("id is not null").join(projects.select("id").distinct(), "id", "left_anti").select("id", "accession").distinct()
+    return top_examples(missing, ["id"], ["accession"], 3).select("id", F.col("n").alias("samples"), F.array_join("examples.accession", "||").alias("examples"))

@@ -9,7 +9,7 @@ from sampleloom.functions.strings import none_of
 
 # Root attributes of a sample and the look of a root date.
 ROOT_ATTRIBUTES = ("submission_date", "last_update", "publication_date", "access")
-ROOT_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T|\z)"
+ROOT_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}"
 SAMPLE_SCHEMA = (
     "_accession string, " + ", ".join(f"_{a} string" for a in ROOT_ATTRIBUTES) + ", "
     "Attributes struct<Attribute:array<struct<_VALUE:string,_harmonized_name:string,_attribute:string,_attribute_name:string>>>, "
@@ -24,28 +24,37 @@ def _scan(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
     return spark.read.format("xml").schema(schema).option("rowTag", tag).option("ignoreSurroundingSpaces", "false").option("mode", "PERMISSIVE").load(path)
 
 
+_CANDIDATES = "array<struct<attribute:string,value:string,xml_source:string>>"
+
+
+def candidates_of(root: dict[str, Column], inner: Column) -> Column:
+    """Candidates of a record in reading order: root attributes that look like a date and time, then the inner ones.
+
+    ``inner`` is ``array<struct<harmonized,attribute,value>>``; the harmonized name counts if it is there. Candidates
+    without a name or value are left out; values keep their spaces.
+    """
+    outer = F.filter(F.array(*[F.struct(F.lit(a).alias("attribute"), c.alias("value"), F.lit("biosample_root").alias("xml_source")) for a, c in root.items()]), lambda c: c["value"].rlike(ROOT_DATE))
+    named = F.transform(inner, lambda a: F.struct(F.coalesce(F.nullif(a["harmonized"], F.lit("")), a["attribute"]).alias("attribute"), a["value"].alias("value"), F.lit("attribute").alias("xml_source")))
+    usable = F.filter(named, lambda c: c["attribute"].isNotNull() & (c["attribute"] != "") & c["value"].isNotNull() & (c["value"] != ""))
+    return F.concat(outer, F.coalesce(usable, F.array().cast(_CANDIDATES)))
+
+
 def scan_samples(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ``BioSample`` element of a plain or compressed file; values keep their spaces.
+    """One row per ``BioSample`` element of a plain or compressed file: accession (``unknown`` if absent), candidates, project ids.
 
-    Columns: accession (``unknown`` if absent), candidates in reading order (dates among the root attributes first),
-    linked project ids. A compressed file is one task, so the rows are spread right after the scan.
+    A compressed file is one task; spread the rows right after the scan if it is large.
     """
     raw = _scan(spark, path, "BioSample", SAMPLE_SCHEMA)
-    root = F.filter(
-        F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(f"_{a}").alias("value"), F.lit("biosample_root").alias("xml_source")) for a in ROOT_ATTRIBUTES]),
-        lambda c: c["value"].rlike(ROOT_DATE),
-    )
-    inner = F.transform(
-        F.coalesce("Attributes.Attribute", F.array().cast("array<struct<_VALUE:string,_harmonized_name:string,_attribute:string,_attribute_name:string>>")),
-        lambda a: F.struct(F.coalesce(F.nullif(a["_harmonized_name"], F.lit("")), a["_attribute"]).alias("attribute"), a["_VALUE"].alias("value"), F.lit("attribute").alias("xml_source")),
-    )
-    usable = F.filter(inner, lambda c: c["attribute"].isNotNull() & (c["attribute"] != "") & c["value"].isNotNull() & (c["value"] != ""))
-    return raw.select(F.coalesce("_accession", F.lit("unknown")).alias("accession"), F.concat(root, usable).alias("candidates"), linked_ids(F.col("Links.Link")).alias("project_ids"))
+    inner = F.transform("Attributes.Attribute", lambda a: F.struct(a["_harmonized_name"].alias("harmonized"), a["_attribute"].alias("attribute"), a["_VALUE"].alias("value")))
+    return raw.select(
+        F.coalesce("_accession", F.lit("unknown")).alias("accession"), candidates_of({a: F.col(f"_{a}") for a in ROOT_ATTRIBUTES}, inner).alias("candidates"),
+        linked_ids(F.col("Links.Link")).alias("project_ids"),
+    )
 
 
 def linked_ids(links: Column) -> Column:
     """Trimmed, distinct project ids of ``array<struct<_VALUE,_target>>``, in the order of texts."""
-    found = F.transform(F.filter(links, lambda x: F.lower(x["_target"]) == "bioproject"), lambda x: F.trim(x["_VALUE"]))
+    found = F.transform(F.filter(links, lambda x: x["_target"] == "bioproject"), lambda x: F.trim(x["_VALUE"]))
     return F.coalesce(F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull() & (x != "")))), none_of())
 
 
