@@ -250,12 +250,16 @@ def standardize_dates(candidates: Column, reference_date: dt.date | Column) -> C
     ref = reference_date if isinstance(reference_date, Column) else F.lit(reference_date)
     cands = F.coalesce(candidates, F.array().cast("array<struct<attribute:string,value:string,category:string>>"))
     parsed = F.zip_with(cands, _interpretations(F.transform(cands, lambda c: c["value"]), ref), lambda c, r: F.struct(c.alias("c"), r.alias("r")))
-    usable = lambda cat: F.filter(parsed, lambda p: (p["r"]["status"] == "ok") & (p["c"]["category"] == cat))
-    step = F.transform(
-        F.array(F.struct(usable("s").alias("s"), usable("o").alias("o"), F.filter(F.transform(parsed, lambda p: p["r"]["reason"]), lambda x: x.isNotNull()).alias("rejections"), F.flatten(F.transform(parsed, lambda p: p["r"]["notices"])).alias("notices"))),
-        _choose,
-    )
-    return step[0]
+
+    def split(p: Column) -> Column:
+        usable = lambda cat: F.filter(p, lambda x: (x["r"]["status"] == "ok") & (x["c"]["category"] == cat))
+        return F.struct(
+            usable("s").alias("s"), usable("o").alias("o"), F.filter(F.transform(p, lambda x: x["r"]["reason"]), lambda x: x.isNotNull()).alias("rejections"),
+            F.flatten(F.transform(p, lambda x: x["r"]["notices"])).alias("notices"),
+        )
+
+    # the parsed candidates are bound to a variable, so they are computed once
+    return F.transform(F.transform(F.array(parsed), split), _choose)[0]
 
 
 def _choose(x: Column) -> Column:

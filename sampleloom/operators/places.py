@@ -17,6 +17,8 @@ _NUMBER = r"(-?[0-9]+\.?[0-9]*)"
 HEMISPHERES = rf"(?i){_NUMBER}\s*([NS])\s*[,/\s]*\s*{_NUMBER}\s*([EW])"
 PAIR = rf"{_NUMBER}\s*[,/]\s*{_NUMBER}"
 _LEVELS = (1.0, 8.0, 60.0)
+#: Places up to which each row compares all of them instead of meeting cells.
+FEW_PLACES = 256
 
 
 def coordinates(c: Column) -> Column:
@@ -30,6 +32,11 @@ def coordinates(c: Column) -> Column:
     return F.struct(lat.alias("lat"), lon.alias("lon"), F.coalesce(named | pair, F.lit(False)).alias("looks"), F.coalesce(ok, F.lit(False)).alias("valid"))
 
 
+def with_coordinates(rows: DataFrame, column: str) -> DataFrame:
+    """Adds ``lat``, ``lon``, ``looks`` and ``valid`` of a text column; inlined, so that the text is searched once."""
+    return rows.select("*", F.inline(F.array(coordinates(F.coalesce(F.col(column), F.lit(""))))))
+
+
 def great_circle(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Degrees of arc between two points."""
     dlat, dlon = F.radians(lat2 - lat1) / 2, F.radians(lon2 - lon1) / 2
@@ -37,6 +44,16 @@ def great_circle(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(h))))
 
 
+def _nearest_of(points: DataFrame, places: list) -> DataFrame:
+    """Nearest of a few places, compared inside the row."""
+    listed = F.array(*[F.struct(F.lit(float(p["lat"])).alias("a"), F.lit(float(p["lon"])).alias("o"), F.lit(p["place"]).alias("place"), F.lit(p["country"]).alias("country")) for p in places])
+    far = F.transform(listed, lambda p: F.struct(great_circle(F.col("lat"), F.col("lon"), p["a"], p["o"]).alias("degrees"), p["place"].alias("place"), p["country"].alias("country")))
+    if not places:
+        return points.select("lat", "lon", F.lit(None).cast("string").alias("place"), F.lit(None).cast("string").alias("country"), F.lit(None).cast("double").alias("degrees")).limit(0)
+    # inlined, as a struct column would be computed again for each of its fields
+    return points.select("lat", "lon", F.inline(F.array(F.array_min(far)))).select("lat", "lon", "place", "country", "degrees")
+
+
 def nearest_place(points: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """``(lat, lon, place, country, degrees)`` of the nearest place of each distinct point; exact, whatever the distance.
 
@@ -44,6 +61,9 @@ def nearest_place(points: DataFrame, gazetteer: DataFrame) -> DataFrame:
     points go on to larger cells, those far from every place at last to the whole table.
     """
     todo = points.select("lat", "lon").filter("lat is not null and lon is not null").distinct()
+    few = gazetteer.select("place", "country", "lat", "lon").limit(FEW_PLACES + 1).collect()
+    if len(few) <= FEW_PLACES:
+        return _nearest_of(todo, few)
     places = gazetteer.select("place", "country", F.col("lat").alias("__plat"), F.col("lon").alias("__plon"))
     best = F.min(F.struct(great_circle(F.col("lat"), F.col("lon"), F.col("__plat"), F.col("__plon")).alias("degrees"), "place", "country")).alias("b")
     done = []
@@ -98,10 +118,9 @@ def standardize_places(cands: DataFrame, aliases: DataFrame, gazetteer: DataFram
     ``request`` for a model; with neither they are unresolved. Blank values are left out.
     """
     rows = cands.select("record", "pos", F.trim(F.coalesce("attribute", F.lit(""))).alias("attribute"), F.trim("value").alias("value")).filter("value <> ''")
-    c = rows.withColumn("xy", coordinates(F.col("value")))
     hinted = F.col("attribute").isin(*hints) if hints else F.lit(False)
-    c = c.withColumn("by_point", F.col("xy.looks") | hinted).withColumn("part", S.split_place(F.col("value")))
-    points = c.filter("by_point and xy.valid").select("record", "pos", F.col("xy.lat").alias("lat"), F.col("xy.lon").alias("lon"))
+    c = with_coordinates(rows, "value").withColumn("by_point", F.col("looks") | hinted).withColumn("part", S.split_place(F.col("value")))
+    points = c.filter("by_point and valid").select("record", "pos", "lat", "lon")
     decoded = points.join(nearest_place(points, gazetteer), ["lat", "lon"]).select("record", "pos", "country", F.col("place").alias("sublocation"), F.lit("coordinate_resolution").alias("how"))
     names = c.filter("not by_point").select("record", "pos", "attribute", "value", F.col("part.country_part").alias("name"), F.col("part.sublocation").alias("sublocation"))
     found = names.join(lookup_countries(names, aliases, "name"), "name")

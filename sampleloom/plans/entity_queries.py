@@ -204,12 +204,12 @@ def _coords(spark, d):
         F.when(k % 4 == 0, F.concat(s(90), F.lit(".25 N "), s(170), F.lit(".5 W"))).when(k % 4 == 1, F.concat(s(95), F.lit(".5 S, "), s(170), F.lit(" E")))
         .when(k % 4 == 2, F.concat(F.lit("-"), s(90), F.lit(".125, "), s(200))).otherwise(F.concat(F.lit("lot "), k.cast("string")))
     )
-    return table(spark, d, "orders").select("o_orderkey", v.alias("v")).withColumn("xy", G.coordinates(F.col("v")))
+    return G.with_coordinates(table(spark, d, "orders").select("o_orderkey", v.alias("v")), "v")
 
 
 @query(f"WITH {_XY} SELECT o_orderkey, lat, lon, coalesce(lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180, false) AS valid FROM xy")
 def coord_parse(spark, d):
-    return _coords(spark, d).select("o_orderkey", "xy.lat", "xy.lon", "xy.valid")
+    return _coords(spark, d).select("o_orderkey", "lat", "lon", "valid")
 
 
 @query(
@@ -217,7 +217,7 @@ def coord_parse(spark, d):
     "SELECT lat, lon, arg_min(place, h) AS place, arg_min(country, h) AS country FROM dist GROUP BY lat, lon"
 )
 def nearest_place(spark, d):
-    points = _coords(spark, d).filter("xy.valid").select("xy.lat", "xy.lon")
+    points = _coords(spark, d).filter("valid").select("lat", "lon")
     return G.nearest_place(points, seeds.frame(spark, seeds.GAZETTEER, seeds.GAZETTEER_COLUMNS)).select("lat", "lon", "place", "country")
 
 
@@ -271,7 +271,8 @@ _STD_LOC = f"WITH {COUNTRIES}, {REMAP}, {OFFICIAL}, {GAZ}, {_PLACES}"
 
 @query(f"{_STD_LOC} SELECT record, country, nullif(sub, '') AS sublocation FROM pick")
 def loc_pick(spark, d):
-    c = place_candidates(spark, d).filter("value <> ''").withColumn("xy", G.coordinates(F.col("value"))).filter("not xy.looks and attribute <> 'latitude_only'").withColumn("part", S.split_place(F.col("value")))
+    c = place_candidates(spark, d).filter("value <> ''")
+    c = G.with_coordinates(c, "value").filter("not looks and attribute <> 'latitude_only'").withColumn("part", S.split_place(F.col("value")))
     named = c.select("record", "pos", F.col("part.country_part").alias("name"), F.col("part.sublocation").alias("sublocation"))
     hit = named.join(G.lookup_countries(named, countries(spark), "name"), "name")
     return hit.groupBy("record").agg(F.min(F.struct(F.col("sublocation").isNull().alias("n"), "pos", "country", "sublocation")).alias("b")).select("record", "b.country", "b.sublocation")

@@ -58,7 +58,7 @@ def _rooted(batches):
     yield line("</Set>")
 
 
-@query("SELECT count(*) AS samples, count(DISTINCT acc) AS accessions FROM (SELECT unnest(regexp_extract_all(payload, '<BioSample(?: accession=\"([^\"]*)\")?', 1)) AS acc FROM (SELECT DISTINCT record_id, payload FROM raw_records WHERE payload_format = 'xml' AND (rtrim(payload) LIKE '%</Package>' OR rtrim(payload) LIKE '%</DocumentSummary>')))")
+@query("SELECT count(*) AS samples, count(DISTINCT coalesce(nullif(acc, ''), 'unknown')) AS accessions FROM (SELECT unnest(regexp_extract_all(payload, '<BioSample(?: accession=\"([^\"]*)\")?', 1)) AS acc FROM (SELECT DISTINCT record_id, payload FROM raw_records WHERE payload_format = 'xml' AND (rtrim(payload) LIKE '%</Package>' OR rtrim(payload) LIKE '%</DocumentSummary>')))")
 def scan_xml_samples(spark, d):
     got = xml.scan_samples(spark, _xml_file(spark, d))
     return got.agg(F.count("*").alias("samples"), F.count_distinct("accession").alias("accessions"))
