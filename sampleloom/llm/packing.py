@@ -63,14 +63,15 @@ def dominance_reduction(left: Counter, capacity: int) -> list[Pattern]:
         if alone or big + small > capacity:
             fix({big: 1}, left[big] if big + small > capacity else 1)
             continue
-        others = Counter(left)
+        others = left.copy()
         others[big] -= 1
-        two = sorted(s for s in others.elements())[:2] if sum(others.values()) < 3 else _two_smallest(others)
+        two = _two_smallest(others)
         if len(two) == 2 and big + sum(two) <= capacity:
             break  # more than one other item fits: nothing is proved about this item
-        fit = sizes[bisect_left(sizes, capacity - big + 1) - 1]  # the largest that fits beside it
+        free = [s for s in sizes if others[s] > 0]
+        fit = free[bisect_left(free, capacity - big + 1) - 1]  # the largest other item that fits beside it
         if fit == big:
-            fix({big: 2}, 1) if left[big] < 4 else fix({big: 2}, left[big] // 2)
+            fix({big: 2}, left[big] // 2)
         else:
             fix({big: 1, fit: 1}, min(left[big], left[fit]) if len(two) == 2 else 1)
     return fixed
