@@ -71,14 +71,13 @@ def scan_xml_projects(spark, d):
     return got.select("id", "accession", "title", F.to_json("relevance").alias("relevance"))
 
 
-@query("SELECT DISTINCT accession, in_atb, pathogen_biosample, coalesce(taxid, '') AS taxid, organism_value FROM accession_index")
+@query("SELECT DISTINCT accession, in_atb, pathogen_biosample, coalesce(taxid, '') AS taxid, coalesce(organism_value, '') AS organism_value FROM accession_index")
 def scan_tsv(spark, d):
     """The index through the tab-separated sink and scan."""
     path = _shared(spark, "tsv")
     t = table(spark, d, "accession_index").select("accession", "in_atb", "pathogen_biosample", "taxid", "organism_value").distinct()
     tables.write_tsv(t, path)
-    got = tables.scan_tsv(spark, path, "accession string, in_atb string, pathogen_biosample string, taxid string, organism_value string")
-    return got.withColumn("taxid", F.coalesce("taxid", F.lit("")))
+    return tables.scan_tsv(spark, path, "accession string, in_atb string, pathogen_biosample string, taxid string, organism_value string")
 
 
 # ---- final table -----------------------------------------------------------------------------------------------------

@@ -8,8 +8,11 @@ from pyspark.sql import types as T
 
 
 def scan_tsv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Tab-separated text with a header, plain or compressed by suffix; quotes are doubled inside quoted cells."""
-    return spark.read.csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True, schema=schema, enforceSchema=False, emptyValue="", nullValue="\0")
+    """Tab-separated text with a header, plain or compressed by suffix; quotes are doubled inside quoted cells.
+
+    Blank and absent text cells are both the empty text.
+    """
+    return spark.read.csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True, schema=schema, enforceSchema=False, emptyValue="").na.fill("")
 
 
 def python_bool(c: Column) -> Column:
