@@ -31,6 +31,11 @@ def full(value: str) -> str:
     return _NON_WORD.sub(" ", presentation(value)).strip()
 
 
+def not_blank(c: Column) -> Column:
+    """True if there is anything but white space; false for null."""
+    return F.coalesce(c.rlike(r"(?U)\S"), F.lit(False))
+
+
 def _unicode_form(form: Callable[[str], str]):
     @F.pandas_udf("string")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

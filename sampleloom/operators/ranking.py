@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+#: Bytes of a plan's own estimate up to which its rows need no counting; joins and generators make estimates no bound.
+KNOWN_BYTES = 4 << 20
+
+
+def _known_small(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    return "Generate " not in text and "Join " not in text and "LogicalRDD" not in text and int(plan.stats().sizeInBytes().toString()) <= KNOWN_BYTES
+
+
 def dimension(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to hold at most ``limit`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    """``df`` with a broadcast hint if it is known or counted to hold at most ``limit`` rows, else as it is."""
+    return F.broadcast(df) if _known_small(df) or df.limit(limit + 1).count() <= limit else df
 
 
 def top_rows(rows: DataFrame, group: list[str], order: list[Column | str], k: int, rank: str = "r") -> DataFrame:

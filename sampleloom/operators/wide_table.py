@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sampleloom.functions.text import full
+from sampleloom.functions.text import full, not_blank
 from sampleloom.operators.typed_values import read_as
 
 _SPARK = {"integer": T.LongType(), "decimal": T.DecimalType(38, 3), "boolean": T.BooleanType(), "date": T.DateType(), "text": T.StringType()}
@@ -100,7 +100,7 @@ def cells(rows: DataFrame, attributes: list[Attribute], missing: list[str]) -> D
                     names=["entity", "col", "typed", "at", "seq"],
                 )
 
-    ready = rows.filter(F.col("entity").isNotNull() & (F.trim("entity") != "") & F.col("name").isNotNull() & F.col("value").isNotNull())
+    ready = rows.filter(not_blank(F.col("entity")) & F.col("name").isNotNull() & F.col("value").isNotNull())
     return ready.select("entity", "name", "value", F.col("at").cast("timestamp_ntz").alias("at"), "seq").mapInArrow(encode, _CELLS)
 
 
