@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleloom.functions.text import full, full_col
+from sampleloom.functions.text import full, full_col, not_blank
 from sampleloom.llm.bpe import count_tokens, encode_corpus
 from sampleloom.llm.canonical import map_to_entries, ontology_lexicon
 from sampleloom.llm.langid import language_segments, wrong_or_mixed
@@ -37,7 +37,7 @@ def _counts(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
         F.array("attr_value").alias("f0"),
         F.coalesce(F.transform("events", lambda e: e["normalized_attribute"]), F.array().cast("array<string>")).alias("f1"),
     )
-    n = rows.filter("accession is not null and trim(accession) <> ''").select(F.count_distinct("accession")).first()[0]
+    n = rows.filter(not_blank(F.col("accession"))).select(F.count_distinct("accession")).first()[0]
     return term_counts(shape, 2), n
 
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sampleloom.functions.text import presentation
+from sampleloom.functions.text import not_blank, presentation
 
 SAMPLE_ROWS = 20_000
 _PAIRS = "part int, field int, term string, record string, occurrence long, place int"
@@ -41,7 +41,7 @@ def term_counts(rows: DataFrame, n_fields: int, n_parts: int | None = None) -> D
     out. Rows with an equal ``occurrence`` are copies and count once.
     """
     spark = rows.sparkSession
-    rows = rows.filter(F.col("record").isNotNull() & (F.trim("record") != ""))
+    rows = rows.filter(not_blank(F.col("record")))
     n_parts = n_parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
     bounds = _boundaries(rows, n_parts, n_fields)
 
