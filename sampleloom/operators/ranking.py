@@ -16,7 +16,7 @@ KNOWN_BYTES = 4 << 20
 def _known_small(df: DataFrame) -> bool:
     plan = df._jdf.queryExecution().optimizedPlan()
     text = plan.toString()
-    return "Generate " not in text and "Join " not in text and "LogicalRDD" not in text and int(plan.stats().sizeInBytes().toString()) <= KNOWN_BYTES
+    return "Generate " not in text and "Join " not in text and "LogicalRDD" not in text and int(str(plan.stats().sizeInBytes())) <= KNOWN_BYTES
 
 
 def dimension(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
