@@ -14,8 +14,8 @@ from sampleloom.session import cut
 
 # Ranks that a lineage shows.
 RANKS = (
-    "superkingdom", "domain", "kingdom", "subkingdom", "phylum", "subphylum", "superclass", "class", "subclass", "infraclass", "superorder", "order", "suborder", "infraorder",
-    "superfamily", "family", "subfamily", "genus", "species", "subspecies",
+    "subspecies", "species", "subgenus", "genus", "tribe", "subfamily", "family", "superfamily", "parvorder", "infraorder",
+    "suborder", "order", "superorder", "infraclass", "subclass", "class", "clade", "phylum", "kingdom", "no rank",
 )
 ROOT = 1
 

@@ -226,7 +226,7 @@ def lineage(spark, d):
 
 
 @query(
-    "WITH l AS (SELECT p_partkey AS line_no, p_partkey % 500 AS taxid, p_name || ' ' || p_size AS name, p_partkey % 3 = 0 AS sci FROM part), c AS (SELECT taxid, name, min(line_no) AS l FROM l WHERE NOT sci GROUP BY taxid, name), "
+    "WITH l AS (SELECT p_partkey AS line_no, p_partkey % 500 AS taxid, p_name || ' ' || p_size AS name, p_partkey % 3 = 0 AS sci FROM part), c AS (SELECT taxid, name, line_no AS l FROM l WHERE NOT sci), "
     "k AS (SELECT taxid, string_agg(name, '|' ORDER BY l) AS names FROM c GROUP BY taxid), s AS (SELECT taxid, arg_min(name, line_no) AS name FROM l WHERE sci GROUP BY taxid) SELECT t.taxid, s.name, coalesce(k.names, '') AS common_names FROM (SELECT DISTINCT taxid FROM l) t LEFT JOIN s USING (taxid) LEFT JOIN k USING (taxid)"
 )
 def taxonomy_scan(spark, d):

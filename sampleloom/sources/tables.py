@@ -50,5 +50,5 @@ def names_of(named: DataFrame) -> DataFrame:
     common = F.when(F.col("kind").isin("genbank common name", "common name"), F.struct("line_no", "name"))
     return named.groupBy("taxid").agg(
         F.min(F.when(F.col("kind") == "scientific name", F.struct("line_no", "name")))["name"].alias("name"),
-        F.array_distinct(F.transform(F.array_sort(F.collect_list(common)), lambda x: x["name"])).alias("common_names"),
+        F.transform(F.array_sort(F.collect_list(common)), lambda x: x["name"]).alias("common_names"),
     )
