@@ -147,3 +147,49 @@ def render_tree(rows: list[tuple[str, str, str | None]], first_roots: tuple[str,
         todo += [(c, depth + 1) for c in reversed(children.get(path, []))]
     text = "\n".join(["## Tree", *tree] + (["", "## Node notes", *notes] if notes else []))
     return text, paths
+
+
+# Evidence that a reply may claim, by the mode of its request.
+PERMITTED = {"sample_only": (SAMPLE, NONE), "project_only": (PROJECT, NONE), "combined": (SAMPLE, PROJECT, BOTH, NONE)}
+REPLY = "terms array<string>, reasoning string, evidence_level string"
+
+
+def read_replies(replies: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(record, terms, reasoning, claimed, problem)`` of ``replies (record, request_mode, reply)``.
+
+    ``terms`` are the paths of the named display terms. A reply is bad if it is no object with a term list, if a term is no
+    display term of the ontology, or if it claims evidence that its request does not permit.
+    """
+    r = replies.select("record", "request_mode", F.from_json("reply", REPLY).alias("r"))
+    index = dimension(display_index(nodes))
+    named = r.select("record", F.explode("r.terms").alias("t")).withColumn("norm", S.norm_keyword(F.col("t"))).join(index, "norm", "left")
+    found = named.groupBy("record").agg(F.array_sort(F.collect_set("term")).alias("terms"), F.bool_or(F.col("term").isNull()).alias("unknown"))
+    permitted = F.lit(False)
+    for mode, levels in PERMITTED.items():
+        permitted = permitted | ((F.col("request_mode") == mode) & F.col("r.evidence_level").isin(*levels))
+    problem = (
+        F.when(F.col("r.terms").isNull() | F.col("r.reasoning").isNull(), "reply").when(F.coalesce("unknown", F.lit(False)), "terms").when(~F.coalesce(permitted, F.lit(False)), "evidence")
+    )
+    out = r.join(found, "record", "left")
+    return out.select("record", F.coalesce("terms", S.none_of()).alias("terms"), F.col("r.reasoning").alias("reasoning"), F.col("r.evidence_level").alias("claimed"), problem.alias("problem"))
+
+
+def with_replies(direct: DataFrame, replies: DataFrame, nodes: DataFrame, strict: bool = True) -> DataFrame:
+    """Nodes and evidence of records with a model's reply: ``(record, ...rendered, evidence_level, reasoning)``.
+
+    ``direct (record, term)`` are the direct nodes, ``replies`` as :func:`read_replies` gives them. A bad reply fails if
+    ``strict``, else the record keeps its direct nodes.
+    """
+    if strict:
+        fail = F.raise_error(F.concat(F.lit("bad isolation reply of "), F.col("record"), F.lit(": "), F.col("problem"))).cast("boolean")
+        replies = replies.filter(F.when(F.col("problem").isNotNull(), fail).otherwise(F.lit(True)))
+    good = replies.withColumn("terms", F.when(F.col("problem").isNull(), F.col("terms")).otherwise(S.none_of())).withColumn("claimed", F.when(F.col("problem").isNull(), F.col("claimed")).otherwise(NONE))
+    chosen = direct.select("record", "term").unionByName(good.select("record", F.explode("terms").alias("term"))).distinct()
+    specific = lambda c: F.exists(c, lambda t: t != UNSPECIFIED)
+    has_direct = direct.filter(F.col("term") != UNSPECIFIED).select("record", F.lit(True).alias("__d")).distinct()
+    linked = with_crosslinks(chosen, crosslink_edges(nodes), "record")
+    out = good.join(has_direct, "record", "left").join(render_nodes(linked, nodes, "record"), "record", "left")
+    return out.select(
+        "record", F.coalesce("categories", F.lit(UNSPECIFIED)).alias("categories"), F.coalesce("display_terms", F.lit(UNSPECIFIED)).alias("display_terms"), F.coalesce("ontology_links", F.lit("NA")).alias("ontology_links"), F.coalesce("term_paths", F.lit("")).alias("term_paths"),
+        evidence_level(F.coalesce("__d", F.lit(False)), specific(F.col("terms")), F.col("claimed")).alias("evidence_level"), "reasoning",
+    )

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sampleloom.session import cut
+
 _REPLY = "fingerprint string, reply string, status string, attempts int, seconds double"
 
 
@@ -93,3 +95,21 @@ def valid_country(reply: Column) -> Column:
     text = F.trim(F.get_json_object(reply, "$.country"))
     ok = (keys == F.array(F.lit("country"))) & (F.schema_of_variant(value) == "STRING") & (text != "")
     return F.when(F.coalesce(ok, F.lit(False)), text)
+
+
+def ask(requests: DataFrame, cache: DataFrame, client: Callable[[str], str] | None) -> tuple[DataFrame, DataFrame]:
+    """Answers of ``requests (fingerprint, request, ...)`` and the cache after them.
+
+    Answers add ``reply`` and ``how``: ``cache``, ``call`` for the first of equal requests, ``repeat`` for the others,
+    ``failed`` or ``disabled``. The cache is asked first; only replies that came are kept in it.
+    """
+    hit, miss = lookup(requests, cache)
+    hit = hit.withColumn("how", F.lit("cache"))
+    if client is None:
+        return hit.unionByName(miss.withColumns({"reply": F.lit(None).cast("string"), "how": F.lit("disabled")})), cache
+    calls = cut(call_model(miss, client))
+    order = [c for c in miss.columns if c not in ("fingerprint", "request")] or ["request"]
+    marked = mark_repeats(miss, order).join(calls.select("fingerprint", "reply", "status"), "fingerprint")
+    how = F.when(F.col("status") != "ok", "failed").when(F.col("first_call"), "call").otherwise("repeat")
+    fresh = marked.withColumn("how", how).drop("first_call", "status")
+    return hit.unionByName(fresh), remember(cache, calls.filter("status = 'ok'"))

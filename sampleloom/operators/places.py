@@ -134,3 +134,22 @@ def standardize_places(cands: DataFrame, aliases: DataFrame, gazetteer: DataFram
     out = to_official(out, remap, official)
     status = F.when(F.col("unmappable"), "unmappable_result").when(F.col("country").isNotNull(), F.col("how")).when(F.col("pairs").isNotNull(), "model_request").otherwise("unresolved_place")
     return out.select("record", F.col("official").alias("country"), F.when(F.col("official").isNotNull(), F.col("un_region")).alias("un_region"), "sublocation", status.alias("diagnostic"), F.when(F.col("country").isNull(), F.col("pairs")).alias("request"))
+
+
+def place_replies(answers: DataFrame, aliases: DataFrame, remap: DataFrame, official: DataFrame) -> DataFrame:
+    """Locations of ``answers (record, reply, how)`` of a model: ``(record, country, diagnostic)``.
+
+    A reply is one JSON object with a country; it is read as a known name if it is one, then mapped to the official list.
+    """
+    from sampleloom.operators.model_requests import valid_country
+
+    a = answers.select("record", "how", "reply", valid_country(F.col("reply")).alias("said"))
+    known = lookup_countries(a.filter("said is not null"), aliases, "said").select("said", F.col("country").alias("__c"))
+    named = a.join(known, "said", "left").withColumn("country", F.when(F.col("said") != NA, F.coalesce("__c", "said"))).drop("__c")
+    out = to_official(named, remap, official)
+    status = (
+        F.when(F.col("how") == "disabled", "llm_disabled").when(F.col("how") == "failed", "recoverable_llm_failure").when(F.col("said").isNull(), "invalid_llm_response")
+        .when(F.col("said") == NA, F.when(F.col("how") == "cache", "unresolved_place").otherwise("unmappable_result")).when(F.col("unmappable"), "unmappable_result")
+        .when(F.col("how") == "call", "llm_resolution").otherwise("cache_resolution")
+    )
+    return out.select("record", F.col("official").alias("country"), status.alias("diagnostic"))

@@ -130,3 +130,41 @@ def test_requests(spark):
 @pytest.mark.parametrize("reply,ok", [('{"country": " X "}', "X"), ('{"country": ""}', None), ('{"country": 7}', None), ('{"country": null}', None), ("[]", None), ("x", None), ("", None), (None, None), ('{"country": "X", "a": 1}', None), ('{"Country": "X"}', None)])
 def test_replies(spark, reply, ok):
     assert spark.createDataFrame([(reply,)], "r string").select(M.valid_country(F.col("r"))).first()[0] == ok
+
+
+def test_model_fallback_of_places(spark):
+    asked = [("a", "pond"), ("b", "pond"), ("c", "barn"), ("d", "lake"), ("e", "bad"), ("f", "down")]
+    text = M.request_json("m", {}, "s", None, F.col("u"))
+    requests = spark.createDataFrame(asked, "record string, u string").select("record", text.alias("request")).withColumn("fingerprint", M.fingerprint(F.col("request")))
+    old = requests.filter("record = 'd'").select("fingerprint", F.lit('{"country": "Norvelia"}').alias("reply"))
+
+    def client(request):
+        if "down" in request:
+            raise TimeoutError
+        return '{"country": "NA"}' if "barn" in request else "nothing" if "bad" in request else '{"country": "ilvan republic"}'
+
+    f = lambda x, c: seeds.frame(spark, x, c)
+    place = lambda answers: {r["record"]: (r["country"], r["diagnostic"]) for r in G.place_replies(answers, f(seeds.COUNTRIES, seeds.COUNTRY_COLUMNS), f(seeds.REMAP, seeds.REMAP_COLUMNS), f(seeds.OFFICIAL_NAMES, "name string")).collect()}
+    answers, cache = M.ask(requests, old, client)
+    assert place(answers) == {
+        "a": ("Ilvania", "llm_resolution"), "b": ("Ilvania", "cache_resolution"), "c": (None, "unmappable_result"), "d": ("Norvelia", "cache_resolution"),
+        "e": (None, "invalid_llm_response"), "f": (None, "recoverable_llm_failure"),
+    }
+    assert cache.count() == 4
+    answers, same = M.ask(requests, old, None)
+    assert place(answers)["d"] == ("Norvelia", "cache_resolution") and place(answers)["a"] == (None, "llm_disabled") and same.count() == 1
+
+
+def test_model_fallback_of_isolation(spark):
+    nodes = I.nodes_of(spark.createDataFrame(ONTOLOGY, "term string, display_term string, ontology_link string, crosslink_term string, synonyms string, term_comment string"))
+    reply = lambda terms, level: '{"terms": [' + ", ".join(f'"{t}"' for t in terms) + f'], "reasoning": "r", "evidence_level": "{level}"}}'
+    rows = [("a", "combined", reply(["Root Zone"], "project")), ("b", "sample_only", reply([], "none")), ("c", "sample_only", reply(["food"], "project")), ("d", "combined", reply(["moon"], "sample")), ("e", "combined", "no json"), ("f", "project_only", reply(["food"], "project"))]
+    read = I.read_replies(spark.createDataFrame(rows, "record string, request_mode string, reply string"), nodes)
+    assert {r["record"]: r["problem"] for r in read.collect()} == {"a": None, "b": None, "c": "evidence", "d": "terms", "e": "reply", "f": None}
+    direct = spark.createDataFrame([("a", "env:soil"), ("c", "food")], "record string, term string")
+    got = {r["record"]: r for r in I.with_replies(direct, read, nodes, strict=False).collect()}
+    assert got["a"]["term_paths"] == "env:root zone||env:soil||food:soil" and got["a"]["evidence_level"] == "sample_and_project"
+    assert (got["b"]["display_terms"], got["b"]["evidence_level"]) == ("unspecified", "none") and (got["c"]["term_paths"], got["c"]["evidence_level"]) == ("food", "sample")
+    assert got["f"]["evidence_level"] == "project" and got["d"]["term_paths"] == ""
+    with pytest.raises(Exception, match="bad isolation reply"):
+        I.with_replies(direct, read, nodes).collect()
