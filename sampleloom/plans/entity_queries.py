@@ -36,7 +36,7 @@ def taxa(spark):
     return seeds.frame(spark, seeds.TAXA, seeds.TAXA_COLUMNS)
 
 
-def preempt(spark):
+def preempt_table(spark):
     return seeds.frame(spark, seeds.PREEMPT, seeds.PREEMPT_COLUMNS)
 
 
@@ -127,8 +127,8 @@ _DECIDED = f"hits AS (SELECT record, pos, taxid FROM (SELECT record, pos, {_norm
 
 
 @query(f"WITH {PREEMPT}, {_HOSTS}, {_DECIDED} SELECT record, CASE WHEN rejected THEN 'reject' ELSE 'force' END AS decision, CASE WHEN NOT rejected THEN forced END AS taxid FROM decided")
-def preempt_decisions(spark, d):
-    got = H.decisions(host_candidates(spark, d), preempt(spark))
+def preempt(spark, d):
+    got = H.decisions(host_candidates(spark, d), preempt_table(spark))
     return got.select("record", F.when(F.col("rejected"), "reject").otherwise("force").alias("decision"), F.when(~F.col("rejected"), F.col("forced")).alias("taxid"))
 
 
@@ -161,7 +161,7 @@ _STD_HOST = (
 
 
 def hosts_of(spark, d, keywords=None):
-    return H.standardize_hosts(host_candidates(spark, d), taxa(spark), preempt(spark), seeds.IGNORED_SUBSTRINGS, seeds.ISOLATION_KEYWORDS if keywords is None else keywords)
+    return H.standardize_hosts(host_candidates(spark, d), taxa(spark), preempt_table(spark), seeds.IGNORED_SUBSTRINGS, seeds.ISOLATION_KEYWORDS if keywords is None else keywords)
 
 
 @query(_STD_HOST + " SELECT record, how, CASE how WHEN 'forced_override' THEN forced WHEN 'matched' THEN taxid END AS taxid, CASE how WHEN 'forced_override' THEN CAST(1.0 AS DOUBLE) WHEN 'matched' THEN score END AS score, has_value AND how NOT IN ('forced_override', 'matched') AS overflow FROM std")

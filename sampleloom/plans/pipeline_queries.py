@@ -181,7 +181,7 @@ def dimensions(spark: SparkSession, d: str) -> PL.Dimensions:
     nodes = seeds.frame(spark, seeds.NODES, seeds.NODES_COLUMNS)
     catalog = table(spark, d, "bio_projects").select("accession", "title", "description", "relevance")
     return PL.Dimensions(
-        registry(spark), table(spark, d, "accession_index").filter("in_atb = 'True'").select(F.col("pathogen_atb").alias("pathogen"), "accession"), E.taxa(spark), E.preempt(spark), nodes,
+        registry(spark), table(spark, d, "accession_index").filter("in_atb = 'True'").select(F.col("pathogen_atb").alias("pathogen"), "accession"), E.taxa(spark), E.preempt_table(spark), nodes,
         nodes.select("taxid", "name", S.none_of().alias("common_names")), E.countries(spark), seeds.frame(spark, seeds.GAZETTEER, seeds.GAZETTEER_COLUMNS), seeds.frame(spark, seeds.REMAP, seeds.REMAP_COLUMNS),
         seeds.frame(spark, seeds.OFFICIAL_NAMES, "name string"), table(spark, d, "ontology_terms"), catalog, seeds.IGNORED_SUBSTRINGS, seeds.ISOLATION_KEYWORDS, ("latitude_only",), ("consumable", "organism"),
     )
