@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampleloom.functions import dates as D
+from sampleloom.operators.date_records import reduce_dates
 from sampleloom.session import table
 
 REFERENCE = dt.date(2025, 6, 30)
@@ -152,12 +153,16 @@ _CANDS = (
 _SAMPLED = f"CASE WHEN n > 1 THEN {_WIDTH.format('samp.s', 'samp.e')} ELSE samp.sc END"
 
 
-def date_records(spark: SparkSession, d: str) -> DataFrame:
-    """``(accession, candidates)`` in reading order; copies of a candidate are one. Pre-aggregated before it is gathered."""
+def date_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """``(accession, pos, attribute, value, category)``; copies of a candidate are one."""
     rows = table(spark, d, "date_origins").filter("accession is not null and trim(accession) <> '' and attr_value is not null and attr_name is not null")
-    once = rows.groupBy("accession", "attr_name", "attr_value", "category").agg(F.min("origin_id").alias("pos"))
-    cands = F.array_sort(F.collect_list(F.struct("pos", F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"), "category")))
-    return once.groupBy("accession").agg(cands.alias("c")).select("accession", F.transform("c", lambda c: F.struct(c["attribute"], c["value"], c["category"])).alias("candidates"))
+    return rows.groupBy("accession", F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"), "category").agg(F.min("origin_id").alias("pos"))
+
+
+def date_records(spark: SparkSession, d: str) -> DataFrame:
+    """``(accession, candidates)`` in reading order, for records that are held in one row."""
+    cands = F.array_sort(F.collect_list(F.struct("pos", "attribute", "value", "category")))
+    return date_candidates(spark, d).groupBy("accession").agg(cands.alias("c")).select("accession", F.transform("c", lambda c: F.struct(c["attribute"], c["value"], c["category"])).alias("candidates"))
 
 
 def _outcomes(spark: SparkSession, d: str) -> DataFrame:
@@ -198,7 +203,6 @@ def date_record(spark, d):
 )
 def std_date(spark, d):
     """Standardised collection date of every record."""
-    return _outcomes(spark, d).select(
-        "accession", F.col("start").alias("date_start"), F.col("end").alias("date_end"), F.col("score").alias("date_score"),
-        F.array_join("origins.attribute", "||").alias("date_attr_orig"), F.array_join("origins.value", "||").alias("date_val_orig"),
-    )
+    rows = date_candidates(spark, d).withColumnRenamed("accession", "record")
+    o = reduce_dates(rows, REFERENCE)
+    return o.select(F.col("record").alias("accession"), F.col("start").alias("date_start"), F.col("end").alias("date_end"), F.col("score").alias("date_score"), F.col("attributes").alias("date_attr_orig"), F.col("values").alias("date_val_orig"))

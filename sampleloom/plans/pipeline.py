@@ -9,9 +9,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sampleloom.functions import dates as D
 from sampleloom.functions import strings as S
 from sampleloom.operators import dataset as T
+from sampleloom.operators.date_records import reduce_dates
 from sampleloom.operators import hosts as H
 from sampleloom.operators import isolation as I
 from sampleloom.operators import lineage as L
@@ -71,12 +71,10 @@ def origins(cands: DataFrame, prefix: str) -> DataFrame:
 
 
 def date_step(cands: DataFrame, reference_date: dt.date) -> DataFrame:
-    cell = F.struct("pos", "attribute", "value", "category")
-    g = cands.groupBy("record").agg(F.array_sort(F.collect_list(cell)).alias("c"))
-    o = g.select("record", D.standardize_dates(F.transform("c", lambda c: F.struct(c["attribute"], c["value"], c["category"])), reference_date).alias("o")).filter("o.start is not null")
+    o = reduce_dates(cands, reference_date).filter("start is not null")
     return o.select(
-        "record", F.array_join("o.origins.attribute", "||").alias("date_attr_orig"), F.array_join("o.origins.value", "||").alias("date_val_orig"), F.col("o.start").cast("string").alias("date_start"),
-        F.col("o.end").cast("string").alias("date_end"), F.col("o.score").alias("date_score"), F.col("o.diagnostics").alias("date_diagnostics"),
+        "record", F.col("attributes").alias("date_attr_orig"), F.col("values").alias("date_val_orig"), F.col("start").cast("string").alias("date_start"), F.col("end").cast("string").alias("date_end"),
+        F.col("score").alias("date_score"), F.col("diagnostics").alias("date_diagnostics"),
     )
 
 

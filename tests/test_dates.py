@@ -56,3 +56,20 @@ def test_partitions_do_not_matter(spark, parts):
     random.Random(parts).shuffle(values)
     df = spark.createDataFrame([(v,) for v in values], "v string").repartition(parts).select("v", D.interpret(F.col("v"), REF)["score"].alias("s"))
     assert {r["v"]: r["s"] for r in df.collect()} == {c[0]: c[3] for c in CASES}
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_rows_equal_lists(spark, parts):
+    """Reduction of rows and of lists agree, with a hot record, ties and repeated rows."""
+    from sampleloom.operators.date_records import reduce_dates
+
+    r = random.Random(parts)
+    values = [c[0] for c in CASES] + [c[0] for c in REJECTED if c[0] is not None]
+    rows = [("hot" if r.random() < 0.33 else f"r{r.randrange(150)}", i, r.choice("ab"), r.choice(values), r.choice("so")) for i in range(600)]
+    df = spark.createDataFrame(rows, "record string, pos long, attribute string, value string, category string").repartition(parts)
+    got = {x["record"]: (x["start"], x["end"], x["score"], x["attributes"], x["values"], x["diagnostics"]) for x in reduce_dates(df, REF).collect()}
+    lists = df.groupBy("record").agg(F.array_sort(F.collect_list(F.struct("pos", "attribute", "value", "category"))).alias("c"))
+    o = lists.select("record", D.standardize_dates(F.transform("c", lambda c: F.struct(c["attribute"], c["value"], c["category"])), REF).alias("o"))
+    want = {x["record"]: (x["o"]["start"], x["o"]["end"], x["o"]["score"], "||".join(y["attribute"] for y in x["o"]["origins"]), "||".join(y["value"] for y in x["o"]["origins"]), x["o"]["diagnostics"]) for x in o.collect()}
+    assert got == want
+    assert reduce_dates(df.limit(0), REF).count() == 0
