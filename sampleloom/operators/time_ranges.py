@@ -28,7 +28,7 @@ ABBREVIATIONS = {
     "aest": 600, "aedt": 660, "acst": 570, "acdt": 630, "awst": 480, "lhst": 630, "lhdt": 660, "nzst": 720, "nzdt": 780,
 }
 # Digits of a count since 1970 and the units in a second.
-COUNTS = ((re.compile(r"-?\d{9,10}(?:\.\d+)?"), 1), (re.compile(r"-?\d{12,13}"), 10**3), (re.compile(r"-?\d{15,16}"), 10**6), (re.compile(r"-?\d{18,19}"), 10**9))
+COUNTS = ((re.compile(r"-?\d{9,10}(?:\.\d+)?"), 1), (re.compile(r"-?\d{13}"), 10**3), (re.compile(r"-?\d{16}"), 10**6), (re.compile(r"-?\d{19}"), 10**9))
 WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
 
 _ZONE = r"(?P<zone>\s*(?:z|[+-]\d{2}(?::?\d{2})?)|\s+[a-z]{2,5})?(?P<name>\s*\[[a-z_]+(?:/[a-z_+\-0-9]+)*\]|\s+[a-z_]+(?:/[a-z_+\-0-9]+)+)?"

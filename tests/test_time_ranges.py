@@ -21,6 +21,7 @@ CASES = [
     ("2024-03", BE, utc(2024, 2, 29, 23), utc(2024, 3, 31, 21, 59, 59)), ("2023", "UTC", utc(2023, 1, 1), utc(2023, 12, 31, 23, 59, 59)), ("2013/2015", "UTC", utc(2013, 1, 1), utc(2015, 12, 31, 23, 59, 59)), ("2016-03-19 TO December 2015", "UTC", utc(2015, 12, 1), utc(2016, 3, 19, 23, 59, 59)),
     ("Aug-2017 - 2018", "UTC", utc(2017, 8, 1), utc(2018, 12, 31, 23, 59, 59)), ("2020-12-24T06:01:58.6", "UTC", utc(2020, 12, 24, 6, 1, 58), utc(2020, 12, 24, 6, 1, 58)), ("2018-09-29T12:32:51.157779409z", NY, utc(2018, 9, 29, 12, 32, 51), utc(2018, 9, 29, 12, 32, 51)),
     ("2017-15-21 21:08", "UTC", None, None), ("2019-11-27 35:30:47", "UTC", None, None), ("12:30", "UTC", None, None), ("last week", "UTC", None, None), ("Q3", "UTC", None, None), ("", "UTC", None, None), (None, "UTC", None, None), ("  2023-01-02 ", "UTC", utc(2023, 1, 2), utc(2023, 1, 2, 23, 59, 59)),
+    ("201606220747", "UTC", utc(2016, 6, 22, 7, 47), utc(2016, 6, 22, 7, 47, 59)), ("20160622", "UTC", utc(2016, 6, 22), utc(2016, 6, 22, 23, 59, 59)), ("1530826468123456789", NY, 1530826468, 1530826468),
     ("2023-01-02", None, None, None), ("2023-01-02Z", None, utc(2023, 1, 2), utc(2023, 1, 2, 23, 59, 59)), ("2018-06-01 00:15:00", "Australia/Lord_Howe", utc(2018, 5, 31, 13, 45), utc(2018, 5, 31, 13, 45)), ("x" * 100_000, "UTC", None, None), ("Mon, 31 Oct 2021 02:12:11 +0100", NY, None, None),
 ]
 
