@@ -29,6 +29,11 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(c, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+
+
 def pipe_split(c: Column, trim: bool = False) -> Column:
     """Items between double pipes; null and empty texts hold none."""
     parts = F.when(c.isNull() | (c == ""), none_of()).otherwise(F.split(c, r"\|\|", -1))

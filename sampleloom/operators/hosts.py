@@ -61,7 +61,7 @@ def word_index(terms: DataFrame) -> DataFrame:
 
 
 def normal_value(value: Column, ignored: Sequence[str]) -> Column:
-    return S.norm_host(S.strip_substrings(F.trim(F.coalesce(value, F.lit(""))), ignored))
+    return S.norm_host(S.strip_substrings(S.strip(F.coalesce(value, F.lit(""))), ignored))
 
 
 def contained_terms(values: DataFrame, index: DataFrame) -> DataFrame:
@@ -137,17 +137,17 @@ def standardize_hosts(cands: DataFrame, taxa: DataFrame, preempt: DataFrame, ign
     Output: record, taxid, scientific_name, score, low_confidence, attribute, value, diagnostics, overflow (the record goes
     on to the isolation step). Without ``keywords`` this is the retry. Null values count as empty.
     """
-    rows = cands.select("record", "pos", F.trim(F.coalesce("attribute", F.lit(""))).alias("attribute"), F.coalesce("value", F.lit("")).alias("value"))
+    rows = cands.select("record", "pos", S.strip(F.coalesce("attribute", F.lit(""))).alias("attribute"), F.coalesce("value", F.lit("")).alias("value"))
     preempted = rows.filter(keyword_hit(F.array("value"), keywords).isNotNull()).select("record").distinct().withColumn("keyword", F.lit(True)) if keywords else None
     decided = decisions(rows, preempt)
     keyed = rows.withColumn("norm", normal_value(F.col("value"), ignored)).withColumn("by_taxid", F.lower("attribute") == "host_taxid")
     found = keyed.join(match_values(keyed.select("norm", "by_taxid"), taxa, term_table(taxa, curated)), ["norm", "by_taxid"])
     best = best_candidate(found)
-    records = rows.groupBy("record").agg(F.bool_or(F.trim("value") != "").alias("has_value"))
+    records = rows.groupBy("record").agg(F.bool_or(S.strip(F.col("value")) != "").alias("has_value"))
     out = records.join(best, "record", "left").join(decided, "record", "left")
     out = out.join(preempted, "record", "left") if preempted is not None else out.withColumn("keyword", F.lit(False))
     names = dimension(taxa.select(F.col("taxid").alias("forced"), F.col("scientific_name").alias("__fn")))
-    forced_row = rows.select("record", F.col("pos").alias("forced_pos"), F.col("attribute").alias("__fa"), F.trim("value").alias("__fv"))
+    forced_row = rows.select("record", F.col("pos").alias("forced_pos"), F.col("attribute").alias("__fa"), S.strip(F.col("value")).alias("__fv"))
     out = out.join(names, "forced", "left").join(forced_row, ["record", "forced_pos"], "left")
     keyword, rejected = F.coalesce("keyword", F.lit(False)), F.coalesce("rejected", F.lit(False))
     forced = ~keyword & ~rejected & F.col("forced").isNotNull()
@@ -156,6 +156,6 @@ def standardize_hosts(cands: DataFrame, taxa: DataFrame, preempt: DataFrame, ign
     diagnosis = F.when(keyword, "iso_keyword_preemption").when(rejected, "override_rejection").when(forced, "forced_override").when(usual, "matched").otherwise("unmatched")
     return out.select(
         "record", pick(F.col("forced"), F.col("taxid")).alias("taxid"), pick(F.col("__fn"), F.col("scientific_name")).alias("scientific_name"), pick(F.lit(1.0), F.col("score")).alias("score"),
-        F.coalesce(F.when(usual, F.col("low_confidence")), F.lit(False)).alias("low_confidence"), pick(F.col("__fa"), F.col("attribute")).alias("attribute"), pick(F.col("__fv"), F.trim("value")).alias("value"),
+        F.coalesce(F.when(usual, F.col("low_confidence")), F.lit(False)).alias("low_confidence"), pick(F.col("__fa"), F.col("attribute")).alias("attribute"), pick(F.col("__fv"), S.strip(F.col("value"))).alias("value"),
         F.concat(F.array(diagnosis), F.when(usual, F.col("flags")).otherwise(S.none_of())).alias("diagnostics"), (~forced & ~usual & F.col("has_value")).alias("overflow"),
     )

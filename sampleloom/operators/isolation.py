@@ -96,7 +96,7 @@ def standardize_isolation(cands: DataFrame, ontology: DataFrame, contexts: DataF
     ``covered`` says that every value matched, so that no model would be asked. ``contexts (record, contexts)`` adds the
     mode of the request that would be made.
     """
-    rows = cands.select("record", "pos", "attribute", F.trim("value").alias("value"))
+    rows = cands.select("record", "pos", "attribute", S.strip(F.col("value")).alias("value"))
     filled = rows.filter("value <> ''")
     nodes = nodes_of(ontology)
     hits = filled.join(direct_matches(filled, nodes), "value").select("record", "pos", "term")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +15,10 @@ from sampleloom.session import cut
 NA = "NA"
 _NUMBER = r"(-?[0-9]+\.?[0-9]*)"
 # The two writings of coordinates; both are searched for, not matched as a whole.
-HEMISPHERES = rf"(?i){_NUMBER}\s*([NS])\s*[,/\s]*\s*{_NUMBER}\s*([EW])"
-PAIR = rf"{_NUMBER}\s*[,/]\s*{_NUMBER}"
+HEMISPHERES = rf"(?iU){_NUMBER}\s*([NS])\s*[,/\s]*\s*{_NUMBER}\s*([EW])"
+PAIR = rf"(?U){_NUMBER}\s*[,/]\s*{_NUMBER}"
+# Decimal digits of all scripts, in runs from zero to nine.
+_DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.category(c) == "Nd")
 _LEVELS = (1.0, 8.0, 60.0)
 #: Places up to which each row compares all of them instead of meeting cells.
 FEW_PLACES = 256
@@ -23,6 +26,7 @@ FEW_PLACES = 256
 
 def coordinates(c: Column) -> Column:
     """Struct ``(lat, lon, looks, valid)``; nulls if no writing is found in the text."""
+    c = F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(c, _DIGITS, "0123456789" * (len(_DIGITS) // 10))).otherwise(c)
     named, pair = c.rlike(HEMISPHERES), c.rlike(PAIR)
     num = lambda p, g: F.regexp_extract(c, p, g).try_cast("double")
     sign = lambda g, minus: F.when(F.upper(F.regexp_extract(c, HEMISPHERES, g)) == minus, -1.0).otherwise(1.0)
@@ -117,12 +121,12 @@ def standardize_places(cands: DataFrame, aliases: DataFrame, gazetteer: DataFram
     sublocation is taken, else the first match. Records without any match and with unread names give their pairs as
     ``request`` for a model; with neither they are unresolved. Blank values are left out.
     """
-    rows = cands.select("record", "pos", F.trim(F.coalesce("attribute", F.lit(""))).alias("attribute"), F.trim("value").alias("value")).filter("value <> ''")
+    rows = cands.select("record", "pos", S.strip(F.coalesce("attribute", F.lit(""))).alias("attribute"), S.strip(F.col("value")).alias("value")).filter("value <> ''")
     hinted = F.col("attribute").isin(*hints) if hints else F.lit(False)
     c = with_coordinates(rows, "value").withColumn("by_point", F.col("looks") | hinted).withColumn("part", S.split_place(F.col("value")))
     points = c.filter("by_point and valid").select("record", "pos", "lat", "lon")
     decoded = points.join(nearest_place(points, gazetteer), ["lat", "lon"]).select("record", "pos", "country", F.col("place").alias("sublocation"), F.lit("coordinate_resolution").alias("how"))
-    names = c.filter("not by_point").select("record", "pos", "attribute", "value", F.col("part.country_part").alias("name"), F.col("part.sublocation").alias("sublocation"))
+    names = c.filter("not by_point").select("record", "pos", "attribute", "value", S.strip(F.col("part.country_part")).alias("name"), F.nullif(S.strip(F.col("part.sublocation")), F.lit("")).alias("sublocation"))
     found = names.join(lookup_countries(names, aliases, "name"), "name")
     named = found.select("record", "pos", "country", "sublocation", F.lit("direct_resolution").alias("how"))
     matches = decoded.unionByName(named)

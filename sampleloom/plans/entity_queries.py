@@ -74,11 +74,29 @@ _SUBSET = (
 _HOST_SQL = f"WITH {TAXA}, {PREEMPT}, {_TERMS}, {_HOSTS}, {_VALS}, {_SUBSET}"
 
 
-def host_candidates(spark, d):
-    """``(record, pos, attribute, value)`` of the host attributes, ASCII values, copies once."""
+HOST, PLACE, ISO = (
+    ("host", "host_common_name", "host_taxid", "host organism", "common name of host", "host common name"), ("geo_loc_name", "geographic location", "place name", "latitude_only"),
+    ("isolation_source", "env_medium", "env_local_scale", "food_source", "source_type"),
+)
+
+
+def _listed(spark, d, names):
     name = F.lower(F.trim("attr_name"))
-    t = table(spark, d, "curation_decisions").filter(F.col("accession").isNotNull() & name.isin("host", "host_common_name", "host_taxid", "host organism", "common name of host", "host common name") & F.col("attr_value").rlike(r"\A[\x20-\x7e]*\z"))
-    return t.select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), name.alias("attribute"), F.col("attr_value").alias("value")).distinct()
+    return table(spark, d, "curation_decisions").filter(F.col("accession").isNotNull() & name.isin(*names)).withColumn("name", name)
+
+
+def whole_candidates(spark, d, names):
+    """``(record, pos, attribute, value)`` of the attributes, values of any script and nulls, copies once."""
+    return _listed(spark, d, names).select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("name").alias("attribute"), F.col("attr_value").alias("value")).distinct()
+
+
+def _plain(t):
+    return t.filter(F.col("attr_value").rlike(r"\A[\x20-\x7e]*\z"))
+
+
+def host_candidates(spark, d):
+    """``(record, pos, attribute, value)`` of the host attributes, ASCII values as the SQL has them, copies once."""
+    return _plain(_listed(spark, d, HOST)).select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("name").alias("attribute"), F.col("attr_value").alias("value")).distinct()
 
 
 def _keys(spark, d):
@@ -160,8 +178,8 @@ _STD_HOST = (
 )
 
 
-def hosts_of(spark, d, keywords=None):
-    return H.standardize_hosts(host_candidates(spark, d), taxa(spark), preempt_table(spark), seeds.IGNORED_SUBSTRINGS, seeds.ISOLATION_KEYWORDS if keywords is None else keywords)
+def hosts_of(spark, d, keywords=None, cands=None):
+    return H.standardize_hosts(host_candidates(spark, d) if cands is None else cands, taxa(spark), preempt_table(spark), seeds.IGNORED_SUBSTRINGS, seeds.ISOLATION_KEYWORDS if keywords is None else keywords)
 
 
 @query(_STD_HOST + " SELECT record, how, CASE how WHEN 'forced_override' THEN forced WHEN 'matched' THEN taxid END AS taxid, CASE how WHEN 'forced_override' THEN CAST(1.0 AS DOUBLE) WHEN 'matched' THEN score END AS score, has_value AND how NOT IN ('forced_override', 'matched') AS overflow FROM std")
@@ -170,6 +188,12 @@ def std_host(spark, d):
     return hosts_of(spark, d).select("record", F.col("diagnostics")[0].alias("how"), "taxid", "score", "overflow")
 
 
+@query()
+def std_host_all(spark, d):
+    """``std_host`` over all values, also those that its SQL leaves out."""
+    return hosts_of(spark, d, cands=whole_candidates(spark, d, HOST)).select("record", F.col("diagnostics")[0].alias("how"), "taxid", "score", "overflow")
+
+
 @query(_STD_HOST.replace(f"WHERE {_KW_EXISTS})", "WHERE false)") + " SELECT record, how, CASE how WHEN 'forced_override' THEN forced WHEN 'matched' THEN taxid END AS taxid FROM std")
 def host_retry(spark, d):
     """The retry reads the values again without keyword preemption."""
@@ -257,13 +281,11 @@ _PLACES = (
 
 
 def place_candidates(spark, d):
-    name = F.lower(F.trim("attr_name"))
-    t = table(spark, d, "curation_decisions").filter(F.col("accession").isNotNull() & name.isin("geo_loc_name", "geographic location", "place name", "latitude_only") & F.col("attr_value").rlike(r"\A[\x20-\x7e]*\z"))
-    return t.select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), name.alias("attribute"), F.trim("attr_value").alias("value")).distinct()
+    return _plain(_listed(spark, d, PLACE)).select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("name").alias("attribute"), F.trim("attr_value").alias("value")).distinct()
 
 
-def places_of(spark, d):
-    return G.standardize_places(place_candidates(spark, d), countries(spark), seeds.frame(spark, seeds.GAZETTEER, seeds.GAZETTEER_COLUMNS), seeds.frame(spark, seeds.REMAP, seeds.REMAP_COLUMNS), seeds.frame(spark, seeds.OFFICIAL_NAMES, "name string"), ["latitude_only"])
+def places_of(spark, d, cands=None):
+    return G.standardize_places(place_candidates(spark, d) if cands is None else cands, countries(spark), seeds.frame(spark, seeds.GAZETTEER, seeds.GAZETTEER_COLUMNS), seeds.frame(spark, seeds.REMAP, seeds.REMAP_COLUMNS), seeds.frame(spark, seeds.OFFICIAL_NAMES, "name string"), ["latitude_only"])
 
 
 _STD_LOC = f"WITH {COUNTRIES}, {REMAP}, {OFFICIAL}, {GAZ}, {_PLACES}"
@@ -287,6 +309,12 @@ def std_location(spark, d):
     return places_of(spark, d).select("record", "country", "sublocation", "diagnostic", "request")
 
 
+@query()
+def std_location_all(spark, d):
+    """``std_location`` over all values, also those that its SQL leaves out."""
+    return places_of(spark, d, whole_candidates(spark, d, PLACE)).select("record", "country", "sublocation", "diagnostic", "request")
+
+
 # ---- isolation -------------------------------------------------------------------------------------------------------
 
 _ISO_NAMES = "('isolation_source', 'env_medium', 'env_local_scale', 'food_source', 'source_type')"
@@ -309,9 +337,7 @@ _ISO_SQL = f"WITH {_ISO}, {_ONTO}, {_DIRECT}, {_LINKED}"
 
 
 def iso_candidates(spark, d):
-    name = F.lower(F.trim("attr_name"))
-    t = table(spark, d, "curation_decisions").filter(F.col("accession").isNotNull() & name.isin("isolation_source", "env_medium", "env_local_scale", "food_source", "source_type") & F.col("attr_value").rlike(r"\A[\x20-\x7e]*\z"))
-    return t.select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), name.alias("attribute"), F.trim("attr_value").alias("value")).distinct()
+    return _plain(_listed(spark, d, ISO)).select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("name").alias("attribute"), F.trim("attr_value").alias("value")).distinct()
 
 
 def _selected(spark, d):
@@ -351,6 +377,12 @@ def std_isolation(spark, d):
     return I.standardize_isolation(iso_candidates(spark, d), table(spark, d, "ontology_terms")).select("record", "categories", "display_terms", "term_paths", "evidence_level", "covered")
 
 
+@query()
+def std_isolation_all(spark, d):
+    """``std_isolation`` over all values, also those that its SQL leaves out."""
+    return I.standardize_isolation(whole_candidates(spark, d, ISO), table(spark, d, "ontology_terms")).select("record", "categories", "display_terms", "term_paths", "evidence_level", "covered")
+
+
 _LEVELS = ("none", "sample", "project", "sample_and_project")
 
 
@@ -425,7 +457,7 @@ def _stand_in(request: str) -> str:
 @query()
 def iso_llm(spark, d):
     """Requests that a model would get for records that direct matches do not cover, and their fingerprints."""
-    c = iso_candidates(spark, d)
+    c = whole_candidates(spark, d, ISO).withColumn("value", S.strip(F.col("value")))
     std = I.standardize_isolation(c, table(spark, d, "ontology_terms")).filter("not covered and request_mode is not null").select("record", "request_mode")
     pairs = c.filter("value <> ''").groupBy("record").agg(F.array_sort(F.collect_list(F.struct("pos", "attribute", "value"))).alias("p"))
     text = M.request_json("m-1", {"temperature": 0}, "terms:1", "Choose terms.", S.render_block(F.col("p.attribute"), F.col("p.value")))

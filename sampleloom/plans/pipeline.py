@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sampleloom.functions import strings as S
+from sampleloom.functions.text import not_blank
 from sampleloom.operators import dataset as T
 from sampleloom.operators.date_records import reduce_dates
 from sampleloom.operators import hosts as H
@@ -98,7 +99,7 @@ def isolation_step(cands: DataFrame, hosts: DataFrame | None, host_cands: DataFr
         every = every.unionByName(over.select("record", (F.coalesce("__last", F.lit(-1)) + 1 + F.col("pos")).alias("pos"), "attribute", "value"))
     contexts = I.project_contexts(links, dims.catalog, "record", "accessions") if links is not None and dims.catalog is not None else None
     o = I.standardize_isolation(every, dims.ontology, contexts)
-    shown = origins(every.filter("trim(value) <> ''"), "iso")
+    shown = origins(every.filter(not_blank(F.col("value"))), "iso")
     return o.join(shown, "record", "left").select("record", "iso_attr_orig", "iso_val_orig", F.col("term_paths").alias("iso_term_paths"), F.col("display_terms").alias("iso_display_terms"), F.col("ontology_links").alias("iso_ontology_links"), "evidence_level", "covered", "request_mode")
 
 
@@ -128,7 +129,7 @@ def harmonize(records: DataFrame, candidates: DataFrame, dims: Dimensions, reque
     if hosts is not None:
         if isolation is not None:
             paths = isolation.select("record", "iso_term_paths")
-            has_sample = iso_cands.filter("trim(value) <> ''").select("record", F.lit(True).alias("__sample")).distinct()
+            has_sample = iso_cands.filter(not_blank(F.col("value"))).select("record", F.lit(True).alias("__sample")).distinct()
             again = hosts.filter("host_taxid is null").select("record").unionByName(iso_cands.select("record")).distinct()
             eligible = again.join(hosts.select("record", F.col("host_taxid").alias("__t")), "record", "left").join(paths, "record").join(has_sample, "record", "left")
             eligible = eligible.filter(T.retry_eligible(F.col("__t"), F.col("iso_term_paths"), F.coalesce("__sample", F.lit(False)), dims.retry_triggers))

@@ -114,11 +114,12 @@ _OUTCOMES = (
 )
 
 
-def _outcomes(spark, d):
+def _outcomes(spark, d, form=""):
+    """Outcomes of the records; ``form`` is the ending of the step queries."""
     r = T.select_groups(records(spark, d), _SELECTED)
     k = lambda df: df.withColumnRenamed("record", "accession")
     dates = DQ.QUERIES["std_date"](spark, d)
-    hosts, places, isos = (k(E.QUERIES[n](spark, d)) for n in ("std_host", "std_location", "std_isolation"))
+    hosts, places, isos = (k(E.QUERIES[n + form](spark, d)) for n in ("std_host", "std_location", "std_isolation"))
     return (
         r.join(dates.select("accession", "date_start", "date_end", "date_score"), "accession", "left").join(hosts.select("accession", "taxid", "how"), "accession", "left")
         .join(places.select("accession", "country", "sublocation"), "accession", "left").join(isos.select("accession", "term_paths", "display_terms"), "accession", "left")
@@ -126,20 +127,26 @@ def _outcomes(spark, d):
 
 
 @query(f"WITH {_OUTCOMES} SELECT accession FROM j WHERE date_start IS NOT NULL OR taxid IS NOT NULL OR country IS NOT NULL OR display_terms IS NOT NULL")
-def accept_rows(spark, d):
-    o = _outcomes(spark, d)
+def accept_rows(spark, d, form=""):
+    o = _outcomes(spark, d, form)
     return o.filter(T.accepted(*[F.col(c) for c in ("date_start", "taxid", "country", "display_terms")])).select("accession")
 
 
+@query()
+def accept_rows_all(spark, d):
+    """``accept_rows`` over all values, also those that its SQL leaves out."""
+    return accept_rows(spark, d, "_all")
+
+
 @query(
     f"WITH {REG}, {seeds.values(seeds.TAXA, seeds.TAXA_COLUMNS, 'taxa0')}, {_OUTCOMES} SELECT j.accession, r.scientific_name AS pathogen, EXISTS (SELECT 1 FROM accession_index a WHERE a.in_atb = 'True' AND a.accession = j.accession AND a.pathogen_atb = j.pathogen) AS in_ATB, "
     "coalesce(CAST(date_start AS VARCHAR), '') AS date_start, coalesce(CAST(date_end AS VARCHAR), '') AS date_end, coalesce(CAST(date_score AS VARCHAR), '') AS date_score, coalesce(country, '') AS loc_country, CASE WHEN country IS NULL THEN '' ELSE coalesce(sublocation, 'NA') END AS loc_sublocation, "
     "coalesce(term_paths, '') AS iso_term_paths, coalesce(CAST(j.taxid AS VARCHAR), '') AS host_taxid, coalesce(t.scientific_name, '') AS host_scientific_name FROM j JOIN registry r ON r.key = j.pathogen LEFT JOIN taxa0 t ON t.taxid = j.taxid"
 )
-def final_projection(spark, d):
+def final_projection(spark, d, form=""):
     """The columns of the final table that the outcomes give."""
     names = E.taxa(spark).select("taxid", F.col("scientific_name").alias("host_scientific_name"))
-    o = _outcomes(spark, d).join(names, "taxid", "left").withColumnsRenamed({"taxid": "host_taxid", "country": "loc_country", "sublocation": "loc_sublocation", "term_paths": "iso_term_paths"})
+    o = _outcomes(spark, d, form).join(names, "taxid", "left").withColumnsRenamed({"taxid": "host_taxid", "country": "loc_country", "sublocation": "loc_sublocation", "term_paths": "iso_term_paths"})
     absent = {c for a in T.COLUMNS.values() for c in a} - set(o.columns)
     o = o.withColumns({c: F.lit(None).cast("string") for c in absent})
     member = table(spark, d, "accession_index").filter("in_atb = 'True'").select(F.col("pathogen_atb").alias("pathogen"), "accession")
@@ -147,13 +154,25 @@ def final_projection(spark, d):
     return wide.select("accession", "pathogen", "in_ATB", "date_start", "date_end", "date_score", "loc_country", "loc_sublocation", "iso_term_paths", "host_taxid", "host_scientific_name")
 
 
+@query()
+def final_projection_all(spark, d):
+    """``final_projection`` over all values, also those that its SQL leaves out."""
+    return final_projection(spark, d, "_all")
+
+
 @query(
     f"WITH {REG}, {_OUTCOMES}, g AS (SELECT r.key AS pathogen, count(j.accession) AS processed, count_if(j.date_start IS NOT NULL) AS dated, count_if(j.taxid IS NOT NULL) AS hosted, count_if(j.country IS NOT NULL) AS placed FROM registry r LEFT JOIN j ON j.pathogen = r.key GROUP BY r.key), "
     "long AS (SELECT pathogen, unnest(['processed', 'dated', 'hosted', 'placed']) AS metric, unnest([processed, dated, hosted, placed]) AS n FROM g) SELECT pathogen, metric, CAST(sum(n) AS BIGINT) AS n FROM long GROUP BY GROUPING SETS ((pathogen, metric), (metric))"
 )
-def report_rollup(spark, d):
+def report_rollup(spark, d, form=""):
     flags = {"dated": F.col("date_start").isNotNull(), "hosted": F.col("taxid").isNotNull(), "placed": F.col("country").isNotNull()}
-    return T.report(_outcomes(spark, d), registry(spark).select(F.col("key").alias("pathogen")), flags)
+    return T.report(_outcomes(spark, d, form), registry(spark).select(F.col("key").alias("pathogen")), flags)
+
+
+@query()
+def report_rollup_all(spark, d):
+    """``report_rollup`` over all values, also those that its SQL leaves out."""
+    return report_rollup(spark, d, "_all")
 
 
 @query(f"WITH hosts AS ({_STD_HOST}), g AS (SELECT x.pathogen, h.how FROM {_RECORDS} x JOIN hosts h ON h.record = x.accession) SELECT pathogen, how AS diagnostic, count(*) AS n FROM g GROUP BY GROUPING SETS ((pathogen, how), (how))")
@@ -163,19 +182,31 @@ def diagnostic_histogram(spark, d):
 
 
 @query(f"WITH hosts AS ({_STD_HOST}), raw AS (SELECT accession, arg_min(attr_value, decision_id) AS v FROM curation_decisions WHERE accession IS NOT NULL AND lower(trim(attr_name)) = 'host' GROUP BY accession), {E.TAXA} SELECT raw.accession, coalesce(nullif(trim(t.scientific_name), ''), trim(raw.v), '') AS host_context FROM raw LEFT JOIN hosts h ON h.record = raw.accession LEFT JOIN taxa t ON t.taxid = h.taxid".replace(f", {E.TAXA} SELECT", f", {seeds.values(seeds.TAXA, seeds.TAXA_COLUMNS, 'taxa')} SELECT"))
-def host_context(spark, d):
+def host_context(spark, d, form=""):
     raw = table(spark, d, "curation_decisions").filter("accession is not null and lower(trim(attr_name)) = 'host' and attr_value is not null").groupBy("accession").agg(F.min(F.struct("decision_id", "attr_value"))["attr_value"].alias("v"))
     every = table(spark, d, "curation_decisions").filter("accession is not null and lower(trim(attr_name)) = 'host'").select("accession").distinct().join(raw, "accession", "left")
-    h = E.QUERIES["std_host"](spark, d).select(F.col("record").alias("accession"), "taxid").join(E.taxa(spark).select("taxid", "scientific_name"), "taxid", "left")
+    h = E.QUERIES["std_host" + form](spark, d).select(F.col("record").alias("accession"), "taxid").join(E.taxa(spark).select("taxid", "scientific_name"), "taxid", "left")
     return every.join(h, "accession", "left").select("accession", T.host_context(F.col("scientific_name"), F.col("v")).alias("host_context"))
 
 
+@query()
+def host_context_all(spark, d):
+    """``host_context`` with the hosts of all values."""
+    return host_context(spark, d, "_all")
+
+
 @query(f"WITH isos AS ({_STD_ISO}) SELECT record AS accession, '{{\"accession\":' || to_json(record) || ',\"display_terms\":' || to_json(display_terms) || ',\"evidence_level\":' || to_json(evidence_level) || '}}' AS line FROM isos")
-def reasoning_json(spark, d):
-    i = E.QUERIES["std_isolation"](spark, d)
+def reasoning_json(spark, d, form=""):
+    i = E.QUERIES["std_isolation" + form](spark, d)
     return i.select(F.col("record").alias("accession"), T.reasoning_line({"accession": F.col("record"), "display_terms": F.col("display_terms"), "evidence_level": F.col("evidence_level")}).alias("line"))
 
 
+@query()
+def reasoning_json_all(spark, d):
+    """``reasoning_json`` over all values, also those that its SQL leaves out."""
+    return reasoning_json(spark, d, "_all")
+
+
 def dimensions(spark: SparkSession, d: str) -> PL.Dimensions:
     """The seed vocabularies, with the ontology and catalog of the tables."""
     nodes = seeds.frame(spark, seeds.NODES, seeds.NODES_COLUMNS)
@@ -193,8 +224,8 @@ def candidates(spark: SparkSession, d: str) -> DataFrame:
     dates = table(spark, d, "date_origins").filter("accession is not null and trim(accession) <> '' and attr_value is not null and attr_name is not null")
     dates = dates.groupBy(F.col("accession").alias("record"), F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"), "category").agg(F.min("origin_id").alias("pos"))
     out = dates.select("record", "pos", F.lit("date").alias("target"), "attribute", "value", "category")
-    for df, t in ((E.host_candidates(spark, d), "host"), (E.place_candidates(spark, d), "loc"), (E.iso_candidates(spark, d), "iso")):
-        out = out.unionByName(part(df, t))
+    for names, t in ((E.HOST, "host"), (E.PLACE, "loc"), (E.ISO, "iso")):
+        out = out.unionByName(part(E.whole_candidates(spark, d, names), t))
     return out
 
 
