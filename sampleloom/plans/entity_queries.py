@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sampleloom.functions import strings as S
+from sampleloom.operators import curation as C
 from sampleloom.operators import hosts as H
 from sampleloom.operators import isolation as I
 from sampleloom.operators import model_requests as M
 from sampleloom.operators import places as G
 from sampleloom.plans import seeds
-from sampleloom.session import table
+from sampleloom.plans.relational_queries import CURATION
+from sampleloom.session import cut, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -74,10 +76,9 @@ _SUBSET = (
 _HOST_SQL = f"WITH {TAXA}, {PREEMPT}, {_TERMS}, {_HOSTS}, {_VALS}, {_SUBSET}"
 
 
-HOST, PLACE, ISO = (
-    ("host", "host_common_name", "host_taxid", "host organism", "common name of host", "host common name"), ("geo_loc_name", "geographic location", "place name", "latitude_only"),
-    ("isolation_source", "env_medium", "env_local_scale", "food_source", "source_type"),
-)
+HOST = ("host", "host_common_name", "host_taxid", "host organism", "common name of host", "host common name")
+PLACE = ("geo_loc_name", "geographic location", "place name", "latitude_only")
+ISO = ("isolation_source", "env_medium", "env_local_scale", "food_source", "source_type")
 
 
 def _listed(spark, d, names):
@@ -85,9 +86,30 @@ def _listed(spark, d, names):
     return table(spark, d, "curation_decisions").filter(F.col("accession").isNotNull() & name.isin(*names)).withColumn("name", name)
 
 
-def whole_candidates(spark, d, names):
-    """``(record, pos, attribute, value)`` of the attributes, values of any script and nulls, copies once."""
-    return _listed(spark, d, names).select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("name").alias("attribute"), F.col("attr_value").alias("value")).distinct()
+def curation_rules(spark, d):
+    """The rule set of ``curate`` with the names and aliases of the table of attributes and the names listed here."""
+    accepted = {t: dict(x.get("accepted", {})) for t, x in CURATION["targets"].items()}
+    for t, names in (("host", HOST), ("loc", PLACE), ("iso", ISO)):
+        accepted[t] |= dict.fromkeys(names, "")
+    for r in table(spark, d, "attribute_types").filter("match_target in ('host', 'loc', 'iso')").collect():
+        accepted[r["match_target"]] |= dict.fromkeys([r["attr_name"], *[a for a in (r["aliases"] or "").split(";") if a.strip()]], "")
+    return C.CurationRules.of(CURATION | {"targets": {t: x | {"accepted": accepted[t]} for t, x in CURATION["targets"].items()}})
+
+
+def curated(spark, d):
+    """``(record, pos, target, attribute, value, full)`` of the rows that curation gives to the host, place and isolation targets, copies once.
+
+    Names that the operators know are given as these; the others stay as written, in lower case.
+    """
+    t = table(spark, d, "curation_decisions").filter("accession is not null").select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value")).distinct()
+    got = C.curate(t, curation_rules(spark, d)).select("record", "pos", F.explode("matches.target").alias("target"), "attribute", "value", F.col("normalized_attribute").alias("full")).filter("target <> 'date'")
+    known = F.col("full").isin("host", "host taxid", "latitude only")
+    return got.withColumn("attribute", F.when(known, F.translate("full", " ", "_")).otherwise(F.lower(S.strip(F.coalesce("attribute", F.lit(""))))))
+
+
+def whole_candidates(spark, d, target):
+    """``(record, pos, attribute, value)`` of a target, names in any spelling, values of any script, without missing ones; cut, as a step reads them often."""
+    return cut(curated(spark, d).filter(F.col("target") == target).select("record", "pos", "attribute", "value").distinct())
 
 
 def _plain(t):
@@ -191,7 +213,7 @@ def std_host(spark, d):
 @query()
 def std_host_all(spark, d):
     """``std_host`` over all values, also those that its SQL leaves out."""
-    return hosts_of(spark, d, cands=whole_candidates(spark, d, HOST)).select("record", F.col("diagnostics")[0].alias("how"), "taxid", "score", "overflow")
+    return hosts_of(spark, d, cands=whole_candidates(spark, d, "host")).select("record", F.col("diagnostics")[0].alias("how"), "taxid", "score", "overflow")
 
 
 @query(_STD_HOST.replace(f"WHERE {_KW_EXISTS})", "WHERE false)") + " SELECT record, how, CASE how WHEN 'forced_override' THEN forced WHEN 'matched' THEN taxid END AS taxid FROM std")
@@ -312,7 +334,7 @@ def std_location(spark, d):
 @query()
 def std_location_all(spark, d):
     """``std_location`` over all values, also those that its SQL leaves out."""
-    return places_of(spark, d, whole_candidates(spark, d, PLACE)).select("record", "country", "sublocation", "diagnostic", "request")
+    return places_of(spark, d, whole_candidates(spark, d, "loc")).select("record", "country", "sublocation", "diagnostic", "request")
 
 
 # ---- isolation -------------------------------------------------------------------------------------------------------
@@ -380,7 +402,7 @@ def std_isolation(spark, d):
 @query()
 def std_isolation_all(spark, d):
     """``std_isolation`` over all values, also those that its SQL leaves out."""
-    return I.standardize_isolation(whole_candidates(spark, d, ISO), table(spark, d, "ontology_terms")).select("record", "categories", "display_terms", "term_paths", "evidence_level", "covered")
+    return I.standardize_isolation(whole_candidates(spark, d, "iso"), table(spark, d, "ontology_terms")).select("record", "categories", "display_terms", "term_paths", "evidence_level", "covered")
 
 
 _LEVELS = ("none", "sample", "project", "sample_and_project")
@@ -457,7 +479,7 @@ def _stand_in(request: str) -> str:
 @query()
 def iso_llm(spark, d):
     """Requests that a model would get for records that direct matches do not cover, and their fingerprints."""
-    c = whole_candidates(spark, d, ISO).withColumn("value", S.strip(F.col("value")))
+    c = whole_candidates(spark, d, "iso").withColumn("value", S.strip(F.col("value")))
     std = I.standardize_isolation(c, table(spark, d, "ontology_terms")).filter("not covered and request_mode is not null").select("record", "request_mode")
     pairs = c.filter("value <> ''").groupBy("record").agg(F.array_sort(F.collect_list(F.struct("pos", "attribute", "value"))).alias("p"))
     text = M.request_json("m-1", {"temperature": 0}, "terms:1", "Choose terms.", S.render_block(F.col("p.attribute"), F.col("p.value")))

@@ -182,17 +182,20 @@ def diagnostic_histogram(spark, d):
 
 
 @query(f"WITH hosts AS ({_STD_HOST}), raw AS (SELECT accession, arg_min(attr_value, decision_id) AS v FROM curation_decisions WHERE accession IS NOT NULL AND lower(trim(attr_name)) = 'host' GROUP BY accession), {E.TAXA} SELECT raw.accession, coalesce(nullif(trim(t.scientific_name), ''), trim(raw.v), '') AS host_context FROM raw LEFT JOIN hosts h ON h.record = raw.accession LEFT JOIN taxa t ON t.taxid = h.taxid".replace(f", {E.TAXA} SELECT", f", {seeds.values(seeds.TAXA, seeds.TAXA_COLUMNS, 'taxa')} SELECT"))
-def host_context(spark, d, form=""):
+def host_context(spark, d):
     raw = table(spark, d, "curation_decisions").filter("accession is not null and lower(trim(attr_name)) = 'host' and attr_value is not null").groupBy("accession").agg(F.min(F.struct("decision_id", "attr_value"))["attr_value"].alias("v"))
     every = table(spark, d, "curation_decisions").filter("accession is not null and lower(trim(attr_name)) = 'host'").select("accession").distinct().join(raw, "accession", "left")
-    h = E.QUERIES["std_host" + form](spark, d).select(F.col("record").alias("accession"), "taxid").join(E.taxa(spark).select("taxid", "scientific_name"), "taxid", "left")
+    h = E.QUERIES["std_host"](spark, d).select(F.col("record").alias("accession"), "taxid").join(E.taxa(spark).select("taxid", "scientific_name"), "taxid", "left")
     return every.join(h, "accession", "left").select("accession", T.host_context(F.col("scientific_name"), F.col("v")).alias("host_context"))
 
 
 @query()
 def host_context_all(spark, d):
-    """``host_context`` with the hosts of all values."""
-    return host_context(spark, d, "_all")
+    """``host_context`` with the hosts of all values, for every record with a host candidate."""
+    c = E.whole_candidates(spark, d, "host")
+    raw = c.filter("attribute = 'host'").groupBy(F.col("record").alias("accession")).agg(F.min(F.struct("pos", "value"))["value"].alias("v"))
+    h = E.QUERIES["std_host_all"](spark, d).select(F.col("record").alias("accession"), "taxid").join(E.taxa(spark).select("taxid", "scientific_name"), "taxid", "left")
+    return h.join(raw, "accession", "left").select("accession", T.host_context(F.col("scientific_name"), S.strip(F.col("v"))).alias("host_context"))
 
 
 @query(f"WITH isos AS ({_STD_ISO}) SELECT record AS accession, '{{\"accession\":' || to_json(record) || ',\"display_terms\":' || to_json(display_terms) || ',\"evidence_level\":' || to_json(evidence_level) || '}}' AS line FROM isos")
@@ -220,13 +223,11 @@ def dimensions(spark: SparkSession, d: str) -> PL.Dimensions:
 
 def candidates(spark: SparkSession, d: str) -> DataFrame:
     """``(record, pos, target, attribute, value, category)`` of all four targets."""
-    part = lambda df, t: df.select("record", "pos", F.lit(t).alias("target"), "attribute", "value", F.lit("").alias("category"))
     dates = table(spark, d, "date_origins").filter("accession is not null and trim(accession) <> '' and attr_value is not null and attr_name is not null")
     dates = dates.groupBy(F.col("accession").alias("record"), F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"), "category").agg(F.min("origin_id").alias("pos"))
     out = dates.select("record", "pos", F.lit("date").alias("target"), "attribute", "value", "category")
-    for names, t in ((E.HOST, "host"), (E.PLACE, "loc"), (E.ISO, "iso")):
-        out = out.unionByName(part(E.whole_candidates(spark, d, names), t))
-    return out
+    rest = E.curated(spark, d).select("record", "pos", "target", "attribute", "value", F.lit("").alias("category")).distinct()
+    return out.unionByName(rest)
 
 
 @query()

@@ -7,6 +7,8 @@ from sampleloom.plans.entity_queries import QUERIES as E
 
 ROWS = [  # accession, name, value
     ("A1", "host", "brindle\tox"), ("A2", "host", "Ursina fulva　"), ("A3", "host", "piñon hare"), ("A4", "host", " \t"),
+    ("B1", "Host-Taxid:", "91001"), ("B2", "ｈｏｓｔ", "reed duck"), ("B3", '"Host Organism"', "stone carp"), ("B4", "host", "not collected"), ("B4", "host", None),
+    ("B1", "Isolation Source", "silt mud"), ("B2", "source of isolation", "silt mud"), ("B1", "geo loc name", "Selmark: Ohn"), ("B2", "remark", "Peskar: Low"),
     ("A1", "geo_loc_name", "Norvelia:\tUpper\tDahl "), ("A2", "geo_loc_name", "５１.5 N, 2.5 E"), ("A3", "geo_loc_name", "\tQuessant : Île Brae"),
     ("A1", "isolation_source", " silt mud\t"), ("A2", "isolation_source", "piñon marinade"),
 ]
@@ -19,6 +21,7 @@ def folder(spark, tmp_path_factory):
     rows = [(i, *r) for i, r in enumerate(ROWS)]
     spark.createDataFrame(rows, "decision_id long, accession string, attr_name string, attr_value string").write.parquet(f"{d}/curation_decisions.parquet")
     spark.createDataFrame(ONTOLOGY, "term string, display_term string, ontology_link string, synonyms string, crosslink_term string, term_comment string").write.parquet(f"{d}/ontology_terms.parquet")
+    spark.createDataFrame([("isolation_source", "iso", "source of isolation;isol src"), ("host", "host", "host organism")], "attr_name string, match_target string, aliases string").write.parquet(f"{d}/attribute_types.parquet")
     spark.createDataFrame([(0, "A9", "collection_date", "2019", "s")], "origin_id long, accession string, attr_name string, attr_value string, category string").write.parquet(f"{d}/date_origins.parquet")
     return d
 
@@ -41,3 +44,13 @@ def test_isolation_of_all_values(spark, folder):
 def test_candidates_of_all_values(spark, folder):
     got = {(r["record"], r["target"]) for r in Q.candidates(spark, folder).collect()}
     assert {("A1", "host"), ("A2", "host"), ("A3", "host"), ("A1", "loc"), ("A2", "loc"), ("A3", "loc"), ("A1", "iso"), ("A2", "iso")} <= got
+
+
+def test_spellings_and_missing_values(spark, folder):
+    hosts = {r["record"]: r["taxid"] for r in E["std_host_all"](spark, folder).collect()}
+    assert (hosts["B1"], hosts["B2"]) == (91001, 91004) and "B3" in hosts and "B4" not in hosts
+    isos = {r["record"]: r["term_paths"] for r in E["std_isolation_all"](spark, folder).collect()}
+    places = {r["record"]: r["country"] for r in E["std_location_all"](spark, folder).collect()}
+    assert (isos["B1"], isos["B2"], places["B1"], places["B2"]) == ("outdoor:mud", "outdoor:mud", "Selmark", "Peskar")
+    got = {(r["record"], r["target"]) for r in Q.candidates(spark, folder).collect()}
+    assert {("B1", "host"), ("B2", "host"), ("B3", "host"), ("B1", "iso"), ("B2", "iso"), ("B1", "loc"), ("B2", "loc")} <= got and ("B4", "host") not in got
