@@ -107,6 +107,12 @@ def count_selected(spark, d):
     return T.count_groups(some, registry(spark).select(F.col("key").alias("pathogen")))
 
 
+@query()
+def count_selected_all(spark, d):
+    """Records of each registered pathogen over the whole index; the SQL of ``count_selected`` takes a part of it."""
+    return T.count_groups(records(spark, d), registry(spark).select(F.col("key").alias("pathogen")))
+
+
 _STD_DATE, _STD_HOST, _STD_LOC, _STD_ISO = DQ.ORACLE["std_date"], E.ORACLE["std_host"], E.ORACLE["std_location"], E.ORACLE["std_isolation"]
 _OUTCOMES = (
     f"dates AS ({_STD_DATE}), hosts AS ({_STD_HOST}), places AS ({_STD_LOC}), isos AS ({_STD_ISO}), j AS (SELECT x.accession, x.pathogen, d.date_start, d.date_end, d.date_score, h.taxid, h.how, l.country, l.sublocation, i.term_paths, i.display_terms "
