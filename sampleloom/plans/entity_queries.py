@@ -158,11 +158,17 @@ def host_taxid(spark, d):
 
 
 @query(f"SELECT DISTINCT value, kw FROM (SELECT attr_value AS value, CASE {' '.join('WHEN list_has_all(string_split(' + _norm('attr_value') + ', chr(32)), [' + ', '.join(repr(w) for w in k.split()) + ']) THEN ' + repr(k) for k in seeds.ISOLATION_KEYWORDS)} END AS kw FROM curation_decisions WHERE {_ASCII}) WHERE kw IS NOT NULL")
-def keyword_preempt(spark, d):
-    t = table(spark, d, "curation_decisions").filter(F.col("attr_value").rlike(r"\A[\x20-\x7e]*\z")).select(F.col("attr_value").alias("value")).distinct()
+def keyword_preempt(spark, d, plain=True):
+    t = _values(spark, d, plain)
     return t.withColumn("kw", H.keyword_hit(F.array("value"), seeds.ISOLATION_KEYWORDS)).filter("kw is not null")
 
 
+@query()
+def keyword_preempt_all(spark, d):
+    """``keyword_preempt`` over all rows that are not null, also those that its SQL leaves out."""
+    return keyword_preempt(spark, d, False)
+
+
 _DECIDED = f"hits AS (SELECT record, pos, taxid FROM (SELECT record, pos, {_norm('value')} AS norm_value FROM hosts) h JOIN preempt USING (norm_value)), decided AS (SELECT record, bool_or(taxid IS NULL) AS rejected, arg_min(taxid, pos) FILTER (WHERE taxid IS NOT NULL) AS forced, min(pos) FILTER (WHERE taxid IS NOT NULL) AS forced_pos FROM hits GROUP BY record)"
 
 
@@ -273,21 +279,34 @@ _TOKENS = (
 )
 
 
-def _place_values(spark, d):
-    return table(spark, d, "curation_decisions").filter(F.col("attr_value").rlike(r"\A[\x20-\x7e]*\z")).select(F.col("attr_value").alias("value")).distinct()
+def _values(spark, d, plain=True):
+    t = table(spark, d, "curation_decisions")
+    return (_plain(t) if plain else t.filter("attr_value is not null")).select(F.col("attr_value").alias("value")).distinct()
 
 
 @query(f"WITH {COUNTRIES}, {_TOKENS} SELECT * FROM ctry")
-def country_lookup(spark, d):
-    return G.lookup_countries(_place_values(spark, d), countries(spark))
+def country_lookup(spark, d, plain=True):
+    return G.lookup_countries(_values(spark, d, plain), countries(spark))
+
+
+@query()
+def country_lookup_all(spark, d):
+    """``country_lookup`` over all rows that are not null, also those that its SQL leaves out."""
+    return country_lookup(spark, d, False)
 
 
 @query(f"WITH {COUNTRIES}, {REMAP}, {OFFICIAL}, {_TOKENS}, m AS (SELECT value, c.country, coalesce(r.mapped, c.country) AS m FROM ctry c LEFT JOIN remap r ON r.country = c.country) SELECT value, country, o.name AS official, o.name IS NULL AS unmappable FROM m LEFT JOIN official o ON o.name = m.m")
-def country_remap(spark, d):
-    got = G.lookup_countries(_place_values(spark, d), countries(spark)).select("value", "country")
+def country_remap(spark, d, plain=True):
+    got = G.lookup_countries(_values(spark, d, plain), countries(spark)).select("value", "country")
     return G.to_official(got, seeds.frame(spark, seeds.REMAP, seeds.REMAP_COLUMNS), seeds.frame(spark, seeds.OFFICIAL_NAMES, "name string"))
 
 
+@query()
+def country_remap_all(spark, d):
+    """``country_remap`` over all rows that are not null, also those that its SQL leaves out."""
+    return country_remap(spark, d, False)
+
+
 _LOC_NAMES = "('geo_loc_name', 'geographic location', 'place name', 'latitude_only')"
 _LOCS = f"locs AS (SELECT DISTINCT accession AS record, decision_id AS pos, lower(trim(attr_name)) AS attribute, trim(attr_value) AS value FROM curation_decisions WHERE accession IS NOT NULL AND lower(trim(attr_name)) IN {_LOC_NAMES} AND {_ASCII})"
 _PLACES = (

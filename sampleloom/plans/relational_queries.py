@@ -318,17 +318,29 @@ _ASCII = "regexp_full_match({}, '[\\x20-\\x7e]*')"
 _PLAIN = r"\A[\x20-\x7e]*\z"
 
 
+def _texts(spark, d, column, plain):
+    """Decisions whose text is there, or is printable ASCII as the SQL has it."""
+    c = F.col(column)
+    return table(spark, d, "curation_decisions").filter(c.rlike(_PLAIN) if plain else c.isNotNull())
+
+
 @query(
     f"SELECT attr_value, n FROM (SELECT attr_value, {_FULL.replace('s', 's')} AS f, n FROM (SELECT attr_value, trim(lower(attr_value)) AS s, count(DISTINCT decision_id) AS n FROM curation_decisions WHERE {_ASCII.format('attr_value')} GROUP BY attr_value)) "
     "WHERE f = '' OR f IN (SELECT trim(regexp_replace(lower(word), '[^0-9a-z]+', ' ', 'g')) FROM missing_words)"
 )
-def missing_filter(spark, d):
-    t = table(spark, d, "curation_decisions").filter(F.col("attr_value").rlike(_PLAIN)).select("attr_value", "decision_id").distinct().groupBy("attr_value").agg(F.count("*").alias("n"))
+def missing_filter(spark, d, plain=True):
+    t = _texts(spark, d, "attr_value", plain).select("attr_value", "decision_id").distinct().groupBy("attr_value").agg(F.count("*").alias("n"))
     rule = C.ValueRule.of(C.UNIVERSAL, {"exact": [r[0] for r in table(spark, d, "missing_words").collect()]})
     shown = presentation_col(F.col("attr_value"))
     return t.withColumn("__p", shown).withColumn("__f", full_col(F.col("attr_value"))).filter(rule.definite(F.col("__f"), F.col("__p"))).select("attr_value", "n")
 
 
+@query()
+def missing_filter_all(spark, d):
+    """``missing_filter`` over all rows that are not null, also those that its SQL leaves out."""
+    return missing_filter(spark, d, False)
+
+
 _TYPO = "substr(w, 1, 2) || substr(w, 4, 1) || substr(w, 3, 1) || substr(w, 5)"
 
 
@@ -348,12 +360,18 @@ def fuzzy_missing(spark, d):
     f"SELECT DISTINCT attr_name, f AS normalized, CASE WHEN list_has_any(string_split(f, ' '), ['host', 'herd']) OR contains(' ' || f || ' ', ' source organism ') THEN 'host_fields' WHEN regexp_matches(f, '(^| )(place|geo|site)') OR contains(' ' || f || ' ', ' visit round ') THEN 'place_words' END AS family "
     f"FROM (SELECT attr_name, {_FULL} AS f FROM (SELECT attr_name, trim(lower(attr_name)) AS s FROM curation_decisions WHERE {_ASCII.format('attr_name')}))"
 )
-def discover_attr(spark, d):
+def discover_attr(spark, d, plain=True):
     rules = (C.Discovery("host_fields", frozenset(("host", "herd")), ("source organism",)), C.Discovery("place_words", frozenset(), ("visit round",), ("(^| )(place|geo|site)",)))
-    t = table(spark, d, "curation_decisions").filter(F.col("attr_name").rlike(_PLAIN)).select("attr_name").distinct().withColumn("normalized", full_col(F.col("attr_name")))
+    t = _texts(spark, d, "attr_name", plain).select("attr_name").distinct().withColumn("normalized", full_col(F.col("attr_name")))
     return t.select("attr_name", "normalized", F.when(rules[0].hits(F.col("normalized")), rules[0].family).when(rules[1].hits(F.col("normalized")), rules[1].family).alias("family"))
 
 
+@query()
+def discover_attr_all(spark, d):
+    """``discover_attr`` over all rows that are not null, also those that its SQL leaves out."""
+    return discover_attr(spark, d, False)
+
+
 _NAMES = [c[0] for c in seeds.COUNTRIES]
 
 
@@ -361,20 +379,33 @@ _NAMES = [c[0] for c in seeds.COUNTRIES]
     "WITH v AS (SELECT DISTINCT attr_value, trim(regexp_replace(trim(lower(attr_value)), '\\s+', ' ', 'g')) AS p FROM curation_decisions WHERE " + _ASCII.format("attr_value") + " AND NOT starts_with(trim(attr_value), '\"') AND NOT starts_with(trim(attr_value), '''')) "
     "SELECT attr_value FROM v WHERE " + " OR ".join(f"regexp_matches(p, '^{n}\\s*[:,]\\s*\\S')" for n in _NAMES)
 )
-def loc_rescue(spark, d):
-    v = table(spark, d, "curation_decisions").filter(F.col("attr_value").rlike(_PLAIN) & ~F.trim("attr_value").rlike("\\A[\"']")).select("attr_value").distinct()
+def loc_rescue(spark, d, plain=True):
+    v = _texts(spark, d, "attr_value", plain)
+    v = (v.filter(~F.trim("attr_value").rlike("\\A[\"']")) if plain else v).select("attr_value").distinct()
     rules = C.CurationRules.of({"location_rescue": {"names": _NAMES, "separators": [":", ","]}})
     return v.filter(C.rescued(presentation_col(F.col("attr_value")), rules.rescue_prefixes, rules.rescue_separators))
 
 
+@query()
+def loc_rescue_all(spark, d):
+    """``loc_rescue`` over all rows that are not null, also those that its SQL leaves out."""
+    return loc_rescue(spark, d, False)
+
+
 @query(
     "WITH t AS (SELECT DISTINCT decision_id, attr_name FROM curation_decisions WHERE attr_name IS NOT NULL), r AS (SELECT attr_name AS rule, match_target, replace(attr_name, '_', ' ') AS norm FROM attribute_types WHERE match_target IS NOT NULL) "
     "SELECT decision_id, match_target AS target, rule FROM t JOIN r ON trim(regexp_replace(lower(attr_name), '[^0-9a-z]+', ' ', 'g')) = norm WHERE " + _ASCII.format("attr_name")
 )
-def join_rules(spark, d):
+def join_rules(spark, d, plain=True):
     rules = dimension(table(spark, d, "attribute_types").filter("match_target is not null").select(F.col("attr_name").alias("rule"), F.col("match_target").alias("target"), F.replace(F.col("attr_name"), F.lit("_"), F.lit(" ")).alias("norm")))
-    t = table(spark, d, "curation_decisions").filter(F.col("attr_name").rlike(_PLAIN)).select("decision_id", "attr_name").distinct()
-    return t.withColumn("norm", F.trim(F.regexp_replace(F.lower("attr_name"), "[^0-9a-z]+", " "))).join(rules, "norm").select("decision_id", "target", "rule")
+    t = _texts(spark, d, "attr_name", plain).select("decision_id", "attr_name").distinct()
+    return t.withColumn("norm", F.trim(F.regexp_replace(F.lower("attr_name"), "[^0-9a-z]+", " ")) if plain else full_col(F.col("attr_name"))).join(rules, "norm").select("decision_id", "target", "rule")
+
+
+@query()
+def join_rules_all(spark, d):
+    """``join_rules`` over all rows that are not null, also those that its SQL leaves out."""
+    return join_rules(spark, d, False)
 
 
 @query("SELECT c.decision_id, i.pathogen FROM (SELECT DISTINCT decision_id, accession FROM curation_decisions) c JOIN (SELECT accession, arg_max(pathogen_biosample, (first_seen, pathogen_biosample)) AS pathogen FROM accession_index WHERE trim(accession) <> '' AND trim(pathogen_biosample) <> '' GROUP BY accession) i USING (accession)")

@@ -49,11 +49,17 @@ _ASCII = "regexp_full_match(attr_value, '[\\x20-\\x7e\\t]*')"
 
 
 @query(f"SELECT DISTINCT attr_value, trim(regexp_replace(regexp_replace(replace(replace(lower(attr_value), '_', ' '), '-', ' '), '[[:punct:]]', '', 'g'), '\\s+', ' ', 'g')) AS norm FROM curation_decisions WHERE {_ASCII}")
-def norm_host(spark, d):
-    rows = table(spark, d, "curation_decisions").filter(F.col("attr_value").rlike(r"\A[\x20-\x7e\t]*\z"))
+def norm_host(spark, d, plain=True):
+    rows = table(spark, d, "curation_decisions").filter(F.col("attr_value").rlike(r"\A[\x20-\x7e\t]*\z") if plain else F.col("attr_value").isNotNull())
     return rows.select("attr_value", S.norm_host(F.col("attr_value")).alias("norm")).distinct()
 
 
+@query()
+def norm_host_all(spark, d):
+    """``norm_host`` over all rows that are not null, also those that its SQL leaves out."""
+    return norm_host(spark, d, False)
+
+
 @query("SELECT term, array_to_string(list_filter(list_transform(string_split(coalesce(synonyms, ''), ';'), lambda x: trim(x)), lambda x: x <> '' AND lower(x) <> 'nan'), '|') AS items FROM ontology_terms")
 def semi_split(spark, d):
     return table(spark, d, "ontology_terms").select("term", F.array_join(S.semi_split(F.col("synonyms")), "|").alias("items"))

@@ -1,14 +1,22 @@
 """Queries over all values: white space, scripts and spellings that the SQL comparison leaves out."""
 
+import re
+import string
+
 import pytest
 
+from sampleloom.functions.text import full, presentation
 from sampleloom.plans import pipeline_queries as Q
+from sampleloom.plans import seeds
 from sampleloom.plans.entity_queries import QUERIES as E
+from sampleloom.plans.relational_queries import QUERIES as R
+from sampleloom.plans.text_queries import QUERIES as X
 
 ROWS = [  # accession, name, value
     ("A1", "host", "brindle\tox"), ("A2", "host", "Ursina fulva　"), ("A3", "host", "piñon hare"), ("A4", "host", " \t"),
     ("B1", "Host-Taxid:", "91001"), ("B2", "ｈｏｓｔ", "reed duck"), ("B3", '"Host Organism"', "stone carp"), ("B4", "host", "not collected"), ("B4", "host", None),
     ("B1", "Isolation Source", "silt mud"), ("B2", "source of isolation", "silt mud"), ("B1", "geo loc name", "Selmark: Ohn"), ("B2", "remark", "Peskar: Low"),
+    ("C1", "remark", "ｎｏ ｄａｔａ"), ("C2", "remark", "NOT\xa0APPLICABLE"), ("C3", "remark", "\"Zuberland:\tOhn\""), ("C4", "ｈｅｒｄ", "raw\tcurd é"), ("C5", "isolation\xa0source", "Tavira Isles;\tÎle"),
     ("A1", "geo_loc_name", "Norvelia:\tUpper\tDahl "), ("A2", "geo_loc_name", "５１.5 N, 2.5 E"), ("A3", "geo_loc_name", "\tQuessant : Île Brae"),
     ("A1", "isolation_source", " silt mud\t"), ("A2", "isolation_source", "piñon marinade"),
 ]
@@ -22,6 +30,7 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(rows, "decision_id long, accession string, attr_name string, attr_value string").write.parquet(f"{d}/curation_decisions.parquet")
     spark.createDataFrame(ONTOLOGY, "term string, display_term string, ontology_link string, synonyms string, crosslink_term string, term_comment string").write.parquet(f"{d}/ontology_terms.parquet")
     spark.createDataFrame([("isolation_source", "iso", "source of isolation;isol src"), ("host", "host", "host organism")], "attr_name string, match_target string, aliases string").write.parquet(f"{d}/attribute_types.parquet")
+    spark.createDataFrame([("no data",), ("not applicable",)], "word string").write.parquet(f"{d}/missing_words.parquet")
     spark.createDataFrame([(0, "A9", "collection_date", "2019", "s")], "origin_id long, accession string, attr_name string, attr_value string, category string").write.parquet(f"{d}/date_origins.parquet")
     return d
 
@@ -54,3 +63,23 @@ def test_spellings_and_missing_values(spark, folder):
     assert (isos["B1"], isos["B2"], places["B1"], places["B2"]) == ("outdoor:mud", "outdoor:mud", "Selmark", "Peskar")
     got = {(r["record"], r["target"]) for r in Q.candidates(spark, folder).collect()}
     assert {("B1", "host"), ("B2", "host"), ("B3", "host"), ("B1", "iso"), ("B2", "iso"), ("B1", "loc"), ("B2", "loc")} <= got and ("B4", "host") not in got
+
+
+def test_single_steps_of_all_values(spark, folder):
+    values = {v for _, _, v in ROWS if v is not None}
+    names = {a for _, a, _ in ROWS}
+    take = lambda f, *cols: {tuple(r[c] for c in cols) if len(cols) > 1 else r[cols[0]] for r in f(spark, folder).collect()}
+    assert take(R["missing_filter_all"], "attr_value") == {v for v in values if full(v) in ("", "no data", "not applicable")}
+    place = re.compile(rf"(?:{'|'.join(c[0] for c in seeds.COUNTRIES)})\s*[:,]\s*\S")
+    assert take(R["loc_rescue_all"], "attr_value") == {v for v in values if place.match(presentation(v))}
+    assert take(R["discover_attr_all"], "attr_name", "normalized") == {(a, full(a)) for a in names}
+    rules = {"isolation source": "iso", "host": "host"}
+    assert take(R["join_rules_all"], "decision_id", "target") == {(i, rules[full(a)]) for i, (_, a, _) in enumerate(ROWS) if full(a) in rules}
+    host = lambda v: " ".join(v.lower().translate(str.maketrans("_-", "  ")).translate(str.maketrans("", "", string.punctuation)).split())
+    assert take(X["norm_host_all"], "attr_value", "norm") == {(v, host(v)) for v in values}
+    keyword = lambda v: next((k for k in seeds.ISOLATION_KEYWORDS if set(k.split()) <= set(host(v).split())), None)
+    assert take(E["keyword_preempt_all"], "value", "kw") == {(v, keyword(v)) for v in values if keyword(v)}
+    known = {c[0]: c[1] for c in seeds.COUNTRIES}
+    country = lambda v: next((known[t] for t in (" ".join(x.split()).lower() for x in re.split("[:;,]", v)) if t in known), None)
+    found = {(v, country(v)) for v in values if country(v)}
+    assert take(E["country_lookup_all"], "value", "country") == take(E["country_remap_all"], "value", "country") == found
