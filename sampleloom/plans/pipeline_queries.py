@@ -121,8 +121,8 @@ _OUTCOMES = (
 
 
 def _outcomes(spark, d, form=""):
-    """Outcomes of the records; ``form`` is the ending of the step queries."""
-    r = T.select_groups(records(spark, d), _SELECTED)
+    """Outcomes of the records; ``form`` is the ending of the step queries, with it all registered pathogens are taken."""
+    r = T.select_groups(records(spark, d), [x[0] for x in seeds.REGISTRY] if form else _SELECTED)
     k = lambda df: df.withColumnRenamed("record", "accession")
     dates = DQ.QUERIES["std_date"](spark, d)
     hosts, places, isos = (k(E.QUERIES[n + form](spark, d)) for n in ("std_host", "std_location", "std_isolation"))
@@ -140,7 +140,7 @@ def accept_rows(spark, d, form=""):
 
 @query()
 def accept_rows_all(spark, d):
-    """``accept_rows`` over all values, also those that its SQL leaves out."""
+    """``accept_rows`` over all values and registered pathogens, also those that its SQL leaves out."""
     return accept_rows(spark, d, "_all")
 
 
@@ -162,7 +162,7 @@ def final_projection(spark, d, form=""):
 
 @query()
 def final_projection_all(spark, d):
-    """``final_projection`` over all values, also those that its SQL leaves out."""
+    """``final_projection`` over all values and registered pathogens, also those that its SQL leaves out."""
     return final_projection(spark, d, "_all")
 
 
@@ -177,7 +177,7 @@ def report_rollup(spark, d, form=""):
 
 @query()
 def report_rollup_all(spark, d):
-    """``report_rollup`` over all values, also those that its SQL leaves out."""
+    """``report_rollup`` over all values and registered pathogens, also those that its SQL leaves out."""
     return report_rollup(spark, d, "_all")
 
 
