@@ -20,20 +20,23 @@ RANKS = (
 ROOT = 1
 
 
-def ancestor_paths(nodes: DataFrame, max_rounds: int = 8) -> DataFrame:
+def ancestor_paths(nodes: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """``(taxid, path)`` for ``nodes (taxid, parent)``: the taxon, its parent and so on, without the root.
 
     A path ends before the root, before a parent that is not in the table, and before a node it already holds. Null ids
-    and copies are left out. Up to 2**max_rounds levels.
+    and copies are left out. Any depth: the length at least doubles in each round, and cycles end by the overlap. With
+    ``max_rounds`` a tree of more than 2**max_rounds levels fails.
     """
     edges = nodes.filter("taxid is not null").select("taxid", "parent").dropDuplicates(["taxid"])
     known = edges.select(F.col("taxid").alias("parent"), F.lit(True).alias("__known"))
     base = edges.filter(F.col("taxid") != ROOT).join(known, "parent", "left")
     stop = F.col("__known").isNull() | (F.col("parent") == ROOT) | (F.col("parent") == F.col("taxid"))
     paths = cut(base.select("taxid", F.array("taxid").alias("path"), F.when(~stop, F.col("parent")).alias("up")))
-    for _ in range(max_rounds):
-        if not paths.filter("up is not null").limit(1).count():
-            break
+    rounds = 0
+    while paths.filter("up is not null").limit(1).count():
+        if rounds == max_rounds:
+            raise ValueError(f"the tree has more than {2**max_rounds} levels")
+        rounds += 1
         far = paths.select(F.col("taxid").alias("up"), F.col("path").alias("__p"), F.col("up").alias("__u"))
         more = paths.join(far, "up", "left")
         joined = F.concat("path", F.coalesce("__p", F.array().cast("array<bigint>")))
