@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from json.scanner import py_make_scanner
+from xml.parsers import expat
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,8 @@ def _embedded(v: object) -> object:
         if s[:1] in ("{", "["):
             try:
                 return json.loads(s)
+            except RecursionError:
+                return _deep_json(s)
             except ValueError:
                 return None
         return None
@@ -195,24 +200,63 @@ def _xml_project(out: _Levels, record: int, root: ET.Element) -> None:
         todo += [(x, accession) for x in reversed(subs)]
 
 
+class _Declared(Exception):
+    pass
+
+
+def _declares_entity(s: str) -> bool:
+    """True for a declaration, not for its mere text in a comment or CDATA section; stops at the first one."""
+
+    def stop(*_: object) -> None:
+        raise _Declared
+
+    p = expat.ParserCreate()
+    p.EntityDeclHandler = stop
+    try:
+        p.Parse(re.sub(r"\A<\?xml[^>]*\?>", "", s), True)
+    except _Declared:
+        return True
+    except (expat.ExpatError, ValueError):
+        pass
+    return False
+
+
+def _deep_json(s: str) -> object:
+    """JSON of any depth by the decoder in Python, whose calls take no native stack; null if it is malformed."""
+    d = json.JSONDecoder()
+    d.scan_once = py_make_scanner(d)
+    usual = sys.getrecursionlimit()
+    sys.setrecursionlimit(usual + 4 * (s.count("{") + s.count("[")))
+    try:
+        return d.decode(s)
+    except ValueError:
+        return None
+    finally:
+        sys.setrecursionlimit(usual)
+
+
 def _decode(out: _Levels, record: int, payload: str) -> None:
     s = payload.lstrip("﻿ \t\r\n")
     if s[:1] == "<":
-        if "<!ENTITY" in s:  # no entity of a document is ever expanded
+        if "<!ENTITY" in s and _declares_entity(s):  # no entity of a document is ever expanded
             return
         try:
             root = ET.fromstring(re.sub(r"\A<\?xml[^>]*\?>", "", s))
         except (ET.ParseError, ValueError):
             return
-        tops = [root] if _local(root.tag) in _PROJECT_WRAPS else [x for x in root.iter() if _local(x.tag) in _PROJECT_WRAPS][:1]
-        if tops and tops[0] is not root:
-            tops = [x for x in root if _local(x.tag) in _PROJECT_WRAPS] or tops
-        for x in tops:
-            _xml_project(out, record, x)
+        todo = [root]
+        while todo:  # the topmost projects below any wrappers, in reading order
+            x = todo.pop()
+            if _local(x.tag) in _PROJECT_WRAPS:
+                _xml_project(out, record, x)
+            else:
+                todo += reversed(x)
     elif s[:1] in ("{", "["):
         try:
             o = json.loads(s)
-        except (ValueError, RecursionError):
+        except RecursionError:
+            o = _deep_json(s)
+        except ValueError:
             return
         for x in _json_roots(o):
             _json_project(out, record, x, "")
