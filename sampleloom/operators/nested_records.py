@@ -1,279 +1,281 @@
 """Nested JSON and XML payloads into related flat tables that keep parent-child links.
 
-One Arrow stage: payloads are decoded into level buffers (projects, samples, decisions, children) with list offsets;
-parent indices then come from the offsets, and keys reach each child by vectorised take. Nothing is shuffled.
+One Arrow stage. The payloads of a slice become one node table (:mod:`sampleloom.operators.node_tables`); projects,
+samples, decisions and children are found for the whole slice at once by the offsets of its parent column. Each level is
+an Arrow list array over the next one: parent indices come from its offsets, and keys reach each child by vectorised
+take. Nothing is shuffled but the final distinct.
 """
 
 from __future__ import annotations
 
-import json
-import re
-import sys
-import xml.etree.ElementTree as ET
 from collections.abc import Iterator
-from json.scanner import py_make_scanner
-from xml.parsers import expat
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sampleloom.operators.node_tables import LIST, NULL, OBJECT, TEXT, Nodes, json_nodes, plain_name, xml_nodes
+
 SCHEMA = "record_id long, parent_accession string, project_accession string, sample_accession string, decision_pos long, xml_source string, child_kind string, child_pos long"
 _NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
-
-# Spellings of member names, without case and underscores, by what they hold.
-_PROJECT_WRAPS = frozenset(("package", "documentsummary", "project"))
-_SUB, _SAMPLES, _DECISIONS = frozenset(("subprojects", "subproject")), frozenset(("samples", "sample", "biosample", "biosamples")), frozenset(("decisions", "decision"))
-_LEAVES = {"matches": "match", "match": "match", "events": "event", "event": "event"}
-
-
-def _key(name: str) -> str:
-    return name.replace("_", "").replace("-", "").lower()
-
-
-def _member(o: dict, names) -> object:
-    for k, v in o.items():
-        if _key(k) in names and v is not None:
-            return v
-    return None
-
-
-def _items(v: object) -> list:
-    """The list that ``v`` stands for: a list, one object, either as embedded JSON text, or nothing."""
-    if isinstance(v, str):
-        v = _embedded(v)
-    return v if isinstance(v, list) else [] if v is None else [v]
-
-
-def _embedded(v: object) -> object:
-    if isinstance(v, str):
-        s = v.strip()
-        if s[:1] in ("{", "["):
-            try:
-                return json.loads(s)
-            except RecursionError:
-                return _deep_json(s)
-            except ValueError:
-                return None
-        return None
-    return v
-
-
-def _text(v: object) -> str:
-    return v if isinstance(v, str) else "" if v is None or isinstance(v, (dict, list)) else str(v)
-
-
-class _Levels:
-    """Buffers of one batch: each level has its values and the offsets of its children."""
-
-    def __init__(self) -> None:
-        self.project_record: list[int] = []
-        self.project: list[str] = []
-        self.parent: list[str] = []
-        self.samples_to: list[int] = [0]
-        self.sample: list[str] = []
-        self.decisions_to: list[int] = [0]
-        self.source: list[str] = []
-        self.decision_pos: list[int] = []
-        self.matches: list[int] = []
-        self.events: list[int] = []
-
-    def open_project(self, record: int, parent: str, accession: str) -> None:
-        self.project_record.append(record)
-        self.project.append(accession)
-        self.parent.append(parent)
-
-    def close_project(self) -> None:
-        self.samples_to.append(len(self.sample))
-
-    def flatten(self) -> pa.RecordBatch:
-        to = lambda offsets: np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        sample_project = to(np.array(self.samples_to))
-        decision_sample = to(np.array(self.decisions_to))
-        n_match, n_event = np.array(self.matches, np.int64), np.array(self.events, np.int64)
-        bare = (n_match + n_event == 0).astype(np.int64)
-        lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.nulls(int(n.sum()))) for n in (n_match, n_event, bare)]
-        rows, kind, pos = [], [], []
-        for name, child in zip(("match", "event", "none"), lists):
-            of = np.asarray(child.value_parent_indices()) if hasattr(child, "value_parent_indices") else np.repeat(np.arange(len(child)), np.diff(np.asarray(child.offsets)))
-            rows.append(of)
-            kind.append(pa.array([name] * len(of), pa.string()))
-            pos.append(np.arange(len(of)) - np.asarray(child.offsets)[of] if name != "none" else np.full(len(of), -1))
-        decision = np.concatenate(rows).astype(np.int64)
-        sample = decision_sample[decision]
-        project = sample_project[sample]
-        take = lambda values, at, kind: pa.array(values, kind).take(pa.array(at))
-        return pa.record_batch(
-            [
-                take(self.project_record, project, pa.int64()), take(self.parent, project, pa.string()), take(self.project, project, pa.string()),
-                take(self.sample, sample, pa.string()), take(self.decision_pos, decision, pa.int64()), take(self.source, decision, pa.string()),
-                pa.concat_arrays(kind), pa.array(np.concatenate(pos), pa.int64()),
-            ],
-            names=_NAMES,
-        )
-
-
-def _json_project(out: _Levels, record: int, o: object, parent: str) -> None:
-    """``o`` and its nested projects, without recursion as depth is not bounded."""
-    todo = [(o, parent)]
-    while todo:
-        o, parent = todo.pop()
-        o = _embedded(o)
-        if not isinstance(o, dict):
-            continue
-        accession = _text(_member(o, ("accession",)))
-        out.open_project(record, parent, accession)
-        for s in _items(_member(o, _SAMPLES)):
-            s = _embedded(s)
-            if not isinstance(s, dict):
-                continue
-            out.sample.append(_text(_member(s, ("accession",))))
-            for i, d in enumerate(_items(_member(s, _DECISIONS))):
-                d = _embedded(d)
-                if not isinstance(d, dict):
-                    continue
-                out.decision_pos.append(i)
-                out.source.append(_text(_member(d, ("xmlsource",))))
-                out.matches.append(len(_items(_member(d, ("matches", "match")))))
-                out.events.append(len(_items(_member(d, ("events", "event")))))
-            out.decisions_to.append(len(out.source))
-        out.close_project()
-        todo += [(x, accession) for x in reversed(_items(_member(o, _SUB)))]
-
-
-def _json_roots(o: object) -> list:
-    """Projects at the top, without the objects that only wrap them."""
-    found, todo = [], [o]
-    while todo:
-        x = _embedded(todo.pop())
-        if isinstance(x, list):
-            todo += reversed(x)
-        elif isinstance(x, dict):
-            inner = [v for k, v in x.items() if _key(k) in _PROJECT_WRAPS and isinstance(_embedded(v), (dict, list))]
-            if inner and not any(_key(k) in _SAMPLES | _SUB for k in x):
-                todo += reversed(inner)
-            else:
-                found.append(x)
-    return found
-
-
-def _local(tag: object) -> str:
-    return _key(tag.rpartition("}")[2]) if isinstance(tag, str) else ""
-
-
-def _attr(e: ET.Element, name: str) -> str:
-    return next((v for k, v in e.attrib.items() if _local(k) == name), "")
-
-
-def _xml_children(e: ET.Element, wraps, names) -> list[ET.Element]:
-    """Elements called one of ``names`` directly in ``e`` or in a wrapping list element directly in it."""
-    found = []
-    for x in e:
-        t = _local(x.tag)
-        if t in wraps:
-            found += [y for y in x if _local(y.tag) in names]
-        elif t in names:
-            found.append(x)
-    return found
-
-
-def _xml_project(out: _Levels, record: int, root: ET.Element) -> None:
-    todo = [(root, "")]
-    while todo:
-        e, parent = todo.pop()
-        if _local(e.tag) == "documentsummary" and (only := [x for x in e if _local(x.tag) == "project"]) and not _xml_children(e, (), ("archiveid",)):
-            e = only[0]
-        ids = _xml_children(e, ("project", "projectid"), ("archiveid",))
-        accession = _attr(ids[0], "accession") if ids else _attr(e, "accession")
-        out.open_project(record, parent, accession)
-        for s in _xml_children(e, ("biosamples", "samples"), ("biosample", "sample")):
-            out.sample.append(_attr(s, "accession"))
-            for i, d in enumerate(_xml_children(s, ("decisions",), ("decision",))):
-                out.decision_pos.append(i)
-                out.source.append(_attr(d, "xmlsource"))
-                out.matches.append(len(_xml_children(d, ("matches",), ("match",))))
-                out.events.append(len(_xml_children(d, ("events",), ("event",))))
-            out.decisions_to.append(len(out.source))
-        out.close_project()
-        subs = [y for x in e if _local(x.tag) in _SUB for y in x if _local(y.tag) in _PROJECT_WRAPS]
-        todo += [(x, accession) for x in reversed(subs)]
-
-
-class _Declared(Exception):
-    pass
-
-
-def _declares_entity(s: str) -> bool:
-    """True for a declaration, not for its mere text in a comment or CDATA section; stops at the first one."""
-
-    def stop(*_: object) -> None:
-        raise _Declared
-
-    p = expat.ParserCreate()
-    p.EntityDeclHandler = stop
-    try:
-        p.Parse(re.sub(r"\A<\?xml[^>]*\?>", "", s), True)
-    except _Declared:
-        return True
-    except (expat.ExpatError, ValueError):
-        pass
-    return False
-
-
-def _deep_json(s: str) -> object:
-    """JSON of any depth by the decoder in Python, whose calls take no native stack; null if it is malformed."""
-    d = json.JSONDecoder()
-    d.scan_once = py_make_scanner(d)
-    usual = sys.getrecursionlimit()
-    sys.setrecursionlimit(usual + 4 * (s.count("{") + s.count("[")))
-    try:
-        return d.decode(s)
-    except ValueError:
-        return None
-    finally:
-        sys.setrecursionlimit(usual)
-
-
-def _decode(out: _Levels, record: int, payload: str) -> None:
-    s = payload.lstrip("﻿ \t\r\n")
-    if s[:1] == "<":
-        if "<!ENTITY" in s and _declares_entity(s):  # no entity of a document is ever expanded
-            return
-        try:
-            root = ET.fromstring(re.sub(r"\A<\?xml[^>]*\?>", "", s))
-        except (ET.ParseError, ValueError):
-            return
-        todo = [root]
-        while todo:  # the topmost projects below any wrappers, in reading order
-            x = todo.pop()
-            if _local(x.tag) in _PROJECT_WRAPS:
-                _xml_project(out, record, x)
-            else:
-                todo += reversed(x)
-    elif s[:1] in ("{", "["):
-        try:
-            o = json.loads(s)
-        except RecursionError:
-            o = _deep_json(s)
-        except ValueError:
-            return
-        for x in _json_roots(o):
-            _json_project(out, record, x, "")
+#: Bytes of payloads that are taken at once, and rows of one output batch.
+SLICE_BYTES, OUTPUT_ROWS = 4 << 20, 20_000
+
+# Member and tag names, without case, underscores and hyphens.
+_KNOWN = (
+    "accession", "xmlsource", "package", "documentsummary", "project", "projectid", "archiveid", "subprojects", "subproject",
+    "samples", "sample", "biosamples", "biosample", "decisions", "decision", "matches", "match", "events", "event",
+)
+_CODES = {n: i for i, n in enumerate(_KNOWN, 1)}
+
+
+def _code_of(name: str) -> int:
+    return _CODES.get(plain_name(name), 0)
+
+
+def _any_of(*names: str) -> np.ndarray:
+    """Table by code: true for these names."""
+    t = np.zeros(len(_KNOWN) + 1, bool)
+    t[[_CODES[n] for n in names]] = True
+    return t
+
+
+_WRAPS, _SUB = _any_of("package", "documentsummary", "project"), _any_of("subprojects", "subproject")
+_SAMPLES, _DECISIONS = _any_of("samples", "sample", "biosamples", "biosample"), _any_of("decisions", "decision")
+_MATCHES, _EVENTS = _any_of("matches", "match"), _any_of("events", "event")
+_ACCESSION, _SOURCE = _any_of("accession"), _any_of("xmlsource")
+_LISTS = _SUB | _SAMPLES | _DECISIONS | _MATCHES | _EVENTS
+_Pairs = tuple[np.ndarray, np.ndarray, np.ndarray]  # parent's row, node, place
+
+
+@dataclass
+class Levels:
+    """The levels of a slice; each names the row of its parent in the level above."""
+
+    record: np.ndarray
+    parent: pa.Array
+    project: pa.Array
+    sample_project: np.ndarray
+    sample: pa.Array
+    decision_sample: np.ndarray
+    decision_pos: np.ndarray
+    source: pa.Array
+    matches: tuple[np.ndarray, np.ndarray]  # decision, place
+    events: tuple[np.ndarray, np.ndarray]
+
+    def flatten(self) -> Iterator[pa.RecordBatch]:
+        n = len(self.decision_pos)
+        bare = np.ones(n, bool)
+        bare[self.matches[0]] = bare[self.events[0]] = False
+        alone = np.flatnonzero(bare)
+        children = {"match": self.matches, "event": self.events, "none": (alone, np.full(len(alone), -1))}
+        decision_of = _list_of(self.decision_sample, np.arange(n), len(self.sample))
+        sample_of = _list_of(self.sample_project, np.arange(len(self.sample)), len(self.project))
+        decision_sample = _inverse(decision_of, n)
+        sample_project = _inverse(sample_of, len(self.sample))
+        for kind, (decision, place) in children.items():
+            child = _list_of(decision, place, n)
+            parents, places = np.asarray(pc.list_parent_indices(child)), pc.list_flatten(child)
+            for lo in range(0, len(parents), OUTPUT_ROWS):
+                d = parents[lo : lo + OUTPUT_ROWS]
+                s = decision_sample[d]
+                p = sample_project[s]
+                take = lambda values, at: values.take(pa.array(at)).cast(pa.string())
+                yield pa.record_batch(
+                    [
+                        pa.array(self.record[p], pa.int64(), mask=self.record[p] == _NO_RECORD), take(self.parent, p), take(self.project, p), take(self.sample, s), pa.array(self.decision_pos[d], pa.int64()), take(self.source, d),
+                        pa.array([kind], pa.string()).take(pa.array(np.zeros(len(d), np.int64))), places.slice(lo, OUTPUT_ROWS),
+                    ],
+                    names=_NAMES,
+                )
+
+
+_NO_RECORD = -(2**63)
+
+
+def _list_of(parent: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
+    """List array of ``n`` parents over ``values``, from the parent of each value."""
+    order = np.argsort(parent, kind="stable")
+    offsets = np.r_[0, np.cumsum(np.bincount(parent, minlength=n))] if n else np.zeros(1, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[order], pa.int64()))
+
+
+def _inverse(lists: pa.ListArray, n: int) -> np.ndarray:
+    """The parent of each value of a list array over row numbers."""
+    out = np.zeros(n, np.int64)
+    out[np.asarray(pc.list_flatten(lists))] = np.asarray(pc.list_parent_indices(lists))
+    return out
+
+
+def _first_each(n: int, i: np.ndarray, what: np.ndarray) -> np.ndarray:
+    """For each of ``n`` rows the first of its ``what``, -1 without any."""
+    out = np.full(n, -1, np.int64)
+    out[i[::-1]] = what[::-1]
+    return out
+
+
+# ---- JSON ------------------------------------------------------------------------------------------------------------
+
+
+def _items(t: Nodes, of: np.ndarray, codes: np.ndarray) -> _Pairs:
+    """Items of the members of these names: the elements of a list, or a single object or scalar; every list has its own places."""
+    i, m = t.children(of, codes)
+    lists = t.kind[m] == LIST
+    k, inside = t.children(m[lists])
+    single = ~lists & (t.kind[m] != TEXT) & (t.kind[m] != NULL)
+    return np.r_[i[lists][k], i[single]], np.r_[inside, m[single]], np.r_[t.pos[inside], np.zeros(int(single.sum()), np.int64)]
+
+
+def _objects(t: Nodes, found: _Pairs) -> _Pairs:
+    keep = t.kind[found[1]] == OBJECT
+    return tuple(x[keep] for x in found)
+
+
+def _member_text(t: Nodes, of: np.ndarray, codes: np.ndarray) -> pa.Array:
+    """Text of the first member of these names that is not null; empty for none and for what is no text or number."""
+    i, m = t.children(of, codes)
+    keep = t.kind[m] != NULL
+    i, m = i[keep], m[keep]
+    order = np.lexsort((m, i))
+    node = _first_each(len(of), i[order], m[order])
+    text = np.where(node >= 0, t.text[np.maximum(node, 0)] if len(t.text) else -1, -1)
+    return t.texts.take(pa.array(np.maximum(text, 0), mask=text < 0)).fill_null("")
+
+
+def _json_levels(records: np.ndarray, docs: list[bytes]) -> Levels:
+    t = json_nodes(docs, _code_of, _ACCESSION | _SOURCE, _LISTS | _WRAPS)
+    good = t.roots >= 0
+    node, record = t.roots[good], records[good]
+    tops, top_records = [], []
+    while len(node):  # objects that only wrap projects, and lists of them
+        lists, objects = t.kind[node] == LIST, t.kind[node] == OBJECT
+        i, inner = t.children(node[objects], _WRAPS)
+        fits = (t.kind[inner] == OBJECT) | (t.kind[inner] == LIST)
+        i, inner = i[fits], inner[fits]
+        has = np.zeros(int(objects.sum()), bool)
+        has[i] = True
+        own, _ = t.children(node[objects], _SAMPLES | _SUB)
+        has[own] = False
+        tops.append(node[objects][~has])
+        top_records.append(record[objects][~has])
+        keep = has[i]
+        k, elements = t.children(node[lists])
+        record = np.r_[record[objects][i[keep]], record[lists][k]]
+        node = np.r_[inner[keep], elements]
+    none = np.zeros(0, np.int64)
+    front, front_record = np.concatenate([*tops, none]), np.concatenate([*top_records, none])
+    parent = pa.nulls(len(front), pa.large_string()).fill_null("")
+    projects, owners, parents, names = [], [], [], []
+    while len(front):  # one level of nested projects after the other
+        name = _member_text(t, front, _ACCESSION)
+        projects.append(front)
+        owners.append(front_record)
+        parents.append(parent)
+        names.append(name)
+        i, front, _ = _objects(t, _items(t, front, _SUB))
+        front_record, parent = front_record[i], name.take(pa.array(i))
+    text = lambda parts: pa.concat_arrays([*parts, pa.array([], pa.large_string())])
+    project = np.concatenate([*projects, none])
+    sample_project, sample, _ = _objects(t, _items(t, project, _SAMPLES))
+    decision_sample, decision, decision_pos = _objects(t, _items(t, sample, _DECISIONS))
+    m, e = _items(t, decision, _MATCHES), _items(t, decision, _EVENTS)
+    return Levels(
+        np.concatenate([*owners, none]), text(parents), text(names), sample_project, _member_text(t, sample, _ACCESSION), decision_sample, decision_pos,
+        _member_text(t, decision, _SOURCE), (m[0], m[2]), (e[0], e[2]),
+    )
+
+
+# ---- XML -------------------------------------------------------------------------------------------------------------
+
+
+def _elements(t: Nodes, of: np.ndarray, wraps: np.ndarray, names: np.ndarray) -> _Pairs:
+    """Elements of these names directly in ``of`` or in a wrapping element directly in it, with their places in reading order."""
+    i, direct = t.children(of, names)
+    w, wrapping = t.children(of, wraps)
+    k, inner = t.children(wrapping, names)
+    row, node = np.r_[i, w[k]], np.r_[direct, inner]
+    order = np.lexsort((node, row))
+    row, node = row[order], node[order]
+    head = np.flatnonzero(np.r_[True, np.diff(row) > 0]) if len(row) else row
+    return row, node, np.arange(len(row)) - np.repeat(head, np.diff(np.r_[head, len(row)]))
+
+
+def _xml_levels(records: np.ndarray, docs: list[bytes]) -> Levels:
+    t = xml_nodes(docs, _code_of)
+    good = t.roots >= 0
+    node, record = t.roots[good], records[good]
+    tops, top_records = [], []
+    while len(node):  # the topmost projects below any wrappers
+        is_project = _WRAPS[t.code[node]]
+        tops.append(node[is_project])
+        top_records.append(record[is_project])
+        k, inner = t.children(node[~is_project])
+        node, record = inner, record[~is_project][k]
+    none = np.zeros(0, np.int64)
+    nothing, project_tag, archive = np.zeros(len(_KNOWN) + 1, bool), _any_of("project"), _any_of("archiveid")
+    front, front_record = np.concatenate([*tops, none]), np.concatenate([*top_records, none])
+    parent = pa.nulls(len(front), pa.large_string()).fill_null("")
+    projects, owners, parents, names = [], [], [], []
+    while len(front):
+        only = _first_each(len(front), *_elements(t, front, nothing, project_tag)[:2])
+        named = _first_each(len(front), *_elements(t, front, nothing, archive)[:2])
+        inside = (t.code[front] == _CODES["documentsummary"]) & (only >= 0) & (named < 0)
+        front = np.where(inside, only, front)
+        ids = _first_each(len(front), *_elements(t, front, _any_of("project", "projectid"), archive)[:2])
+        name = t.attribute(np.where(ids >= 0, ids, front), "accession").fill_null("")
+        projects.append(front)
+        owners.append(front_record)
+        parents.append(parent)
+        names.append(name)
+        i, group = t.children(front, _SUB)
+        k, inner = t.children(group, _WRAPS)
+        front, front_record, parent = inner, front_record[i[k]], name.take(pa.array(i[k]))
+    text = lambda parts: pa.concat_arrays([*parts, pa.array([], pa.large_string())])
+    sample_project, sample, _ = _elements(t, np.concatenate([*projects, none]), _any_of("biosamples", "samples"), _any_of("biosample", "sample"))
+    decision_sample, decision, decision_pos = _elements(t, sample, _any_of("decisions"), _any_of("decision"))
+    m, e = (_elements(t, decision, _any_of(w), _any_of(n)) for w, n in (("matches", "match"), ("events", "event")))
+    return Levels(
+        np.concatenate([*owners, none]), text(parents), text(names), sample_project, t.attribute(sample, "accession").fill_null(""), decision_sample, decision_pos,
+        t.attribute(decision, "xmlsource").fill_null(""), (m[0], m[2]), (e[0], e[2]),
+    )
+
+
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``SLICE_BYTES`` of payloads, or one payload."""
+    size = np.asarray(pc.fill_null(pc.binary_length(b.column(1)), 0)).astype(np.int64)
+    lo, held = 0, 0
+    for i, n in enumerate(size.tolist()):
+        if held and held + n > SLICE_BYTES:
+            yield b.slice(lo, i - lo)
+            lo, held = i, 0
+        held += n
+    if lo < len(size):
+        yield b.slice(lo)
+
+
+def flatten_batch(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Flat rows of one batch ``(record id, payload)``."""
+    for part in _slices(b):
+        payload = pc.utf8_ltrim(part.column(1).cast(pa.large_string()), "﻿ \t\r\n")
+        records = np.asarray(part.column(0).fill_null(_NO_RECORD))
+        for pattern, levels in (("^<", _xml_levels), (r"^[\[{]", _json_levels)):
+            rows = np.flatnonzero(np.asarray(pc.fill_null(pc.match_substring_regex(payload, pattern), False)))
+            if len(rows):
+                yield from levels(records[rows], payload.take(pa.array(rows)).cast(pa.large_binary()).to_pylist()).flatten()
 
 
 def flatten_records(rows: DataFrame, record: str = "record_id", payload: str = "payload") -> DataFrame:
     """Flat rows of matches, events and bare decisions of every payload; see ``SCHEMA``.
 
-    Null, empty, cut-off and foreign payloads give no row; a null record id stays null. Rows are distinct.
+    Null, empty, cut-off and foreign payloads give no row; a null record id stays null. Lists of one kind that stand beside
+    each other each have their own places. Projects at any depth and below any wrapping elements count. Rows are distinct.
     """
 
     def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = _Levels()
-            for r, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if p:
-                    _decode(out, r, p)
-            yield out.flatten()
+            yield from flatten_batch(b)
 
     return rows.select(F.col(record).cast("long"), payload).mapInArrow(flatten, SCHEMA).distinct()

@@ -25,4 +25,13 @@ def test_deep_json(spark):
 def test_text_of_an_entity(spark):
     x = ONE.format("Package", "P1")
     assert _projects(spark, f"<Set><Note><![CDATA[<!ENTITY a]]></Note>{x}</Set>") == [("", "P1")]
-    assert _projects(spark, f'<!DOCTYPE x [<!ENTITY a "b">]><Set>{x}</Set>') == []
+    # a well-formed payload counts whether or not it declares an entity; one that it uses is resolved, an unknown one is malformed
+    assert _projects(spark, f'<!DOCTYPE x [<!ENTITY a "b">]><Set>{x}</Set>') == [("", "P1")]
+    assert _projects(spark, '<!DOCTYPE x [<!ENTITY a "b">]>' + ONE.format("Package", "P&a;")) == [("", "Pb")]
+    assert _projects(spark, ONE.format("Package", "P&a;")) == []
+
+
+def test_two_lists_of_one_kind(spark):
+    payload = '{"accession": "P", "samples": [{"accession": "S", "decisions": [{"match": {"a": 1}, "matches": [{"a": 2}, {"a": 3}]}]}], "sample": {"accession": "T", "decisions": [{}]}}'
+    got = flatten_records(spark.createDataFrame([(1, payload)], "record_id long, payload string")).collect()
+    assert sorted((r["sample_accession"], r["child_kind"], r["child_pos"]) for r in got) == [("S", "match", 0), ("S", "match", 1), ("T", "none", -1)]
