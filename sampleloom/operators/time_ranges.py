@@ -3,6 +3,10 @@
 Each value goes through an ordered cascade of anchored patterns with strict parsing. A zone of its own wins over the
 default zone of its source. Policy for local times: a time that the clock shows twice means both readings, a time that
 the clock skips means nothing.
+
+The first steps of the cascade are array kernels over the bytes of a whole batch: counts since 1970 and numeric dates of
+full width with or without a 24-hour clock, a fraction and an offset. They take a value only if all its parts are valid and,
+for local times, if the clock shows it exactly once; every other value goes on to the patterns.
 """
 
 from __future__ import annotations
@@ -14,7 +18,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 from zoneinfo import ZoneInfo
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,9 +80,11 @@ def _seconds(t: dt.datetime) -> int:
 
 def _readings(t: dt.datetime, tz: ZoneInfo) -> list[int]:
     """UTC seconds at which the clock of ``tz`` shows ``t``: none, one or two."""
+    early, late = t.replace(tzinfo=tz).utcoffset(), t.replace(tzinfo=tz, fold=1).utcoffset()
+    if early == late:  # neither twice nor skipped
+        return [_seconds(t - early)]
     found = []
-    for fold in (0, 1):
-        off = t.replace(tzinfo=tz, fold=fold).utcoffset()
+    for off in (early, late):
         utc = t - off
         if (utc.replace(tzinfo=dt.timezone.utc).astimezone(tz)).replace(tzinfo=None) == t:
             s = _seconds(utc)
@@ -192,7 +200,7 @@ def time_range(value: str | None, zone: str | None) -> Range | None:
     if value is None:
         return None
     s = " ".join(value.split()).lower()
-    if not s or len(s) > 200 or not any(ch.isdigit() for ch in s):
+    if not s or not any(ch.isdigit() for ch in s):
         return None
     s = s.replace("−", "-")
     for p, per_second in COUNTS:
@@ -213,22 +221,147 @@ def time_range(value: str | None, zone: str | None) -> Range | None:
     return None
 
 
-def _ranges(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    memo: dict[tuple[str | None, str | None], Range | None] = {}
+_WIDTH = 40
+_DAY = 86_400
+
+
+def _number(m: np.ndarray, at: int, n: int) -> np.ndarray:
+    """Value of the ``n`` digits from column ``at``."""
+    out = np.zeros(len(m), np.int64)
+    for k in range(at, at + n):
+        out = out * 10 + (m[:, k] - 48)
+    return out
+
+
+def _days(y: np.ndarray, mo: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Days since 1970 and whether there is such a day."""
+    month = (y - 1970) * 12 + np.clip(mo, 1, 12) - 1
+    first = month.astype("datetime64[M]").astype("datetime64[D]").astype(np.int64)
+    length = (month + 1).astype("datetime64[M]").astype("datetime64[D]").astype(np.int64) - first
+    return first + d - 1, (y > 0) & (mo > 0) & (mo < 13) & (d > 0) & (d <= length)
+
+
+def _counts(m: np.ndarray, size: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seconds of counts of 9, 10, 13, 16 or 18 digits without sign or fraction, and which values are such."""
+    whole = digit.sum(axis=1) == size
+    seconds, found = np.zeros(len(m), np.int64), np.zeros(len(m), bool)
+    for n, per_second in ((9, 1), (10, 1), (13, 10**3), (16, 10**6)):
+        here = whole & (size == n)
+        seconds[here] = _number(m[here], 0, n) // per_second
+        found |= here
+    return seconds, found
+
+
+def _own_offset(m: np.ndarray, size: np.ndarray, digit: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What stands from column ``at`` on: whether it is a zone or nothing, whether it is a zone, and its offset in seconds."""
+    rest = size - at
+    spaced = (np.take_along_axis(m, np.minimum(at, _WIDTH - 1)[:, None], 1)[:, 0] == 32) & (rest > 0)
+    at, rest = at + spaced, rest - spaced
+    cols = np.minimum(at[:, None] + np.arange(6), _WIDTH - 1)
+    r, dg = np.take_along_axis(m, cols, 1), np.take_along_axis(digit, cols, 1)
+    z = (rest == 1) & (r[:, 0] == 122)
+    named = spaced & (rest == 3) & (((r[:, 0] == 117) & (r[:, 1] == 116) & (r[:, 2] == 99)) | ((r[:, 0] == 103) & (r[:, 1] == 109) & (r[:, 2] == 116)))
+    signed = ((r[:, 0] == 43) | (r[:, 0] == 45)) & dg[:, 1] & dg[:, 2]
+    colon = signed & (rest == 6) & (r[:, 3] == 58) & dg[:, 4] & dg[:, 5]
+    plain = signed & (rest == 5) & dg[:, 3] & dg[:, 4]
+    short = signed & (rest == 3)
+    h = np.where(signed, (r[:, 1].astype(np.int64) - 48) * 10 + r[:, 2] - 48, 0)
+    mi = np.where(colon, (r[:, 4].astype(np.int64) - 48) * 10 + r[:, 5] - 48, np.where(plain, (r[:, 3].astype(np.int64) - 48) * 10 + r[:, 4] - 48, 0))
+    own = z | named | ((colon | plain | short) & (h <= 14) & (mi < 60))
+    return own | ((rest == 0) & ~spaced), own, (h * 3600 + mi * 60) * np.where(r[:, 0] == 45, -1, 1)
+
+
+def _numeric(m: np.ndarray, size: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First and last local second of numeric dates, whether they have their own offset, that offset, and which values are such."""
+    n = len(m)
+    mark = lambda c: (m[:, c] == 45) | (m[:, c] == 46) | (m[:, c] == 47)
+    all_digits = lambda *cols: digit[:, list(cols)].all(axis=1)
+    ymd = all_digits(0, 1, 2, 3, 5, 6, 8, 9) & mark(4) & (m[:, 4] == m[:, 7])
+    dmy = all_digits(0, 1, 3, 4, 6, 7, 8, 9) & mark(2) & (m[:, 2] == m[:, 5])
+    y = np.where(ymd, _number(m, 0, 4), _number(m, 6, 4))
+    a, b = np.where(ymd, _number(m, 5, 2), _number(m, 3, 2)), np.where(ymd, _number(m, 8, 2), _number(m, 0, 2))
+    y, a, b = (np.where(ymd | dmy, x, 1) for x in (y, a, b))
+    day_no, ok = _days(y, a, b)
+    other, other_ok = _days(y, b, a)
+    swap = dmy & ~ok & other_ok
+    day_no, ok = np.where(swap, other, day_no), ok | swap
+    clock = ((m[:, 10] == 116) | (m[:, 10] == 32)) & all_digits(11, 12, 14, 15) & (m[:, 13] == 58)
+    seconds = clock & (m[:, 16] == 58) & all_digits(17, 18)
+    fraction = seconds & ((m[:, 19] == 46) | (m[:, 19] == 44)) & digit[:, 20]
+    after = 20 + np.argmin(np.c_[digit[:, 20:], np.zeros(n, bool)], axis=1)
+    at = np.where(fraction, after, np.where(seconds, 19, np.where(clock, 16, 10)))
+    fits, own, offset = _own_offset(m, size, digit, at)
+    h, mi, s = (np.where(x, _number(m, c, 2), 0) for x, c in ((clock, 11), (clock, 14), (seconds, 17)))
+    ok &= (ymd | dmy) & fits & (h < 24) & (mi < 60) & (s < 60)
+    first = day_no * _DAY + h * 3600 + mi * 60 + s
+    last = first + np.where(seconds, 0, np.where(clock, 59, _DAY - 1))
+    return first, last, own, offset, ok
+
+
+def _offsets(local: np.ndarray, zones: list[str | None]) -> np.ndarray:
+    """UTC offset in seconds of local times that the clock shows exactly once, else a great number."""
+    none = dt.timedelta(days=9)
+    known = {z: _zone(z) if z else None for z in set(zones)}
+    times = local.astype("datetime64[s]").tolist()
+    out = []
+    for t, z in zip(times, zones):
+        tz = known[z]
+        if tz is None or not isinstance(t, dt.datetime):
+            out.append(none)
+            continue
+        off = t.replace(tzinfo=tz).utcoffset()
+        out.append(off if off == t.replace(tzinfo=tz, fold=1).utcoffset() else none)
+    return np.array(out, "timedelta64[s]").astype(np.int64)
+
+
+def plain_ranges(values: pa.Array, zones: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(from, to, found)`` of the values that the first steps of the cascade read."""
+    n = len(values)
+    first, last, found = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+    text = pc.utf8_lower(pc.utf8_trim_whitespace(values.cast(pa.large_string())))
+    size = np.asarray(pc.fill_null(pc.binary_length(text), 0)).astype(np.int64)
+    short = np.flatnonzero((size >= 9) & (size < _WIDTH))
+    if not len(short):
+        return first, last, found
+    taken = text.take(pa.array(short))
+    start, data = np.frombuffer(taken.buffers()[1], np.int64)[: len(short)], np.frombuffer(taken.buffers()[2], np.uint8)
+    size = size[short]
+    column = np.arange(_WIDTH)
+    m = np.where(column < size[:, None], data[np.minimum(start[:, None] + column, len(data) - 1)], 0).astype(np.uint8)
+    digit = (m >= 48) & (m <= 57)
+    seconds, is_count = _counts(m, size, digit)
+    lo, hi, own, offset, ok = _numeric(m, size, digit)
+    ok &= ~is_count
+    local = np.flatnonzero(ok & ~own)
+    zone = zones.take(pa.array(short[local])).to_pylist()
+    begin, end = _offsets(lo[local], zone), _offsets(hi[local], zone)
+    once = (np.abs(begin) < _DAY) & (np.abs(end) < _DAY)
+    ok[local[~once]] = False
+    lo_off, hi_off = offset.copy(), offset.copy()
+    lo_off[local], hi_off[local] = begin, end
+    first[short], last[short], found[short] = np.where(is_count, seconds, lo - lo_off), np.where(is_count, seconds, hi - hi_off), is_count | ok
+    return first, last, found
+
+
+def _ranges(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    memo: dict[tuple[str, str | None], Range | None] = {}
     for values, zones in batches:
         if len(memo) > 200_000:
             memo.clear()
-        out = []
-        for k in zip(values, zones):
-            if k not in memo:
-                memo[k] = time_range(*k)
-            out.append(memo[k] or (None, None))
-        yield pd.DataFrame(out, columns=["from_s", "to_s"]).astype("Int64")
+        first, last, found = plain_ranges(values, zones)
+        rest = np.flatnonzero(~found & np.asarray(values.is_valid()))
+        at = pa.array(rest)
+        for i, v, z in zip(rest.tolist(), values.take(at).to_pylist(), zones.take(at).to_pylist()):
+            if (v, z) not in memo:
+                memo[v, z] = time_range(v, z)
+            if (r := memo[v, z]) is not None:
+                first[i], last[i], found[i] = *r, True
+        yield pa.StructArray.from_arrays([pa.array(first, mask=~found), pa.array(last, mask=~found)], ["from_s", "to_s"])
 
 
 def time_range_col(value: Column, zone: Column) -> Column:
     """Struct ``(from_s, to_s)`` of a written time; both null if the value means no time, is null or is no text of a time."""
-    return F.pandas_udf(_ranges, "from_s long, to_s long")(value, zone)
+    return F.arrow_udf(_ranges, "from_s long, to_s long")(value, zone)
 
 
 def normalise_times(rows: DataFrame, sites: DataFrame, value: str, site: str = "site_id") -> DataFrame:

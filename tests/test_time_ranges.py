@@ -38,3 +38,38 @@ def test_rows(spark):
     assert df.columns == ["k", "v", "site_id", "time_zone", "from_s", "to_s"]
     assert {r["k"]: (r["from_s"], r["to_s"]) for r in df.collect()} == {i: (c[2], c[3]) for i, c in enumerate(CASES)}
     assert normalise_times(spark.createDataFrame([], "k int, v string, site_id int"), spark.createDataFrame([], "site_id int, time_zone string"), "v").count() == 0
+
+
+def test_kernels_equal_the_patterns():
+    """What the array kernels read, the patterns read to the same range; around changes of the clock and in damaged writings, too."""
+    import random
+
+    import pyarrow as pa
+
+    from sampleloom.operators.time_ranges import plain_ranges, time_range
+
+    pick = random.Random(3)
+    zones = ["Europe/Berlin", "America/New_York", "Australia/Lord_Howe", "Asia/Kolkata", "Nowhere/Land", None]
+    shapes = ("{y}-{m}-{d}T{h}:{i}:{s}{f}{z}", "{y}/{m}/{d} {h}:{i}{z}", "{d}.{m}.{y} {h}:{i}:{s}{z}", "{y}-{m}-{d}{z}", "{d}-{m}-{y}", "{n}")
+    values, at = [], []
+    for _ in range(20_000):
+        n = str(pick.randrange(10 ** pick.choice((8, 9, 10, 12, 13, 16, 18)), 10**19))[: pick.choice((9, 10, 13, 16, 19, 12))]
+        v = pick.choice(shapes).format(
+            y=pick.choice(("2021", "2024", "1999", "0000")), m=f"{pick.choice((3, 10, 11, 4, 0, 12, 13)):02}", d=f"{pick.randrange(33):02}", h=f"{pick.choice((0, 1, 2, 3, 12, 23, 24)):02}",
+            i=f"{pick.choice((0, 30, 59, 60)):02}", s=f"{pick.choice((0, 59, 60)):02}", f=pick.choice(("", "", ".5", ",123456789", ".")), z=pick.choice(("", "", "Z", " utc", "+02", "-0330", "+05:45", " +15:00", "+14:60", " z", "  Z", "x")), n=n,
+        )
+        if pick.random() < 0.1:
+            k = pick.randrange(len(v))
+            v = v[:k] + pick.choice("0-: T ٣") + v[k + 1 :]
+        values.append(pick.choice(("", " ", "\t")) + v)
+        at.append(pick.choice(zones))
+    first, last, found = plain_ranges(pa.array(values), pa.array(at))
+    assert found.mean() > 0.2
+    assert [(v, z) for i, (v, z) in enumerate(zip(values, at)) if found[i] and time_range(v, z) != (int(first[i]), int(last[i]))] == []
+
+
+def test_long_values():
+    from sampleloom.operators.time_ranges import time_range
+
+    assert time_range("2020-01-02T00:00:00." + "0" * 500 + "Z", None) == (1577923200, 1577923200)
+    assert time_range("2020-01-02" + " " * 500, "UTC") == (1577923200, 1578009599)
