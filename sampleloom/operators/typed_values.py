@@ -19,7 +19,7 @@ _GROUPED = re.compile(rf"([+-]?)(\d{{1,3}})((?:,\d{{3}})+|(?:{_SEP}\d{{3}})+)(\.
 _DOT_GROUPED = re.compile(r"([+-]?)(\d{1,3})((?:\.\d{3}){2,}|(?:\.\d{3})+(?=,))(,\d*)?")
 _PLAIN = re.compile(r"[+-]?(?:\d+[.,]?\d*|[.,]\d+)(?:[eE][+-]?\d+)?")
 _INT64 = 2**63
-_DEC_LIMIT = Decimal(10) ** 34
+_DEC_LIMIT = Decimal(10) ** 35
 
 _YMD = re.compile(r"(\d{4})([-/.])(\d{1,2})\2(\d{1,2})")
 _COMPACT = re.compile(r"(\d{4})(\d{2})(\d{2})")
@@ -81,6 +81,8 @@ def read_decimal(value: str, unit: str | None) -> str | None:
     if d is None:
         return None
     text = f"{d:.3f}"
+    if len(text.lstrip("-")) > 39:  # rounded up to one digit too many
+        return None
     return text[1:] if text.startswith("-") and not float(text) else text
 
 

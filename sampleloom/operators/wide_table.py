@@ -1,8 +1,9 @@
 """Attribute-value rows into one wide, typed row per entity.
 
-Plan: scan -> Arrow stage (attribute name to column index, value to typed text, latest cell of each batch) -> one hash
-shuffle by entity -> sort inside the partition -> Arrow stage that streams the sorted rows into columnar builders.
-A hot entity adds at most one row per column and batch to the shuffle, so it cannot fill a task.
+Plan: scan -> Arrow stage (attribute name to column index, value to typed text, latest cell of an entity and column) -> one
+hash shuffle by entity -> sort inside the partition -> Arrow stage that streams the sorted rows into columnar builders.
+The first stage keeps the cells of entities that come again until its task ends, so a hot entity adds about one row per
+column and task to the shuffle; the last one keeps one cell per column of the entity that is open, whatever its rows.
 """
 
 from __future__ import annotations
@@ -17,13 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sampleloom.functions.text import full, not_blank
+from sampleloom.functions.text import full, full_col, not_blank
 from sampleloom.operators.typed_values import read_as
 
 _SPARK = {"integer": T.LongType(), "decimal": T.DecimalType(38, 3), "boolean": T.BooleanType(), "date": T.DateType(), "text": T.StringType()}
 _ARROW = {"integer": pa.int64(), "decimal": pa.decimal128(38, 3), "boolean": pa.bool_(), "date": pa.date32(), "text": pa.string()}
+_NO_ORDER = -(2**62)
 _CELLS = "entity string, col int, typed string, at timestamp_ntz, seq long"
 _MEMO_LIMIT = 200_000
+#: Cells that a task of the first stage holds back to combine them.
+HELD_CELLS = 100_000
+#: Missing words up to which they are sent to every task; beyond it values meet them in a join.
+SHIPPED_WORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -43,11 +49,12 @@ def attributes_of(types_df: DataFrame) -> list[Attribute]:
     ]
 
 
-def cells(rows: DataFrame, attributes: list[Attribute], missing: list[str]) -> DataFrame:
+def cells(rows: DataFrame, attributes: list[Attribute], missing: list[str], held_cells: int = HELD_CELLS) -> DataFrame:
     """Readable cells ``(entity, col, typed, at, seq)`` of ``rows (entity, name, value, at, seq)``.
 
     Null or blank entities, unknown or null names, missing values and values that cannot be read as the attribute's type
-    give no cell. Each Arrow batch keeps the latest cell of an entity and column; ties take the greatest ``seq``.
+    give no cell. A task holds back ``held_cells`` cells and keeps the latest of an entity and column; ties take the greatest
+    ``seq``. Several cells of one entity and column may remain; :func:`widen` takes the latest.
     """
     col_of = {full(a.name): i for i, a in enumerate(attributes)}
     for i, a in enumerate(attributes):
@@ -56,9 +63,16 @@ def cells(rows: DataFrame, attributes: list[Attribute], missing: list[str]) -> D
     lost = frozenset(full(w) for w in missing if w)
     kinds = [(a.value_type, a.unit) for a in attributes]
 
+    def batch_of(held: list[tuple]) -> pa.RecordBatch:
+        entity, col, at, seq, typed = zip(*held)
+        known = lambda xs, kind: pa.array(xs, pa.int64(), mask=np.array(xs) == _NO_ORDER).cast(kind)
+        return pa.record_batch([pa.array(entity, pa.string()), pa.array(col, pa.int32()), pa.array(typed, pa.string()), known(at, pa.timestamp("us")), known(seq, pa.int64())], names=["entity", "col", "typed", "at", "seq"])
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name_memo: dict[str, int] = {}
         memo: dict[tuple[int, str], str | None] = {}
+        best: dict[tuple[str, int], tuple[int, int, str]] = {}
+        again: set[tuple[str, int]] = set()
         for b in batches:
             entity, name, value, at, seq = (b.column(i) for i in range(5))
             code = name.dictionary_encode()
@@ -72,13 +86,11 @@ def cells(rows: DataFrame, attributes: list[Attribute], missing: list[str]) -> D
             if not len(keep):
                 continue
             take = pa.array(keep)
-            entities, values = entity.take(take).to_pylist(), value.take(take).to_pylist()
-            times = np.asarray(at.take(take).cast(pa.int64()).fill_null(-(2**62)))
-            seqs = np.asarray(seq.take(take).fill_null(-(2**62)))
-            best: dict[tuple[str, int], tuple[int, int, str, int]] = {}
+            times = np.asarray(at.take(take).cast(pa.int64()).fill_null(_NO_ORDER))
+            seqs = np.asarray(seq.take(take).fill_null(_NO_ORDER))
             if len(memo) > _MEMO_LIMIT:
                 memo.clear()
-            for e, c, v, t, s, i in zip(entities, where[keep].tolist(), values, times.tolist(), seqs.tolist(), keep.tolist()):
+            for e, c, v, t, s in zip(entity.take(take).to_pylist(), where[keep].tolist(), value.take(take).to_pylist(), times.tolist(), seqs.tolist()):
                 if v is None:
                     continue
                 k = (c, v)
@@ -89,16 +101,21 @@ def cells(rows: DataFrame, attributes: list[Attribute], missing: list[str]) -> D
                     typed = memo[k] = read_as(v, *kinds[c]) if f and f not in lost else None
                 if typed is None:
                     continue
-                new, key = (t, s, typed, i), (e, c)
+                new, key = (t, s, typed), (e, c)
                 old = best.get(key)
-                if old is None or new[:3] > old[:3]:
+                if old is None:
                     best[key] = new
-            if best:
-                rows = pa.array([x[3] for x in best.values()])
-                yield pa.record_batch(
-                    [entity.take(rows), pa.array([k[1] for k in best], pa.int32()), pa.array([x[2] for x in best.values()], pa.string()), at.take(rows), seq.take(rows)],
-                    names=["entity", "col", "typed", "at", "seq"],
-                )
+                else:
+                    again.add(key)
+                    if new > old:
+                        best[key] = new
+            if len(best) > held_cells:
+                hot = again if len(again) <= held_cells // 2 else set()
+                yield batch_of([(*k, *x) for k, x in best.items() if k not in hot])
+                best = {k: best[k] for k in hot}
+                again = set()
+        if best:
+            yield batch_of([(*k, *x) for k, x in best.items()])
 
     ready = rows.filter(not_blank(F.col("entity")) & F.col("name").isNotNull() & F.col("value").isNotNull())
     return ready.select("entity", "name", "value", F.col("at").cast("timestamp_ntz").alias("at"), "seq").mapInArrow(encode, _CELLS)
@@ -134,18 +151,23 @@ def widen(cell_df: DataFrame, attributes: list[Attribute], entity: str = "entity
         return pa.record_batch(out, names=names)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: pa.Table | None = None  # the first cells of the entity that is open: at most one per column
         for b in batches:
             if not b.num_rows:
                 continue
             t = pa.Table.from_batches([b])
             t = pa.concat_tables([held, t]) if held is not None else t
+            ent, col = t.column("entity").combine_chunks(), np.asarray(t.column("col"))
+            first = np.ones(t.num_rows, bool)
+            if t.num_rows > 1:
+                first[1:] = np.asarray(pc.not_equal(ent[1:], ent[:-1])) | (col[1:] != col[:-1])
+            t = t.filter(pa.array(first))
             ent = t.column("entity").combine_chunks()
             last = np.flatnonzero(np.asarray(pc.not_equal(ent, ent[-1])))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
                 yield build(t.slice(0, cut))
-            held = t.slice(cut)
+            held = t.slice(cut).combine_chunks()
         if held is not None and held.num_rows:
             yield build(held)
 
@@ -157,10 +179,18 @@ def widen(cell_df: DataFrame, attributes: list[Attribute], entity: str = "entity
     )
 
 
-def wide_table(rows: DataFrame, types_df: DataFrame, missing_df: DataFrame, entity: str = "entity") -> tuple[DataFrame, list[Attribute]]:
+def wide_table(rows: DataFrame, types_df: DataFrame, missing_df: DataFrame, entity: str = "entity", shipped_words: int = SHIPPED_WORDS) -> tuple[DataFrame, list[Attribute]]:
+    """The wide table of ``rows (entity, name, value, at, seq)`` and its attributes; ``missing_df`` holds the missing words.
+
+    A table of more than ``shipped_words`` missing words is not sent to the tasks: values meet it in a join on the full form.
+    """
     attributes = attributes_of(types_df)
-    missing = [r[0] for r in missing_df.collect()]
-    return widen(cells(rows, attributes, missing), attributes, entity), attributes
+    words = missing_df.select(F.col(missing_df.columns[0]).alias("__w")).filter("__w is not null").distinct()
+    shipped = [r[0] for r in words.limit(shipped_words + 1).collect()]
+    if len(shipped) > shipped_words:
+        forms = words.select(full_col(F.col("__w")).alias("__f")).distinct()
+        rows, shipped = rows.withColumn("__f", full_col(F.col("value"))).join(forms, "__f", "left_anti").drop("__f"), []
+    return widen(cells(rows, attributes, shipped), attributes, entity), attributes
 
 
 def unpivot_typed(wide: DataFrame, attributes: list[Attribute], entity: str) -> DataFrame:

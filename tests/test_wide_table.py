@@ -93,3 +93,37 @@ def test_empty(spark):
     types = spark.createDataFrame(TYPES, "attr_name string, value_type string, unit string, aliases string")
     wide, _ = W.wide_table(df, types, spark.createDataFrame([], "word string"))
     assert wide.count() == 0 and wide.columns == ["entity", "age", "captive", "note", "seen", "weight"]
+
+
+def test_hot_entity(spark):
+    """One entity with most rows, in many batches: a task sends few cells of it, and the last stage holds one per column."""
+    hot = [("hot", n, str(i), dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), i) for i in range(9000) for n in ("age", "note")]
+    rows = [*hot, *((f"e{i}", "note", f"v{i}", None, i) for i in range(3000))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        df = spark.createDataFrame(rows, "entity string, name string, value string, at timestamp_ntz, seq long").repartition(3)
+        types = spark.createDataFrame(TYPES, "attr_name string, value_type string, unit string, aliases string")
+        attributes = W.attributes_of(types)
+        found = W.cells(df, attributes, [], 200)
+        assert found.filter("entity = 'hot'").count() <= 3 * 2
+        wide = W.widen(found, attributes)
+        assert set(map(tuple, W.unpivot_typed(wide, attributes, "entity").collect())) == _brute(rows)
+        plain = W.cells(df, attributes, [], 10**6)
+        assert set(map(tuple, W.unpivot_typed(W.widen(plain.unionByName(found), attributes), attributes, "entity").collect())) == _brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_many_missing_words(spark):
+    rows = _rows(500, 2)
+    df = spark.createDataFrame(rows, "entity string, name string, value string, at timestamp_ntz, seq long")
+    types = spark.createDataFrame(TYPES, "attr_name string, value_type string, unit string, aliases string")
+    words = spark.createDataFrame([("n/a",), (None,), ("N A",), ("other",)], "word string")
+    wide, attributes = W.wide_table(df, types, words, "entity", shipped_words=1)
+    assert {tuple(r) for r in W.unpivot_typed(wide, attributes, "entity").collect()} == _brute(rows)
+
+
+def test_widest_decimal():
+    digits = "9" * 35
+    assert V.read_as(digits, "decimal", None) == digits + ".000"
+    assert V.read_as(digits + "9", "decimal", None) is None and V.read_as(digits + ".9996", "decimal", None) is None
