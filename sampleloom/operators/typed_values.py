@@ -64,7 +64,7 @@ def read_number(value: str, unit: str | None, whole: bool) -> Decimal | None:
 def _decimal(s: str) -> Decimal | None:
     try:
         d = Decimal(s)
-        return d if d.is_finite() and abs(d) < _DEC_LIMIT else None
+        return d if d.is_finite() and d.copy_abs() < _DEC_LIMIT else None
     except InvalidOperation:
         return None
 
