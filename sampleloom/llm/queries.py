@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sampleloom.functions.text import full, full_col, not_blank
 from sampleloom.llm.bpe import count_tokens, encode_corpus
-from sampleloom.llm.canonical import map_to_entries, ontology_lexicon
+from sampleloom.llm.canonical import map_to_list
 from sampleloom.llm.langid import language_segments, wrong_or_mixed
 from sampleloom.llm.packing import pack
 from sampleloom.llm.term_counts import mark_terms, term_counts
@@ -26,7 +26,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     decisions = table(spark, d, "curation_decisions").select("decision_id", "attr_name", "attr_value")
     names = _attribute_names(table(spark, d, "attribute_types"), "iso")
     rows = decisions.filter("attr_name is not null and attr_value is not null").filter(full_col(F.col("attr_name")).isin(sorted(names)))
-    return map_to_entries(rows, ontology_lexicon(table(spark, d, "ontology_terms")), "decision_id", "attr_value")
+    return map_to_list(rows, table(spark, d, "ontology_terms"), "decision_id", "attr_value")
 
 
 def _counts(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
