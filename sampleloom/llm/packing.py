@@ -3,9 +3,11 @@
 Only the histogram of item sizes matters to a packing, and it has at most ``capacity`` entries whatever the corpus holds,
 so the instance is solved on the driver over (size, count) pairs:
 
-1. Martello-Toth dominance reduction fixes sets that provably dominate every other set with the same largest item: an
-   item with one that fills its container exactly, an item that fits with no other, and an item that fits with at most
-   one other, together with the largest that fits.
+1. Martello-Toth dominance reduction fixes sets that provably dominate every other set with the same item. Every item is
+   tried, from the largest on, until none gives another set: an item beside which nothing fits; an item with one that fills
+   its container; an item beside which one other fits, with the largest that does; and an item beside which two others fit,
+   with the largest one if no two hold more, else with the largest one and the largest beside both if no other two are
+   both larger than that.
 2. Best fit decreasing packs the remainder, many equal containers at a time.
 
 The solution is a list of container patterns with multiplicities. Each item finds its container from its rank among the
@@ -14,7 +16,7 @@ items of its size: a sum of earlier partitions plus a running count, so hot size
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,53 +39,81 @@ class Pattern:
     n: int
 
 
-def dominance_reduction(left: Counter, capacity: int) -> list[Pattern]:
-    """Fix dominating sets and take their items out of ``left``; repeated until no size yields another."""
-    fixed: list[Pattern] = []
+def _dominating(left: Counter, order: list[int], size: int, capacity: int) -> Counter | None:
+    """The set that dominates every other set with an item of ``size``, if one can be proved to; ``order`` has the sizes ascending."""
+    room = capacity - size
+    count = lambda s: left[s] - (s == size)  # noqa: E731 - of the other items
 
-    def fix(content: dict[int, int], n: int) -> None:
-        fixed.append(Pattern(tuple(sorted(content.items(), reverse=True)), n))
-        for size, k in content.items():
-            left[size] -= k * n
-            if not left[size]:
-                del left[size]
-
-    if left.get(capacity):
-        fix({capacity: 1}, left[capacity])
-    for size in sorted(left, reverse=True):  # exact pairs: no set with this item can hold more
-        rest = capacity - size
-        if size > rest and left.get(size) and left.get(rest):
-            fix({size: 1, rest: 1}, min(left[size], left[rest]))
-        elif size == rest and left.get(size, 0) > 1:
-            fix({size: 2}, left[size] // 2)
-    while left:
-        sizes = sorted(left)
-        big, small = sizes[-1], sizes[0]
-        alone = left[big] == 1 and len(sizes) == 1
-        if alone or big + small > capacity:
-            fix({big: 1}, left[big] if big + small > capacity else 1)
+    def smallest(above: int, n: int, without: int = 0) -> list[int]:
+        """The ``n`` smallest other items over ``above``, less one of size ``without``."""
+        found: list[int] = []
+        for i in range(bisect_right(order, above), len(order)):
+            s = order[i]
+            found += [s] * min(count(s) - (s == without), n - len(found))
+            if len(found) >= n:
+                break
+        return found
+
+    def largest(limit: int, without: int = 0) -> int:
+        """The largest other item up to ``limit``, less one of size ``without``; 0 if there is none."""
+        for i in range(bisect_right(order, limit) - 1, -1, -1):
+            if count(order[i]) - (order[i] == without) > 0:
+                return order[i]
+        return 0
+
+    small = smallest(0, 3)
+    first = largest(room)
+    if not first:
+        return Counter([size])
+    if first == room or len(small) < 2 or small[0] + small[1] > room:
+        return Counter([size, first])
+    if len(small) > 2 and sum(small) <= room:
+        return None  # three others fit: nothing is proved about this item
+    second = largest(room - first, without=first)
+    # beside the largest nothing over ``second`` fits, so a better pair would be two of the others that are over it
+    over = smallest(second, 2, without=first)
+    if second and (len(over) < 2 or sum(over) > room):
+        return Counter([size, first, second])
+    return Counter([size, first]) if first >= _largest_pair([s for s in order if s <= room and count(s) > 0], count, room) else None
+
+
+def _largest_pair(sizes: list[int], count, room: int) -> int:
+    """The most that two of the items hold together within ``room``; ``sizes`` ascend."""
+    best, lo, hi = 0, 0, len(sizes) - 1
+    while lo <= hi:
+        a, b = sizes[lo], sizes[hi]
+        if a + b > room:
+            hi -= 1
             continue
-        others = left.copy()
-        others[big] -= 1
-        two = _two_smallest(others)
-        if len(two) == 2 and big + sum(two) <= capacity:
-            break  # more than one other item fits: nothing is proved about this item
-        free = [s for s in sizes if others[s] > 0]
-        fit = free[bisect_left(free, capacity - big + 1) - 1]  # the largest other item that fits beside it
-        if fit == big:
-            fix({big: 2}, left[big] // 2)
-        else:
-            fix({big: 1, fit: 1}, min(left[big], left[fit]) if len(two) == 2 else 1)
-    return fixed
+        if a != b or count(a) > 1:
+            best = max(best, a + b)
+        if count(a) > 1 and 2 * a <= room:
+            best = max(best, 2 * a)
+        lo += 1
+    return best
 
 
-def _two_smallest(counts: Counter) -> list[int]:
-    found: list[int] = []
-    for s in sorted(k for k, v in counts.items() if v > 0):
-        found += [s] * min(counts[s], 2 - len(found))
-        if len(found) == 2:
-            break
-    return found
+def dominance_reduction(left: Counter, capacity: int) -> list[Pattern]:
+    """Fix dominating sets and take their items out of ``left``; repeated until no size yields another.
+
+    A set is taken as often as its items last: what it is proved by stays true when such items are gone.
+    """
+    fixed: list[Pattern] = []
+    order = sorted(s for s, n in left.items() if n)
+    changed = True
+    while changed:
+        changed = False
+        for size in order[::-1]:
+            while left.get(size) and (found := _dominating(left, order, size, capacity)):
+                n = min(left[s] // k for s, k in found.items())
+                fixed.append(Pattern(tuple(sorted(found.items(), reverse=True)), n))
+                for s, k in found.items():
+                    left[s] -= k * n
+                    if not left[s]:
+                        del left[s]
+                        order.pop(bisect_left(order, s))
+                changed = True
+    return fixed
 
 
 def best_fit(left: Counter, capacity: int) -> list[Pattern]:

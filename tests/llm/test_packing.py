@@ -59,6 +59,30 @@ def test_reduction_loses_nothing(seed):
     assert sum(p.n for p in fixed) + _optimal(sorted(left.elements(), reverse=True), 30) == _optimal(items, 30)
 
 
+@pytest.mark.parametrize("seed", range(300))
+def test_reduction_of_every_item(seed):
+    """Sizes for which two others fit beside many items, so that the branch of two companions decides."""
+    r = random.Random(1000 + seed)
+    capacity = r.choice([20, 30, 41])
+    items = [r.randint(capacity // 6, capacity * 3 // 4) for _ in range(r.randint(5, 9))]
+    items += [r.choice(items)] * r.randint(0, 2)
+    left = Counter(items)
+    fixed = P.dominance_reduction(left, capacity)
+    used = +left
+    for p in fixed:
+        assert sum(s * k for s, k in p.content) <= capacity
+        for s, k in p.content:
+            used[s] += k * p.n
+    assert used == Counter(items)
+    assert sum(p.n for p in fixed) + _optimal(sorted(left.elements(), reverse=True), capacity) == _optimal(sorted(items, reverse=True), capacity)
+
+
+@pytest.mark.parametrize("items,fixed", [([80, 12, 7, 6], {(80, 12, 7)}), ([60, 35, 18, 17], {(60, 35)}), ([60, 25, 16, 14], {(60, 25, 14)})])
+def test_two_companions(items, fixed):
+    got = {tuple(s for s, k in p.content for _ in range(k)) for p in P.dominance_reduction(Counter(items), 100)}
+    assert fixed & got
+
+
 def test_large_instance_fills_containers():
     r = random.Random(1)
     sizes = Counter(min(2048, int(r.lognormvariate(5, 1.2)) + 1) for _ in range(200_000))
