@@ -33,7 +33,7 @@ def classifier():
 
 def test_held_out(classifier):
     truth, rows = _rows(300, 2)
-    right = sum([x[0] for x in classifier.segments(text)] == [t] for t, (_, text, _) in zip(truth, rows))
+    right = sum([x.lang for x in classifier.segments(text)] == [t] for t, (_, text, _) in zip(truth, rows))
     assert right >= 297
 
 
@@ -44,21 +44,23 @@ def test_mixed(classifier):
         langs = [r.choice(list(TEXTS))]
         while len(langs) < 3:
             langs.append(r.choice([x for x in TEXTS if x != langs[-1]]))
-        found = classifier.segments("\n\n".join(_text(r, x, 2) for x in langs))
-        right += [x for x, _ in found] == langs
-        assert all(0 <= c <= 1 for _, c in found)
+        parts = [_text(r, x, 2) for x in langs]
+        text = "\n\n".join(parts)
+        found = classifier.segments(text)
+        right += [x.lang for x in found] == langs and all(text[x.start : x.end] in p for x, p in zip(found, parts))
+        assert all(0 <= x.confidence <= 1 for x in found)
     assert right >= 95
 
 
 @pytest.mark.parametrize("text", [None, "", "  \n", "QNT:0000001 | QNT:0000002", "GATTACAGATTACAGATTACA", "12 34.5 67%", "Velumia agrestis; Quorella fulva", "🙂 — …", "zzz qqq"])
 def test_no_language(classifier, text):
-    assert classifier.segments(text) == []
+    assert [x for x in classifier.segments(text) if x.lang] == []
 
 
 def test_damaged(classifier):
-    assert [x for x, _ in classifier.segments("DIE ROHRCHEN WURDEN VON DER ZWEITEN GRUPPE GEFULLT, WEIL DAS ERSTE UNDICHT WAR.")] == ["de"]
-    assert [x for x, _ in classifier.segments("The\ntubes\nwere\nfilled\nby the second team &amp; because the first one had leaked.")] == ["en"]
-    assert [x for x, _ in classifier.segments(" ".join(TEXTS["es"]).format(1, 2) * 500)] == ["es"]
+    assert [x.lang for x in classifier.segments("DIE ROHRCHEN WURDEN VON DER ZWEITEN GRUPPE GEFULLT, WEIL DAS ERSTE UNDICHT WAR.")] == ["de"]
+    assert [x.lang for x in classifier.segments("The\ntubes\nwere\nfilled\nby the second team &amp; because the first one had leaked.")] == ["en"]
+    assert [x.lang for x in classifier.segments(" ".join(TEXTS["es"]).format(1, 2) * 500)] == ["es"]
 
 
 def test_rows(spark):
@@ -68,14 +70,36 @@ def test_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, confidence string").repartition(3)
     got = L.language_segments(df, list(TEXTS)).collect()
     by = {r["doc_id"]: r for r in got}
-    assert not {900, 901, 902} & set(by) and sum(by[i]["lang"] == t for i, t in enumerate(truth) if i in by) >= 297
+    for k in (900, 901, 902):
+        assert tuple(by[k])[2:] == (0, None, None, 0.0, None, None)
+    assert {r["doc_id"] for r in got} == {r[0] for r in rows}
+    texts = {r[0]: r[1] for r in rows}
+    assert all(texts[r["doc_id"]][r["start"] : r["end"]].strip() for r in got if r["lang"])
+    assert sum(by[i]["lang"] == t for i, t in enumerate(truth) if i in by) >= 297
     found = L.wrong_or_mixed(spark.createDataFrame(got), list(TEXTS)).collect()
-    assert {r["doc_id"] for r in found} == {i for i, r in by.items() if r["label"] != r["lang"]} and 903 in {r["doc_id"] for r in found}
+    assert {r["doc_id"] for r in found} == {i for i, r in by.items() if r["lang"] and r["label"] != r["lang"]} and 903 in {r["doc_id"] for r in found}
     assert L.language_segments(df.limit(0), list(TEXTS)).count() == 0
-    assert L.language_segments(df, []).count() == 0
+    assert {r["lang"] for r in L.language_segments(df, []).collect()} == {None}
 
 
 def test_deterministic():
     _, rows = _rows(100, 5)
     pairs = [(label, text) for _, text, label in rows]
     assert L.fit(pairs) == L.fit(pairs[::-1])
+
+
+def test_places():
+    """Sentences are cut out by their places, with character references and without."""
+    for text in ("One &amp; two. Three &lt;x&gt; four!\n\nFive; six &#233;t&eacute;. &nope; end", "a. b", "&amp;", "&amp;. &amp;. x", "", ". . .", "A&nbsp;b.\u00a0C &notin; d"):
+        for s, a, b in L.spans(text):
+            assert L.html.unescape(text[a:b]) == s
+        assert [s for s, _, _ in L.spans(text)] == [s for s in L._SENTENCE.split(L.html.unescape(text)) if s]
+
+
+def test_unclear_run(classifier):
+    text = TEXTS["en"][0] + " Zzz qqq. " + TEXTS["en"][2]
+    assert [(x.lang, text[x.start : x.end]) for x in classifier.segments(text)] == [("en", text)]
+    text = "\n\n".join([" ".join(TEXTS["en"][:3]), "qqq zzz", " ".join(TEXTS["de"][:3])]).replace("{}", "7")
+    found = classifier.segments(text)
+    assert [x.lang for x in found if x.lang] == ["en", "de"]
+    assert all(a.end <= b.start for a, b in zip(found, found[1:]))
