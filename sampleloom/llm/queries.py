@@ -37,8 +37,10 @@ def _counts(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
         F.array("attr_value").alias("f0"),
         F.coalesce(F.transform("events", lambda e: e["normalized_attribute"]), F.array().cast("array<string>")).alias("f1"),
     )
-    n = rows.filter(not_blank(F.col("accession"))).select(F.count_distinct("accession")).first()[0]
-    return term_counts(shape, 2), n
+    # one narrow scan for both figures: rows of each record, then records and rows
+    per_record = rows.filter(not_blank(F.col("accession"))).groupBy("accession").agg(F.count("*").alias("n"))
+    n, total = per_record.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return term_counts(shape, 2, total=total), n
 
 
 def _named(df: DataFrame) -> DataFrame:

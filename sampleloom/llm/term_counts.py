@@ -24,26 +24,24 @@ _COUNTS = "field int, term string, occurrences long, records long"
 _MEMO_LIMIT = 200_000
 
 
-def _boundaries(rows: DataFrame, n_parts: int, n_fields: int, seed: int = 7) -> list[tuple[int, str, str]]:
+def _boundaries(rows: DataFrame, total: int, n_parts: int, n_fields: int, seed: int = 7) -> list[tuple[int, str, str]]:
     """Quantiles of (field, term, record) over a sample of at most ``SAMPLE_ROWS`` rows."""
-    # ``rows`` is read twice, but only its few columns and without Python
-    total = rows.count()
     share = min(1.0, SAMPLE_ROWS / max(1, total))
     sample = rows.sample(fraction=share, seed=seed).limit(2 * SAMPLE_ROWS).collect()
     keys = sorted((f, presentation(v), r["record"]) for r in sample for f in range(n_fields) for v in (r[f"f{f}"] or []) if v is not None)
     return [keys[i * len(keys) // n_parts] for i in range(1, n_parts)] if len(keys) > n_parts else []
 
 
-def term_counts(rows: DataFrame, n_fields: int, n_parts: int | None = None) -> DataFrame:
+def term_counts(rows: DataFrame, n_fields: int, n_parts: int | None = None, total: int | None = None) -> DataFrame:
     """``(field, term, occurrences, records)`` of ``rows (occurrence, record, f0, f1, ...)``, each ``f`` an array of values.
 
     A term is the presentation form of a value; null values, empty terms and rows with a null or blank record are left
-    out. Rows with an equal ``occurrence`` are copies and count once.
+    out. Rows with an equal ``occurrence`` are copies and count once. ``total`` is the number of rows with a record, if known.
     """
     spark = rows.sparkSession
     rows = rows.filter(not_blank(F.col("record")))
     n_parts = n_parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
-    bounds = _boundaries(rows, n_parts, n_fields)
+    bounds = _boundaries(rows, rows.count() if total is None else total, n_parts, n_fields)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, str] = {}
