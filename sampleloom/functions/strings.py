@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 # ASCII punctuation that host names lose.
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
 # Elements whose text stands apart from its neighbours.
-BLOCK_TAGS = tuple("article blockquote br dd div dl dt h1 h2 h3 h4 h5 h6 hr li ol p pre section table td th tr ul".split())
+BLOCK_TAGS = (
+    "article", "blockquote", "br", "dd", "div", "dl", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "li", "ol", "p", "pre", "section", "table", "td", "th", "tr", "ul",
+)
 ONTOLOGY_ID = r"\b([A-Z]+:[0-9]+)\b"
 _NONE = "array<string>"
 
@@ -74,9 +76,9 @@ def digit_variants(words: Column) -> Column:
 def split_place(c: Column) -> Column:
     """Struct of the part before the first colon and, if not blank, the part after it."""
     has = c.contains(":")
-    rest = F.trim(F.regexp_replace(c, r"(?s)\A[^:]*:", ""))
+    rest = strip(F.regexp_replace(c, r"(?s)\A[^:]*:", ""))
     return F.struct(
-        F.when(has, F.trim(F.substring_index(c, ":", 1))).otherwise(c).alias("country_part"),
+        F.when(has, strip(F.substring_index(c, ":", 1))).otherwise(c).alias("country_part"),
         F.when(has & (rest != ""), rest).alias("sublocation"),
     )
 
@@ -123,15 +125,6 @@ def strip_substrings(c: Column, ignored: Sequence[str]) -> Column:
     return reduce(lambda acc, s: F.regexp_replace(acc, "(?iu)" + re.sub(r"([^\w\s])", r"\\\1", s), ""), ignored, c)
 
 
-def html_text_sql(c: Column) -> Column:
-    """Readable text of a fragment by expressions alone: entities of markup, comments, tags; block tags leave a space."""
-    entities = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
-    s = reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), entities, F.coalesce(c, F.lit("")))
-    s = F.regexp_replace(s, r"(?s)<!--.*?-->", "")
-    s = F.regexp_replace(s, rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:\s[^<>]*)?/?>", " ")
-    return squeeze(F.regexp_replace(s, r"</?[A-Za-z][^<>]*>", ""))
-
-
 class _Text(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)

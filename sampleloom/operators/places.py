@@ -18,7 +18,7 @@ _NUMBER = r"(-?[0-9]+\.?[0-9]*)"
 HEMISPHERES = rf"(?iU){_NUMBER}\s*([NS])\s*[,/\s]*\s*{_NUMBER}\s*([EW])"
 PAIR = rf"(?U){_NUMBER}\s*[,/]\s*{_NUMBER}"
 # Decimal digits of all scripts, in runs from zero to nine.
-_DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.category(c) == "Nd")
+DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.category(c) == "Nd")
 _LEVELS = (1.0, 8.0, 60.0)
 #: Places up to which each row compares all of them instead of meeting cells.
 FEW_PLACES = 256
@@ -26,7 +26,7 @@ FEW_PLACES = 256
 
 def coordinates(c: Column) -> Column:
     """Struct ``(lat, lon, looks, valid)``; nulls if no writing is found in the text."""
-    c = F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(c, _DIGITS, "0123456789" * (len(_DIGITS) // 10))).otherwise(c)
+    c = F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(c, DIGITS, "0123456789" * (len(DIGITS) // 10))).otherwise(c)
     named, pair = c.rlike(HEMISPHERES), c.rlike(PAIR)
     num = lambda p, g: F.regexp_extract(c, p, g).try_cast("double")
     sign = lambda g, minus: F.when(F.upper(F.regexp_extract(c, HEMISPHERES, g)) == minus, -1.0).otherwise(1.0)

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sampleloom.functions import strings as S
+from sampleloom.functions.text import full, full_col
 from sampleloom.operators import curation as C
 from sampleloom.operators import hosts as H
 from sampleloom.operators import isolation as I
 from sampleloom.operators import model_requests as M
 from sampleloom.operators import places as G
 from sampleloom.plans import seeds
+from sampleloom.plans.folding import NAME_FORMS, SPACE, simple_form, strip
 from sampleloom.plans.relational_queries import CURATION
-from sampleloom.session import cut, table
+from sampleloom.session import table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -43,7 +45,7 @@ def preempt_table(spark):
 
 
 def _norm(c: str) -> str:
-    return f"trim(regexp_replace(regexp_replace(replace(replace(lower({c}), '_', ' '), '-', ' '), '[[:punct:]]', '', 'g'), '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace(regexp_replace(replace(replace(lower({c}), '_', ' '), '-', ' '), '[[:punct:]]', '', 'g'), '{SPACE}+', ' ', 'g'))"
 
 
 def _stripped(c: str) -> str:
@@ -53,9 +55,23 @@ def _stripped(c: str) -> str:
     return c
 
 
-_HOST_NAMES = "('host', 'host_common_name', 'host_taxid', 'host organism', 'common name of host', 'host common name')"
-_ASCII = "regexp_full_match(attr_value, '[\\x20-\\x7e]*')"
-_HOSTS = f"hosts AS (SELECT DISTINCT decision_id AS pos, accession AS record, lower(trim(attr_name)) AS attribute, attr_value AS value FROM curation_decisions WHERE accession IS NOT NULL AND lower(trim(attr_name)) IN {_HOST_NAMES} AND {_ASCII})"
+HOST = ("host", "host_common_name", "host_taxid", "host organism", "common name of host", "host common name")
+PLACE = ("geo_loc_name", "geographic location", "place name", "latitude_only")
+ISO = ("isolation_source", "env_medium", "env_local_scale", "food_source", "source_type")
+_LISTED = {"host": HOST, "loc": PLACE, "iso": ISO}
+#: Full forms of names that the operators know, given as these.
+_KNOWN = ("host", "host taxid", "latitude only")
+
+
+def _candidates_sql(target: str, name: str, value: str = "attr_value") -> str:
+    """CTEs up to ``name (record, pos, attribute, value)``: the rows of a target's attributes, in any spelling."""
+    listed = ", ".join(f"'{full(n)}'" for n in _LISTED[target])
+    wanted = f"SELECT unnest([{listed}]) AS form UNION SELECT {simple_form('x')} FROM (SELECT attr_name AS x FROM attribute_types WHERE match_target = '{target}' UNION SELECT unnest(string_split(aliases, ';')) FROM attribute_types WHERE match_target = '{target}')"
+    known = ", ".join(f"'{n}'" for n in _KNOWN)
+    return f"{NAME_FORMS}, {name} AS (SELECT DISTINCT accession AS record, decision_id AS pos, CASE WHEN form IN ({known}) THEN replace(form, ' ', '_') ELSE lower({strip('attr_name')}) END AS attribute, {value} AS value FROM curation_decisions JOIN nf ON v = attr_name WHERE accession IS NOT NULL AND form IN ({wanted}))"
+
+
+_HOSTS = _candidates_sql("host", "hosts", "coalesce(attr_value, '')")
 _TERMS = (
     "raw AS (SELECT scientific_name AS term, 1 AS tier, 1.0 AS score, 0 AS p, * FROM taxa UNION ALL SELECT trim(x), 2, 1.0, i, * EXCLUDE (x, i) FROM (SELECT *, unnest(string_split(synonym, ';')) AS x, generate_subscripts(string_split(synonym, ';'), 1) AS i FROM taxa) "
     "UNION ALL SELECT trim(x), 4, 0.9, i, * EXCLUDE (x, i) FROM (SELECT *, unnest(string_split(genbank_common_name, ';')) AS x, generate_subscripts(string_split(genbank_common_name, ';'), 1) AS i FROM taxa) "
@@ -63,7 +79,7 @@ _TERMS = (
     "terms AS (SELECT lower(term) AS norm_term, tier, CAST(score AS DOUBLE) AS score, taxid, scientific_name, table_priority, p, lower(rank) <> 'subspecies' AS sub FROM raw), "
     "best AS (SELECT DISTINCT ON (norm_term) * FROM terms ORDER BY norm_term, tier, table_priority, p), inside AS (SELECT DISTINCT ON (norm_term) *, len(list_distinct(string_split(norm_term, ' '))) AS nw, len(string_split(norm_term, ' ')) AS nr FROM terms WHERE sub ORDER BY norm_term, tier, table_priority, p)"
 )
-_VALS = f"vals AS (SELECT pos, record, attribute, value, attribute = 'host_taxid' AS by_taxid, {_norm(_stripped('trim(value)'))} AS norm FROM hosts)"
+_VALS = f"vals AS (SELECT pos, record, attribute, value, attribute = 'host_taxid' AS by_taxid, {_norm(_stripped(strip('value')))} AS norm FROM hosts)"
 _SUBSET = (
     "keys AS (SELECT DISTINCT norm, by_taxid FROM vals WHERE norm <> ''), w AS (SELECT DISTINCT norm, len(string_split(norm, ' ')) AS nv, unnest(list_distinct(list_concat(string_split(norm, ' '), list_filter(list_transform(string_split(norm, ' '), lambda x: regexp_replace(x, '^[0-9]+|[0-9]+$', '', 'g')), lambda x: x <> '')))) AS word "
     "FROM keys WHERE NOT regexp_full_match(norm, '[0-9]+') AND norm NOT IN (SELECT norm_term FROM best)), hit AS (SELECT w.norm, i.norm_term, i.nr, i.taxid, i.scientific_name, i.table_priority FROM w JOIN inside i ON list_contains(string_split(i.norm_term, ' '), w.word) WHERE i.nr = 1 OR i.nr <= w.nv "
@@ -76,14 +92,19 @@ _SUBSET = (
 _HOST_SQL = f"WITH {TAXA}, {PREEMPT}, {_TERMS}, {_HOSTS}, {_VALS}, {_SUBSET}"
 
 
-HOST = ("host", "host_common_name", "host_taxid", "host organism", "common name of host", "host common name")
-PLACE = ("geo_loc_name", "geographic location", "place name", "latitude_only")
-ISO = ("isolation_source", "env_medium", "env_local_scale", "food_source", "source_type")
+def target_names(spark, d, target):
+    """Full forms of the names of a target: those listed here and those of the table of attributes, aliases included."""
+    found = {full(n) for n in _LISTED[target]}
+    for r in table(spark, d, "attribute_types").filter(F.col("match_target") == target).collect():
+        found |= {full(n) for n in [r["attr_name"] or "", *(r["aliases"] or "").split(";")] if n.strip()}
+    return sorted(found)
 
 
-def _listed(spark, d, names):
-    name = F.lower(F.trim("attr_name"))
-    return table(spark, d, "curation_decisions").filter(F.col("accession").isNotNull() & name.isin(*names)).withColumn("name", name)
+def listed(spark, d, target):
+    """``(record, pos, attribute, value)`` of the rows of a target's attributes in any spelling, values as they stand, copies once."""
+    t = table(spark, d, "curation_decisions").filter("accession is not null and attr_name is not null").select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), "attr_name", F.col("attr_value").alias("value"), full_col(F.col("attr_name")).alias("full"))
+    attribute = F.when(F.col("full").isin(*_KNOWN), F.translate("full", " ", "_")).otherwise(F.lower(S.strip(F.col("attr_name"))))
+    return t.filter(F.col("full").isin(target_names(spark, d, target))).select("record", "pos", attribute.alias("attribute"), "value").distinct()
 
 
 def curation_rules(spark, d):
@@ -103,22 +124,12 @@ def curated(spark, d):
     """
     t = table(spark, d, "curation_decisions").filter("accession is not null").select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value")).distinct()
     got = C.curate(t, curation_rules(spark, d)).select("record", "pos", F.explode("matches.target").alias("target"), "attribute", "value", F.col("normalized_attribute").alias("full")).filter("target <> 'date'")
-    known = F.col("full").isin("host", "host taxid", "latitude only")
+    known = F.col("full").isin(*_KNOWN)
     return got.withColumn("attribute", F.when(known, F.translate("full", " ", "_")).otherwise(F.lower(S.strip(F.coalesce("attribute", F.lit(""))))))
 
 
-def whole_candidates(spark, d, target):
-    """``(record, pos, attribute, value)`` of a target, names in any spelling, values of any script, without missing ones; cut, as a step reads them often."""
-    return cut(curated(spark, d).filter(F.col("target") == target).select("record", "pos", "attribute", "value").distinct())
-
-
-def _plain(t):
-    return t.filter(F.col("attr_value").rlike(r"\A[\x20-\x7e]*\z"))
-
-
 def host_candidates(spark, d):
-    """``(record, pos, attribute, value)`` of the host attributes, ASCII values as the SQL has them, copies once."""
-    return _plain(_listed(spark, d, HOST)).select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("name").alias("attribute"), F.col("attr_value").alias("value")).distinct()
+    return listed(spark, d, "host")
 
 
 def _keys(spark, d):
@@ -137,13 +148,13 @@ def host_exact(spark, d):
     return m.filter("match_tier = '' and not norm rlike '^[0-9]+$'").select("norm", "taxid", "score").distinct()
 
 
-_AROUND = _HOST_SQL.replace(_stripped("trim(value)"), _stripped("trim('young ' || value || ' herd1')"))
+_AROUND = _HOST_SQL.replace(_stripped(strip("value")), _stripped(strip("'young ' || value || ' herd1'")))
 
 
 @query(_AROUND + " SELECT norm, score, match_tier, taxid, scientific_name, names FROM matched WHERE match_tier <> '' GROUP BY ALL")
 def host_subset(spark, d):
     """Terms inside longer values: the host values with words around them."""
-    c = host_candidates(spark, d).withColumn("value", F.concat(F.lit("young "), F.col("value"), F.lit(" herd1")))
+    c = host_candidates(spark, d).withColumn("value", F.concat(F.lit("young "), F.coalesce("value", F.lit("")), F.lit(" herd1")))
     keys = c.select(H.normal_value(F.col("value"), seeds.IGNORED_SUBSTRINGS).alias("norm"), (F.col("attribute") == "host_taxid").alias("by_taxid"))
     m = H.match_values(keys, taxa(spark), H.term_table(taxa(spark)))
     return m.filter("match_tier <> ''").select("norm", "score", "match_tier", "taxid", "scientific_name", F.array_join("names", "|").alias("names")).distinct()
@@ -157,16 +168,9 @@ def host_taxid(spark, d):
     return v.join(m, ["norm", "by_taxid"]).select("o_orderkey", "taxid", "scientific_name")
 
 
-@query(f"SELECT DISTINCT value, kw FROM (SELECT attr_value AS value, CASE {' '.join('WHEN list_has_all(string_split(' + _norm('attr_value') + ', chr(32)), [' + ', '.join(repr(w) for w in k.split()) + ']) THEN ' + repr(k) for k in seeds.ISOLATION_KEYWORDS)} END AS kw FROM curation_decisions WHERE {_ASCII}) WHERE kw IS NOT NULL")
-def keyword_preempt(spark, d, plain=True):
-    t = _values(spark, d, plain)
-    return t.withColumn("kw", H.keyword_hit(F.array("value"), seeds.ISOLATION_KEYWORDS)).filter("kw is not null")
-
-
-@query()
-def keyword_preempt_all(spark, d):
-    """``keyword_preempt`` over all rows that are not null, also those that its SQL leaves out."""
-    return keyword_preempt(spark, d, False)
+@query(f"SELECT DISTINCT value, kw FROM (SELECT attr_value AS value, CASE {' '.join('WHEN list_has_all(string_split(' + _norm('attr_value') + ', chr(32)), [' + ', '.join(repr(w) for w in k.split()) + ']) THEN ' + repr(k) for k in seeds.ISOLATION_KEYWORDS)} END AS kw FROM curation_decisions WHERE attr_value IS NOT NULL) WHERE kw IS NOT NULL")
+def keyword_preempt(spark, d):
+    return _values(spark, d).withColumn("kw", H.keyword_hit(F.array("value"), seeds.ISOLATION_KEYWORDS)).filter("kw is not null")
 
 
 _DECIDED = f"hits AS (SELECT record, pos, taxid FROM (SELECT record, pos, {_norm('value')} AS norm_value FROM hosts) h JOIN preempt USING (norm_value)), decided AS (SELECT record, bool_or(taxid IS NULL) AS rejected, arg_min(taxid, pos) FILTER (WHERE taxid IS NOT NULL) AS forced, min(pos) FILTER (WHERE taxid IS NOT NULL) AS forced_pos FROM hits GROUP BY record)"
@@ -200,7 +204,7 @@ def host_flags(spark, d):
 
 _KW_EXISTS = " OR ".join(f"list_has_all(string_split({_norm('value')}, chr(32)), [{', '.join(repr(w) for w in k.split())}])" for k in seeds.ISOLATION_KEYWORDS)
 _STD_HOST = (
-    f"{_HOST_SQL}, {_RANKED}, {_DECIDED}, kw AS (SELECT DISTINCT record FROM hosts WHERE {_KW_EXISTS}), ids AS (SELECT record, bool_or(trim(value) <> '') AS has_value FROM hosts GROUP BY record), "
+    f"{_HOST_SQL}, {_RANKED}, {_DECIDED}, kw AS (SELECT DISTINCT record FROM hosts WHERE {_KW_EXISTS}), ids AS (SELECT record, bool_or({strip('value')} <> '') AS has_value FROM hosts GROUP BY record), "
     "pick AS (SELECT i.record, i.has_value, k.record IS NOT NULL AS kw, coalesce(d.rejected, false) AS rejected, d.forced, d.forced_pos, r.taxid, r.scientific_name, r.score FROM ids i LEFT JOIN kw k USING (record) LEFT JOIN decided d USING (record) LEFT JOIN (SELECT * FROM ranked WHERE r = 1) r USING (record)), "
     "std AS (SELECT record, has_value, CASE WHEN kw THEN 'iso_keyword_preemption' WHEN rejected THEN 'override_rejection' WHEN forced IS NOT NULL THEN 'forced_override' WHEN taxid IS NOT NULL THEN 'matched' ELSE 'unmatched' END AS how, forced, taxid, score FROM pick)"
 )
@@ -216,12 +220,6 @@ def std_host(spark, d):
     return hosts_of(spark, d).select("record", F.col("diagnostics")[0].alias("how"), "taxid", "score", "overflow")
 
 
-@query()
-def std_host_all(spark, d):
-    """``std_host`` over all values, also those that its SQL leaves out."""
-    return hosts_of(spark, d, cands=whole_candidates(spark, d, "host")).select("record", F.col("diagnostics")[0].alias("how"), "taxid", "score", "overflow")
-
-
 @query(_STD_HOST.replace(f"WHERE {_KW_EXISTS})", "WHERE false)") + " SELECT record, how, CASE how WHEN 'forced_override' THEN forced WHEN 'matched' THEN taxid END AS taxid FROM std")
 def host_retry(spark, d):
     """The retry reads the values again without keyword preemption."""
@@ -242,7 +240,7 @@ def countries(spark):
 
 _COORD = "CASE o_orderkey % 4 WHEN 0 THEN (o_orderkey % 90) || '.25 N ' || (o_orderkey % 170) || '.5 W' WHEN 1 THEN (o_orderkey % 95) || '.5 S, ' || (o_orderkey % 170) || ' E' WHEN 2 THEN '-' || (o_orderkey % 90) || '.125, ' || (o_orderkey % 200) ELSE 'lot ' || o_orderkey END"
 _N = "(-?[0-9]+\\.?[0-9]*)"
-_HEMI, _PAIR = f"(?i){_N}\\s*([NS])\\s*[,/\\s]*\\s*{_N}\\s*([EW])", f"{_N}\\s*[,/]\\s*{_N}"
+_HEMI, _PAIR = f"(?i){_N}{SPACE}*([NS]){SPACE}*(?:[,/]|{SPACE})*{SPACE}*{_N}{SPACE}*([EW])", f"{_N}{SPACE}*[,/]{SPACE}*{_N}"
 _XY = (
     f"txt AS (SELECT o_orderkey, {_COORD} AS v FROM orders), xy AS (SELECT o_orderkey, v, CASE WHEN regexp_matches(v, '{_HEMI}') THEN CAST(regexp_extract(v, '{_HEMI}', 1) AS DOUBLE) * CASE WHEN upper(regexp_extract(v, '{_HEMI}', 2)) = 'S' THEN -1 ELSE 1 END WHEN regexp_matches(v, '{_PAIR}') THEN CAST(regexp_extract(v, '{_PAIR}', 1) AS DOUBLE) END AS lat, "
     f"CASE WHEN regexp_matches(v, '{_HEMI}') THEN CAST(regexp_extract(v, '{_HEMI}', 3) AS DOUBLE) * CASE WHEN upper(regexp_extract(v, '{_HEMI}', 4)) = 'W' THEN -1 ELSE 1 END WHEN regexp_matches(v, '{_PAIR}') THEN CAST(regexp_extract(v, '{_PAIR}', 2) AS DOUBLE) END AS lon FROM txt)"
@@ -274,47 +272,34 @@ def nearest_place(spark, d):
 
 
 _TOKENS = (
-    "vals AS (SELECT DISTINCT attr_value AS value FROM curation_decisions WHERE " + _ASCII + "), tok AS (SELECT value, trim(unnest(regexp_split_to_array(regexp_replace(value, '\\s+', ' ', 'g'), '[:;,]'))) AS t, generate_subscripts(regexp_split_to_array(regexp_replace(value, '\\s+', ' ', 'g'), '[:;,]'), 1) AS i FROM vals), "
+    "vals AS (SELECT DISTINCT attr_value AS value FROM curation_decisions WHERE attr_value IS NOT NULL), tok AS (SELECT value, trim(unnest(regexp_split_to_array(regexp_replace(value, '" + SPACE + "+', ' ', 'g'), '[:;,]'))) AS t, generate_subscripts(regexp_split_to_array(regexp_replace(value, '" + SPACE + "+', ' ', 'g'), '[:;,]'), 1) AS i FROM vals), "
     "ctry AS (SELECT value, arg_min(country, i) AS country, arg_min(continent, i) AS continent, arg_min(un_region, i) AS un_region FROM tok JOIN aliases ON alias = lower(t) GROUP BY value)"
 )
 
 
-def _values(spark, d, plain=True):
-    t = table(spark, d, "curation_decisions")
-    return (_plain(t) if plain else t.filter("attr_value is not null")).select(F.col("attr_value").alias("value")).distinct()
+def _values(spark, d):
+    return table(spark, d, "curation_decisions").filter("attr_value is not null").select(F.col("attr_value").alias("value")).distinct()
 
 
 @query(f"WITH {COUNTRIES}, {_TOKENS} SELECT * FROM ctry")
-def country_lookup(spark, d, plain=True):
-    return G.lookup_countries(_values(spark, d, plain), countries(spark))
-
-
-@query()
-def country_lookup_all(spark, d):
-    """``country_lookup`` over all rows that are not null, also those that its SQL leaves out."""
-    return country_lookup(spark, d, False)
+def country_lookup(spark, d):
+    return G.lookup_countries(_values(spark, d), countries(spark))
 
 
 @query(f"WITH {COUNTRIES}, {REMAP}, {OFFICIAL}, {_TOKENS}, m AS (SELECT value, c.country, coalesce(r.mapped, c.country) AS m FROM ctry c LEFT JOIN remap r ON r.country = c.country) SELECT value, country, o.name AS official, o.name IS NULL AS unmappable FROM m LEFT JOIN official o ON o.name = m.m")
-def country_remap(spark, d, plain=True):
-    got = G.lookup_countries(_values(spark, d, plain), countries(spark)).select("value", "country")
+def country_remap(spark, d):
+    got = G.lookup_countries(_values(spark, d), countries(spark)).select("value", "country")
     return G.to_official(got, seeds.frame(spark, seeds.REMAP, seeds.REMAP_COLUMNS), seeds.frame(spark, seeds.OFFICIAL_NAMES, "name string"))
 
 
-@query()
-def country_remap_all(spark, d):
-    """``country_remap`` over all rows that are not null, also those that its SQL leaves out."""
-    return country_remap(spark, d, False)
-
-
-_LOC_NAMES = "('geo_loc_name', 'geographic location', 'place name', 'latitude_only')"
-_LOCS = f"locs AS (SELECT DISTINCT accession AS record, decision_id AS pos, lower(trim(attr_name)) AS attribute, trim(attr_value) AS value FROM curation_decisions WHERE accession IS NOT NULL AND lower(trim(attr_name)) IN {_LOC_NAMES} AND {_ASCII})"
+# decimal digits of all scripts count as 0-9 in coordinates
+_LOCS = _candidates_sql("loc", "locs0") + f", locs AS (SELECT record, pos, attribute, {strip('value')} AS value, translate({strip('value')}, '{G.DIGITS}', '{'0123456789' * (len(G.DIGITS) // 10)}') AS num FROM locs0)"
 _PLACES = (
-    f"{_LOCS}, cl AS (SELECT *, regexp_matches(value, '{_HEMI}') OR regexp_matches(value, '{_PAIR}') OR attribute = 'latitude_only' AS pt, CASE WHEN contains(value, ':') THEN trim(split_part(value, ':', 1)) ELSE value END AS name, CASE WHEN contains(value, ':') THEN nullif(trim(substr(value, instr(value, ':') + 1)), '') END AS sub FROM locs WHERE value <> ''), "
-    "tok AS (SELECT name, trim(unnest(regexp_split_to_array(regexp_replace(name, '\\s+', ' ', 'g'), '[:;,]'))) AS t, generate_subscripts(regexp_split_to_array(regexp_replace(name, '\\s+', ' ', 'g'), '[:;,]'), 1) AS i FROM (SELECT DISTINCT name FROM cl WHERE NOT pt)), ctry AS (SELECT name, arg_min(country, i) AS country FROM tok JOIN aliases ON alias = lower(t) GROUP BY name), "
+    f"{_LOCS}, cl AS (SELECT *, regexp_matches(num, '{_HEMI}') OR regexp_matches(num, '{_PAIR}') OR attribute = 'latitude_only' AS pt, CASE WHEN contains(value, ':') THEN {strip("split_part(value, ':', 1)")} ELSE value END AS name, CASE WHEN contains(value, ':') THEN nullif({strip("substr(value, instr(value, ':') + 1)")}, '') END AS sub FROM locs WHERE value <> ''), "
+    f"tok AS (SELECT name, trim(unnest(regexp_split_to_array(regexp_replace(name, '{SPACE}+', ' ', 'g'), '[:;,]'))) AS t, generate_subscripts(regexp_split_to_array(regexp_replace(name, '{SPACE}+', ' ', 'g'), '[:;,]'), 1) AS i FROM (SELECT DISTINCT name FROM cl WHERE NOT pt)), ctry AS (SELECT name, arg_min(country, i) AS country FROM tok JOIN aliases ON alias = lower(t) GROUP BY name), "
     "named AS (SELECT c.record, c.pos, c.sub, y.country, c.attribute || '=' || c.value AS pair FROM cl c LEFT JOIN ctry y ON y.name = c.name WHERE NOT c.pt), pick AS (SELECT record, arg_min(country, (sub IS NULL, pos)) AS country, arg_min(coalesce(sub, ''), (sub IS NULL, pos)) AS sub FROM named WHERE country IS NOT NULL GROUP BY record), "
-    f"pt AS (SELECT record, pos, CASE WHEN regexp_matches(value, '{_HEMI}') THEN CAST(regexp_extract(value, '{_HEMI}', 1) AS DOUBLE) * CASE WHEN upper(regexp_extract(value, '{_HEMI}', 2)) = 'S' THEN -1 ELSE 1 END WHEN regexp_matches(value, '{_PAIR}') THEN CAST(regexp_extract(value, '{_PAIR}', 1) AS DOUBLE) END AS la, "
-    f"CASE WHEN regexp_matches(value, '{_HEMI}') THEN CAST(regexp_extract(value, '{_HEMI}', 3) AS DOUBLE) * CASE WHEN upper(regexp_extract(value, '{_HEMI}', 4)) = 'W' THEN -1 ELSE 1 END WHEN regexp_matches(value, '{_PAIR}') THEN CAST(regexp_extract(value, '{_PAIR}', 2) AS DOUBLE) END AS lo FROM cl WHERE pt), "
+    f"pt AS (SELECT record, pos, CASE WHEN regexp_matches(num, '{_HEMI}') THEN CAST(regexp_extract(num, '{_HEMI}', 1) AS DOUBLE) * CASE WHEN upper(regexp_extract(num, '{_HEMI}', 2)) = 'S' THEN -1 ELSE 1 END WHEN regexp_matches(num, '{_PAIR}') THEN CAST(regexp_extract(num, '{_PAIR}', 1) AS DOUBLE) END AS la, "
+    f"CASE WHEN regexp_matches(num, '{_HEMI}') THEN CAST(regexp_extract(num, '{_HEMI}', 3) AS DOUBLE) * CASE WHEN upper(regexp_extract(num, '{_HEMI}', 4)) = 'W' THEN -1 ELSE 1 END WHEN regexp_matches(num, '{_PAIR}') THEN CAST(regexp_extract(num, '{_PAIR}', 2) AS DOUBLE) END AS lo FROM cl WHERE pt), "
     "near AS (SELECT record, pos, arg_min(place, h) AS sub, arg_min(country, h) AS country FROM (SELECT record, pos, place, country, pow(sin(radians(g.lat - la) / 2), 2) + cos(radians(la)) * cos(radians(g.lat)) * pow(sin(radians(g.lon - lo) / 2), 2) AS h FROM pt, gaz g WHERE la BETWEEN -90 AND 90 AND lo BETWEEN -180 AND 180) GROUP BY record, pos), "
     "every AS (SELECT record, pos, sub, country, 'direct_resolution' AS how FROM named WHERE country IS NOT NULL UNION ALL SELECT record, pos, sub, country, 'coordinate_resolution' FROM near), pick2 AS (SELECT record, arg_min(country, (sub IS NULL, pos)) AS country, arg_min(coalesce(sub, ''), (sub IS NULL, pos)) AS sub, arg_min(how, (sub IS NULL, pos)) AS how FROM every GROUP BY record), "
     "req AS (SELECT record, string_agg(pair, ' ' ORDER BY pos) AS pairs FROM named WHERE country IS NULL GROUP BY record)"
@@ -322,7 +307,7 @@ _PLACES = (
 
 
 def place_candidates(spark, d):
-    return _plain(_listed(spark, d, PLACE)).select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("name").alias("attribute"), F.trim("attr_value").alias("value")).distinct()
+    return listed(spark, d, "loc").withColumn("value", S.strip(F.col("value")))
 
 
 def places_of(spark, d, cands=None):
@@ -350,16 +335,9 @@ def std_location(spark, d):
     return places_of(spark, d).select("record", "country", "sublocation", "diagnostic", "request")
 
 
-@query()
-def std_location_all(spark, d):
-    """``std_location`` over all values, also those that its SQL leaves out."""
-    return places_of(spark, d, whole_candidates(spark, d, "loc")).select("record", "country", "sublocation", "diagnostic", "request")
-
-
 # ---- isolation -------------------------------------------------------------------------------------------------------
 
-_ISO_NAMES = "('isolation_source', 'env_medium', 'env_local_scale', 'food_source', 'source_type')"
-_ISO = f"iso AS (SELECT DISTINCT accession AS record, decision_id AS pos, lower(trim(attr_name)) AS attribute, trim(attr_value) AS value FROM curation_decisions WHERE accession IS NOT NULL AND lower(trim(attr_name)) IN {_ISO_NAMES} AND {_ASCII})"
+_ISO = _candidates_sql("iso", "iso", strip("attr_value"))
 _KW = "replace(replace(lower({}), ' ', '_'), '-', '_')"
 _ONTO = (
     "nodes AS (SELECT row_number() OVER (ORDER BY term) AS o, term, coalesce(nullif(trim(display_term), ''), string_split(term, ':')[-1]) AS shown, coalesce(ontology_link, '') AS links, list_filter(list_transform(string_split(coalesce(synonyms, ''), ';'), lambda x: trim(x)), lambda x: x <> '') AS syn, crosslink_term AS x FROM ontology_terms), "
@@ -378,7 +356,7 @@ _ISO_SQL = f"WITH {_ISO}, {_ONTO}, {_DIRECT}, {_LINKED}"
 
 
 def iso_candidates(spark, d):
-    return _plain(_listed(spark, d, ISO)).select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("name").alias("attribute"), F.trim("attr_value").alias("value")).distinct()
+    return listed(spark, d, "iso").withColumn("value", S.strip(F.col("value")))
 
 
 def _selected(spark, d):
@@ -410,7 +388,7 @@ def iso_render(spark, d):
 
 
 @query(
-    f"{_ISO_SQL}, {_RENDER}, cnt AS (SELECT record, count_if(value <> '') AS n, count_if(value IN (SELECT value FROM direct)) AS h FROM iso GROUP BY record) SELECT c.record, coalesce(categories, 'unspecified') AS categories, coalesce(display_terms, 'unspecified') AS display_terms, coalesce(term_paths, '') AS term_paths, "
+    f"{_ISO_SQL}, {_RENDER}, cnt AS (SELECT record, count(*) FILTER (WHERE value <> '') AS n, count(*) FILTER (WHERE value IN (SELECT value FROM direct)) AS h FROM iso GROUP BY record) SELECT c.record, coalesce(categories, 'unspecified') AS categories, coalesce(display_terms, 'unspecified') AS display_terms, coalesce(term_paths, '') AS term_paths, "
     "CASE WHEN h > 0 THEN 'sample' ELSE 'none' END AS evidence_level, n > 0 AND n = h AS covered FROM cnt c LEFT JOIN rend USING (record)"
 )
 def std_isolation(spark, d):
@@ -418,12 +396,6 @@ def std_isolation(spark, d):
     return I.standardize_isolation(iso_candidates(spark, d), table(spark, d, "ontology_terms")).select("record", "categories", "display_terms", "term_paths", "evidence_level", "covered")
 
 
-@query()
-def std_isolation_all(spark, d):
-    """``std_isolation`` over all values, also those that its SQL leaves out."""
-    return I.standardize_isolation(whole_candidates(spark, d, "iso"), table(spark, d, "ontology_terms")).select("record", "categories", "display_terms", "term_paths", "evidence_level", "covered")
-
-
 _LEVELS = ("none", "sample", "project", "sample_and_project")
 
 
@@ -498,7 +470,7 @@ def _stand_in(request: str) -> str:
 @query()
 def iso_llm(spark, d):
     """Requests that a model would get for records that direct matches do not cover, and their fingerprints."""
-    c = whole_candidates(spark, d, "iso").withColumn("value", S.strip(F.col("value")))
+    c = iso_candidates(spark, d)
     std = I.standardize_isolation(c, table(spark, d, "ontology_terms")).filter("not covered and request_mode is not null").select("record", "request_mode")
     pairs = c.filter("value <> ''").groupBy("record").agg(F.array_sort(F.collect_list(F.struct("pos", "attribute", "value"))).alias("p"))
     text = M.request_json("m-1", {"temperature": 0}, "terms:1", "Choose terms.", S.render_block(F.col("p.attribute"), F.col("p.value")))

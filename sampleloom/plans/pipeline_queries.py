@@ -14,6 +14,7 @@ from sampleloom.plans import date_queries as DQ
 from sampleloom.plans import entity_queries as E
 from sampleloom.plans import pipeline as PL
 from sampleloom.plans import seeds
+from sampleloom.plans.folding import strip
 from sampleloom.plans.relational_queries import REG, registry
 from sampleloom.session import ensure_checkpoint_dir, table
 from sampleloom.sources import tables, xml
@@ -84,6 +85,7 @@ def scan_tsv(spark, d):
 
 _SELECTED = ("q_varensis", "q_lutea", "b_oxalis")
 _IN = ", ".join(f"'{s}'" for s in _SELECTED)
+_EVERY = ", ".join(f"'{r[0]}'" for r in seeds.REGISTRY)
 _RECORDS = "(SELECT accession, arg_max(pathogen_biosample, (first_seen, pathogen_biosample)) AS pathogen FROM accession_index WHERE trim(accession) <> '' AND trim(pathogen_biosample) <> '' GROUP BY accession)"
 
 
@@ -101,31 +103,24 @@ def select_pathogens(spark, d):
     return T.select_groups(records(spark, d), _SELECTED).select("accession", "pathogen")
 
 
-@query(f"WITH {REG} SELECT r.key AS pathogen, count(x.accession) AS n FROM registry r LEFT JOIN {_RECORDS} x ON x.pathogen = r.key AND x.accession LIKE '%1' GROUP BY r.key")
+@query(f"WITH {REG} SELECT r.key AS pathogen, count(x.accession) AS n FROM registry r LEFT JOIN {_RECORDS} x ON x.pathogen = r.key GROUP BY r.key")
 def count_selected(spark, d):
-    some = records(spark, d).filter("accession like '%1'")
-    return T.count_groups(some, registry(spark).select(F.col("key").alias("pathogen")))
-
-
-@query()
-def count_selected_all(spark, d):
-    """Records of each registered pathogen over the whole index; the SQL of ``count_selected`` takes a part of it."""
     return T.count_groups(records(spark, d), registry(spark).select(F.col("key").alias("pathogen")))
 
 
 _STD_DATE, _STD_HOST, _STD_LOC, _STD_ISO = DQ.ORACLE["std_date"], E.ORACLE["std_host"], E.ORACLE["std_location"], E.ORACLE["std_isolation"]
 _OUTCOMES = (
     f"dates AS ({_STD_DATE}), hosts AS ({_STD_HOST}), places AS ({_STD_LOC}), isos AS ({_STD_ISO}), j AS (SELECT x.accession, x.pathogen, d.date_start, d.date_end, d.date_score, h.taxid, h.how, l.country, l.sublocation, i.term_paths, i.display_terms "
-    f"FROM {_RECORDS} x LEFT JOIN dates d ON d.accession = x.accession LEFT JOIN hosts h ON h.record = x.accession LEFT JOIN places l ON l.record = x.accession LEFT JOIN isos i ON i.record = x.accession WHERE x.pathogen IN ({_IN}))"
+    f"FROM {_RECORDS} x LEFT JOIN dates d ON d.accession = x.accession LEFT JOIN hosts h ON h.record = x.accession LEFT JOIN places l ON l.record = x.accession LEFT JOIN isos i ON i.record = x.accession WHERE x.pathogen IN ({_EVERY}))"
 )
 
 
-def _outcomes(spark, d, form=""):
-    """Outcomes of the records; ``form`` is the ending of the step queries, with it all registered pathogens are taken."""
-    r = T.select_groups(records(spark, d), [x[0] for x in seeds.REGISTRY] if form else _SELECTED)
+def _outcomes(spark, d):
+    """Outcomes of the records of all registered pathogens."""
+    r = T.select_groups(records(spark, d), [x[0] for x in seeds.REGISTRY])
     k = lambda df: df.withColumnRenamed("record", "accession")
     dates = DQ.QUERIES["std_date"](spark, d)
-    hosts, places, isos = (k(E.QUERIES[n + form](spark, d)) for n in ("std_host", "std_location", "std_isolation"))
+    hosts, places, isos = (k(E.QUERIES[n](spark, d)) for n in ("std_host", "std_location", "std_isolation"))
     return (
         r.join(dates.select("accession", "date_start", "date_end", "date_score"), "accession", "left").join(hosts.select("accession", "taxid", "how"), "accession", "left")
         .join(places.select("accession", "country", "sublocation"), "accession", "left").join(isos.select("accession", "term_paths", "display_terms"), "accession", "left")
@@ -133,26 +128,20 @@ def _outcomes(spark, d, form=""):
 
 
 @query(f"WITH {_OUTCOMES} SELECT accession FROM j WHERE date_start IS NOT NULL OR taxid IS NOT NULL OR country IS NOT NULL OR display_terms IS NOT NULL")
-def accept_rows(spark, d, form=""):
-    o = _outcomes(spark, d, form)
+def accept_rows(spark, d):
+    o = _outcomes(spark, d)
     return o.filter(T.accepted(*[F.col(c) for c in ("date_start", "taxid", "country", "display_terms")])).select("accession")
 
 
-@query()
-def accept_rows_all(spark, d):
-    """``accept_rows`` over all values and registered pathogens, also those that its SQL leaves out."""
-    return accept_rows(spark, d, "_all")
-
-
 @query(
     f"WITH {REG}, {seeds.values(seeds.TAXA, seeds.TAXA_COLUMNS, 'taxa0')}, {_OUTCOMES} SELECT j.accession, r.scientific_name AS pathogen, EXISTS (SELECT 1 FROM accession_index a WHERE a.in_atb = 'True' AND a.accession = j.accession AND a.pathogen_atb = j.pathogen) AS in_ATB, "
     "coalesce(CAST(date_start AS VARCHAR), '') AS date_start, coalesce(CAST(date_end AS VARCHAR), '') AS date_end, coalesce(CAST(date_score AS VARCHAR), '') AS date_score, coalesce(country, '') AS loc_country, CASE WHEN country IS NULL THEN '' ELSE coalesce(sublocation, 'NA') END AS loc_sublocation, "
     "coalesce(term_paths, '') AS iso_term_paths, coalesce(CAST(j.taxid AS VARCHAR), '') AS host_taxid, coalesce(t.scientific_name, '') AS host_scientific_name FROM j JOIN registry r ON r.key = j.pathogen LEFT JOIN taxa0 t ON t.taxid = j.taxid"
 )
-def final_projection(spark, d, form=""):
+def final_projection(spark, d):
     """The columns of the final table that the outcomes give."""
     names = E.taxa(spark).select("taxid", F.col("scientific_name").alias("host_scientific_name"))
-    o = _outcomes(spark, d, form).join(names, "taxid", "left").withColumnsRenamed({"taxid": "host_taxid", "country": "loc_country", "sublocation": "loc_sublocation", "term_paths": "iso_term_paths"})
+    o = _outcomes(spark, d).join(names, "taxid", "left").withColumnsRenamed({"taxid": "host_taxid", "country": "loc_country", "sublocation": "loc_sublocation", "term_paths": "iso_term_paths"})
     absent = {c for a in T.COLUMNS.values() for c in a} - set(o.columns)
     o = o.withColumns({c: F.lit(None).cast("string") for c in absent})
     member = table(spark, d, "accession_index").filter("in_atb = 'True'").select(F.col("pathogen_atb").alias("pathogen"), "accession")
@@ -160,25 +149,13 @@ def final_projection(spark, d, form=""):
     return wide.select("accession", "pathogen", "in_ATB", "date_start", "date_end", "date_score", "loc_country", "loc_sublocation", "iso_term_paths", "host_taxid", "host_scientific_name")
 
 
-@query()
-def final_projection_all(spark, d):
-    """``final_projection`` over all values and registered pathogens, also those that its SQL leaves out."""
-    return final_projection(spark, d, "_all")
-
-
 @query(
     f"WITH {REG}, {_OUTCOMES}, g AS (SELECT r.key AS pathogen, count(j.accession) AS processed, count_if(j.date_start IS NOT NULL) AS dated, count_if(j.taxid IS NOT NULL) AS hosted, count_if(j.country IS NOT NULL) AS placed FROM registry r LEFT JOIN j ON j.pathogen = r.key GROUP BY r.key), "
     "long AS (SELECT pathogen, unnest(['processed', 'dated', 'hosted', 'placed']) AS metric, unnest([processed, dated, hosted, placed]) AS n FROM g) SELECT pathogen, metric, CAST(sum(n) AS BIGINT) AS n FROM long GROUP BY GROUPING SETS ((pathogen, metric), (metric))"
 )
-def report_rollup(spark, d, form=""):
+def report_rollup(spark, d):
     flags = {"dated": F.col("date_start").isNotNull(), "hosted": F.col("taxid").isNotNull(), "placed": F.col("country").isNotNull()}
-    return T.report(_outcomes(spark, d, form), registry(spark).select(F.col("key").alias("pathogen")), flags)
-
-
-@query()
-def report_rollup_all(spark, d):
-    """``report_rollup`` over all values and registered pathogens, also those that its SQL leaves out."""
-    return report_rollup(spark, d, "_all")
+    return T.report(_outcomes(spark, d), registry(spark).select(F.col("key").alias("pathogen")), flags)
 
 
 @query(f"WITH hosts AS ({_STD_HOST}), g AS (SELECT x.pathogen, h.how FROM {_RECORDS} x JOIN hosts h ON h.record = x.accession) SELECT pathogen, how AS diagnostic, count(*) AS n FROM g GROUP BY GROUPING SETS ((pathogen, how), (how))")
@@ -187,35 +164,23 @@ def diagnostic_histogram(spark, d):
     return T.histogram(records(spark, d).join(h, "accession"), "diagnostics")
 
 
-@query(f"WITH hosts AS ({_STD_HOST}), raw AS (SELECT accession, arg_min(attr_value, decision_id) AS v FROM curation_decisions WHERE accession IS NOT NULL AND lower(trim(attr_name)) = 'host' GROUP BY accession), {E.TAXA} SELECT raw.accession, coalesce(nullif(trim(t.scientific_name), ''), trim(raw.v), '') AS host_context FROM raw LEFT JOIN hosts h ON h.record = raw.accession LEFT JOIN taxa t ON t.taxid = h.taxid".replace(f", {E.TAXA} SELECT", f", {seeds.values(seeds.TAXA, seeds.TAXA_COLUMNS, 'taxa')} SELECT"))
+@query(
+    f"WITH hosts AS ({_STD_HOST}), {E.NAME_FORMS}, raw AS (SELECT accession, arg_min(attr_value, decision_id) AS v FROM curation_decisions JOIN nf ON v = attr_name WHERE accession IS NOT NULL AND form = 'host' AND attr_value IS NOT NULL GROUP BY accession), "
+    f"{seeds.values(seeds.TAXA, seeds.TAXA_COLUMNS, 'taxa')} SELECT h.record AS accession, coalesce(nullif(trim(t.scientific_name), ''), {strip('raw.v')}, '') AS host_context FROM hosts h LEFT JOIN raw ON raw.accession = h.record LEFT JOIN taxa t ON t.taxid = h.taxid"
+)
 def host_context(spark, d):
-    raw = table(spark, d, "curation_decisions").filter("accession is not null and lower(trim(attr_name)) = 'host' and attr_value is not null").groupBy("accession").agg(F.min(F.struct("decision_id", "attr_value"))["attr_value"].alias("v"))
-    every = table(spark, d, "curation_decisions").filter("accession is not null and lower(trim(attr_name)) = 'host'").select("accession").distinct().join(raw, "accession", "left")
+    """The standard name, else the first raw value under the host attribute, of every record with a host candidate."""
+    raw = E.host_candidates(spark, d).filter("attribute = 'host' and value is not null").groupBy(F.col("record").alias("accession")).agg(F.min(F.struct("pos", "value"))["value"].alias("v"))
     h = E.QUERIES["std_host"](spark, d).select(F.col("record").alias("accession"), "taxid").join(E.taxa(spark).select("taxid", "scientific_name"), "taxid", "left")
-    return every.join(h, "accession", "left").select("accession", T.host_context(F.col("scientific_name"), F.col("v")).alias("host_context"))
-
-
-@query()
-def host_context_all(spark, d):
-    """``host_context`` with the hosts of all values, for every record with a host candidate."""
-    c = E.whole_candidates(spark, d, "host")
-    raw = c.filter("attribute = 'host'").groupBy(F.col("record").alias("accession")).agg(F.min(F.struct("pos", "value"))["value"].alias("v"))
-    h = E.QUERIES["std_host_all"](spark, d).select(F.col("record").alias("accession"), "taxid").join(E.taxa(spark).select("taxid", "scientific_name"), "taxid", "left")
     return h.join(raw, "accession", "left").select("accession", T.host_context(F.col("scientific_name"), S.strip(F.col("v"))).alias("host_context"))
 
 
 @query(f"WITH isos AS ({_STD_ISO}) SELECT record AS accession, '{{\"accession\":' || to_json(record) || ',\"display_terms\":' || to_json(display_terms) || ',\"evidence_level\":' || to_json(evidence_level) || '}}' AS line FROM isos")
-def reasoning_json(spark, d, form=""):
-    i = E.QUERIES["std_isolation" + form](spark, d)
+def reasoning_json(spark, d):
+    i = E.QUERIES["std_isolation"](spark, d)
     return i.select(F.col("record").alias("accession"), T.reasoning_line({"accession": F.col("record"), "display_terms": F.col("display_terms"), "evidence_level": F.col("evidence_level")}).alias("line"))
 
 
-@query()
-def reasoning_json_all(spark, d):
-    """``reasoning_json`` over all values, also those that its SQL leaves out."""
-    return reasoning_json(spark, d, "_all")
-
-
 def dimensions(spark: SparkSession, d: str) -> PL.Dimensions:
     """The seed vocabularies, with the ontology and catalog of the tables."""
     nodes = seeds.frame(spark, seeds.NODES, seeds.NODES_COLUMNS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sampleloom.plans import date_queries, entity_queries, pipeline_queries, relational_queries, text_queries, training_data
+from sampleloom.plans.folding import complete
 from sampleloom.session import shipped
 
 _MODULES = (training_data, text_queries, date_queries, relational_queries, entity_queries, pipeline_queries)
@@ -13,4 +14,4 @@ def all_queries() -> dict:
 
 
 def all_oracles() -> dict[str, str]:
-    return {k: s for m in _MODULES for k, s in m.ORACLE.items()}
+    return {k: complete(s) for m in _MODULES for k, s in m.ORACLE.items()}

@@ -11,6 +11,7 @@ from sampleloom.operators import index as X
 from sampleloom.operators import lineage as L
 from sampleloom.operators.ranking import dimension, first_by
 from sampleloom.plans import seeds
+from sampleloom.plans.folding import NAME_FORMS, VALUE_FORMS, simple_form
 from sampleloom.sources import projects as P
 from sampleloom.session import table
 
@@ -313,99 +314,72 @@ def rejection_counts(spark, d):
     return C.rejection_counts(_decisions(spark, d), "automatic_rejection")
 
 
-_FULL = "trim(regexp_replace(CASE WHEN length(s) > 1 AND left(s, 1) = right(s, 1) AND left(s, 1) IN ('''', '\"') THEN substr(s, 2, length(s) - 2) ELSE s END, '[^0-9a-z]+', ' ', 'g'))"
-_ASCII = "regexp_full_match({}, '[\\x20-\\x7e]*')"
-_PLAIN = r"\A[\x20-\x7e]*\z"
-
-
-def _texts(spark, d, column, plain):
-    """Decisions whose text is there, or is printable ASCII as the SQL has it."""
-    c = F.col(column)
-    return table(spark, d, "curation_decisions").filter(c.rlike(_PLAIN) if plain else c.isNotNull())
+def _texts(spark, d, column):
+    """The distinct texts of a column of the decisions."""
+    return table(spark, d, "curation_decisions").filter(F.col(column).isNotNull())
 
 
 @query(
-    f"SELECT attr_value, n FROM (SELECT attr_value, {_FULL.replace('s', 's')} AS f, n FROM (SELECT attr_value, trim(lower(attr_value)) AS s, count(DISTINCT decision_id) AS n FROM curation_decisions WHERE {_ASCII.format('attr_value')} GROUP BY attr_value)) "
-    "WHERE f = '' OR f IN (SELECT trim(regexp_replace(lower(word), '[^0-9a-z]+', ' ', 'g')) FROM missing_words)"
+    f"WITH {VALUE_FORMS}, n AS (SELECT attr_value, count(DISTINCT decision_id) AS n FROM curation_decisions WHERE attr_value IS NOT NULL GROUP BY attr_value) SELECT attr_value, n FROM n JOIN vf ON v = attr_value WHERE form = '' OR form IN (SELECT {simple_form('word')} FROM missing_words)"
 )
-def missing_filter(spark, d, plain=True):
-    t = _texts(spark, d, "attr_value", plain).select("attr_value", "decision_id").distinct().groupBy("attr_value").agg(F.count("*").alias("n"))
+def missing_filter(spark, d):
+    t = _texts(spark, d, "attr_value").select("attr_value", "decision_id").distinct().groupBy("attr_value").agg(F.count("*").alias("n"))
     rule = C.ValueRule.of(C.UNIVERSAL, {"exact": [r[0] for r in table(spark, d, "missing_words").collect()]})
     shown = presentation_col(F.col("attr_value"))
     return t.withColumn("__p", shown).withColumn("__f", full_col(F.col("attr_value"))).filter(rule.definite(F.col("__f"), F.col("__p"))).select("attr_value", "n")
 
 
-@query()
-def missing_filter_all(spark, d):
-    """``missing_filter`` over all rows that are not null, also those that its SQL leaves out."""
-    return missing_filter(spark, d, False)
-
-
-_TYPO = "substr(w, 1, 2) || substr(w, 4, 1) || substr(w, 3, 1) || substr(w, 5)"
+# Slips of every missing word: neighbours swapped, a letter lost, two letters lost, a letter doubled and one lost.
+_SLIPS = (
+    "slips AS (SELECT DISTINCT trim(regexp_replace(typed, ' +', ' ', 'g')) AS typed FROM (SELECT w, k, unnest([substr(w, 1, k - 1) || substr(w, k + 1, 1) || substr(w, k, 1) || substr(w, k + 2), substr(w, 1, k - 1) || substr(w, k + 1), substr(w, 1, k - 1) || substr(w, k + 1, 1) || substr(w, k + 3), "
+    "substr(w, 1, k) || substr(w, k, 1) || substr(w, k + 1, 1) || substr(w, k + 3)]) AS typed FROM (SELECT word AS w, unnest(range(1, length(word))) AS k FROM missing_words)) WHERE trim(regexp_replace(typed, ' +', ' ', 'g')) NOT IN (SELECT word FROM missing_words))"
+)
+_PAIRED = "list_transform(list_zip(string_split(typed, ' '), string_split(word, ' ')), lambda z: CASE WHEN z[1] = z[2] THEN 0 WHEN NOT regexp_full_match(z[1] || z[2], '[a-z]+') OR length(z[1]) < 5 OR length(z[2]) < 5 THEN 9 ELSE damerau_levenshtein(z[1], z[2]) END)"
 
 
 @query(
-    "WITH w AS (SELECT word AS w FROM missing_words WHERE regexp_full_match(word, '[a-z]{6,}')) SELECT w AS word, " + _TYPO + " AS typed, CASE WHEN substr(w, 3, 1) = substr(w, 4, 1) THEN 'exact' ELSE 'rejected_value' END AS verdict FROM w"
+    f"WITH {_SLIPS}, far AS (SELECT typed, list_sum({_PAIRED}) AS n FROM slips, missing_words WHERE len(string_split(typed, ' ')) = len(string_split(word, ' '))), v AS (SELECT typed, CASE WHEN count_if(n = 1) = 1 THEN 'rejected_value' WHEN count_if(n IN (1, 2)) > 0 THEN 'uncertain_rejection' END AS verdict FROM far GROUP BY typed) SELECT typed, verdict FROM slips LEFT JOIN v USING (typed)"
 )
 def fuzzy_missing(spark, d):
+    """Verdicts on slips of one and two edits at every place of every missing word, of one word and of several."""
     words = table(spark, d, "missing_words").select(F.col("word").alias("w"))
     refs = frozenset(r[0] for r in words.collect() if r[0])
-    w = F.col("w")
-    typed = F.concat(F.substring(w, 1, 2), F.substring(w, 4, 1), F.substring(w, 3, 1), F.expr("substring(w, 5)"))
-    t = words.filter(w.rlike(r"\A[a-z]{6,}\z")).select(w.alias("word"), typed.alias("typed"))
-    return t.select("word", "typed", F.when(F.col("typed") == F.col("word"), "exact").otherwise(C.fuzzy_col(F.col("typed"), refs)).alias("verdict"))
+    at = words.select("w", F.explode(F.sequence(F.lit(1), F.length("w") - 1)).alias("k")).filter(F.length("w") > 1)
+    cut = lambda start, n: F.expr(f"substring(w, {start}, {n})")
+    head, a, b = F.expr("substring(w, 1, k - 1)"), cut("k", 1), cut("k + 1", 1)
+    tail = lambda n: F.expr(f"substring(w, k + {n})")
+    slips = F.array(F.concat(head, b, a, tail(2)), F.concat(head, tail(1)), F.concat(head, b, tail(3)), F.concat(head, a, a, b, tail(3)))
+    typed = at.select(F.explode(slips).alias("typed")).select(F.trim(F.regexp_replace("typed", " +", " ")).alias("typed")).distinct().filter(~F.col("typed").isin(*sorted(refs)))
+    return typed.select("typed", C.fuzzy_col(F.col("typed"), refs).alias("verdict"))
 
 
 @query(
-    f"SELECT DISTINCT attr_name, f AS normalized, CASE WHEN list_has_any(string_split(f, ' '), ['host', 'herd']) OR contains(' ' || f || ' ', ' source organism ') THEN 'host_fields' WHEN regexp_matches(f, '(^| )(place|geo|site)') OR contains(' ' || f || ' ', ' visit round ') THEN 'place_words' END AS family "
-    f"FROM (SELECT attr_name, {_FULL} AS f FROM (SELECT attr_name, trim(lower(attr_name)) AS s FROM curation_decisions WHERE {_ASCII.format('attr_name')}))"
+    f"WITH {NAME_FORMS} SELECT v AS attr_name, form AS normalized, CASE WHEN list_has_any(string_split(form, ' '), ['host', 'herd']) OR contains(' ' || form || ' ', ' source organism ') THEN 'host_fields' WHEN regexp_matches(form, '(^| )(place|geo|site)') OR contains(' ' || form || ' ', ' visit round ') THEN 'place_words' END AS family FROM nf"
 )
-def discover_attr(spark, d, plain=True):
+def discover_attr(spark, d):
     rules = (C.Discovery("host_fields", frozenset(("host", "herd")), ("source organism",)), C.Discovery("place_words", frozenset(), ("visit round",), ("(^| )(place|geo|site)",)))
-    t = _texts(spark, d, "attr_name", plain).select("attr_name").distinct().withColumn("normalized", full_col(F.col("attr_name")))
+    t = _texts(spark, d, "attr_name").select("attr_name").distinct().withColumn("normalized", full_col(F.col("attr_name")))
     return t.select("attr_name", "normalized", F.when(rules[0].hits(F.col("normalized")), rules[0].family).when(rules[1].hits(F.col("normalized")), rules[1].family).alias("family"))
 
 
-@query()
-def discover_attr_all(spark, d):
-    """``discover_attr`` over all rows that are not null, also those that its SQL leaves out."""
-    return discover_attr(spark, d, False)
-
-
 _NAMES = [c[0] for c in seeds.COUNTRIES]
 
 
-@query(
-    "WITH v AS (SELECT DISTINCT attr_value, trim(regexp_replace(trim(lower(attr_value)), '\\s+', ' ', 'g')) AS p FROM curation_decisions WHERE " + _ASCII.format("attr_value") + " AND NOT starts_with(trim(attr_value), '\"') AND NOT starts_with(trim(attr_value), '''')) "
-    "SELECT attr_value FROM v WHERE " + " OR ".join(f"regexp_matches(p, '^{n}\\s*[:,]\\s*\\S')" for n in _NAMES)
-)
-def loc_rescue(spark, d, plain=True):
-    v = _texts(spark, d, "attr_value", plain)
-    v = (v.filter(~F.trim("attr_value").rlike("\\A[\"']")) if plain else v).select("attr_value").distinct()
+@query(f"WITH {VALUE_FORMS} SELECT v AS attr_value FROM vf WHERE regexp_matches(shown, '^(?:{'|'.join(sorted(_NAMES, key=lambda n: -len(n)))})\\s*[:,]\\s*\\S')")
+def loc_rescue(spark, d):
+    v = _texts(spark, d, "attr_value").select("attr_value").distinct()
     rules = C.CurationRules.of({"location_rescue": {"names": _NAMES, "separators": [":", ","]}})
     return v.filter(C.rescued(presentation_col(F.col("attr_value")), rules.rescue_prefixes, rules.rescue_separators))
 
 
-@query()
-def loc_rescue_all(spark, d):
-    """``loc_rescue`` over all rows that are not null, also those that its SQL leaves out."""
-    return loc_rescue(spark, d, False)
-
-
 @query(
-    "WITH t AS (SELECT DISTINCT decision_id, attr_name FROM curation_decisions WHERE attr_name IS NOT NULL), r AS (SELECT attr_name AS rule, match_target, replace(attr_name, '_', ' ') AS norm FROM attribute_types WHERE match_target IS NOT NULL) "
-    "SELECT decision_id, match_target AS target, rule FROM t JOIN r ON trim(regexp_replace(lower(attr_name), '[^0-9a-z]+', ' ', 'g')) = norm WHERE " + _ASCII.format("attr_name")
+    f"WITH {NAME_FORMS}, t AS (SELECT DISTINCT decision_id, attr_name FROM curation_decisions WHERE attr_name IS NOT NULL), r AS (SELECT attr_name AS rule, match_target, {simple_form('attr_name')} AS norm FROM attribute_types WHERE match_target IS NOT NULL) "
+    "SELECT decision_id, match_target AS target, rule FROM t JOIN nf ON v = attr_name JOIN r ON norm = form"
 )
-def join_rules(spark, d, plain=True):
-    rules = dimension(table(spark, d, "attribute_types").filter("match_target is not null").select(F.col("attr_name").alias("rule"), F.col("match_target").alias("target"), F.replace(F.col("attr_name"), F.lit("_"), F.lit(" ")).alias("norm")))
-    t = _texts(spark, d, "attr_name", plain).select("decision_id", "attr_name").distinct()
-    return t.withColumn("norm", F.trim(F.regexp_replace(F.lower("attr_name"), "[^0-9a-z]+", " ")) if plain else full_col(F.col("attr_name"))).join(rules, "norm").select("decision_id", "target", "rule")
-
-
-@query()
-def join_rules_all(spark, d):
-    """``join_rules`` over all rows that are not null, also those that its SQL leaves out."""
-    return join_rules(spark, d, False)
+def join_rules(spark, d):
+    rules = dimension(table(spark, d, "attribute_types").filter("match_target is not null").select(F.col("attr_name").alias("rule"), F.col("match_target").alias("target"), full_col(F.col("attr_name")).alias("norm")))
+    t = _texts(spark, d, "attr_name").select("decision_id", "attr_name").distinct()
+    return t.withColumn("norm", full_col(F.col("attr_name"))).join(rules, "norm").select("decision_id", "target", "rule")
 
 
 @query("SELECT c.decision_id, i.pathogen FROM (SELECT DISTINCT decision_id, accession FROM curation_decisions) c JOIN (SELECT accession, arg_max(pathogen_biosample, (first_seen, pathogen_biosample)) AS pathogen FROM accession_index WHERE trim(accession) <> '' AND trim(pathogen_biosample) <> '' GROUP BY accession) i USING (accession)")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sampleloom.functions import strings as S
 from sampleloom.functions.text import full_col, presentation_col
 from sampleloom.plans import seeds
+from sampleloom.plans.folding import NAME_FORMS, squeeze
 from sampleloom.session import table
 
 QUERIES: dict = {}
@@ -45,21 +46,12 @@ def norm_keyword(spark, d):
     return table(spark, d, "curation_decisions").filter("attr_name is not null").select("attr_name", S.norm_keyword(F.col("attr_name")).alias("norm")).distinct()
 
 
-_ASCII = "regexp_full_match(attr_value, '[\\x20-\\x7e\\t]*')"
-
-
-@query(f"SELECT DISTINCT attr_value, trim(regexp_replace(regexp_replace(replace(replace(lower(attr_value), '_', ' '), '-', ' '), '[[:punct:]]', '', 'g'), '\\s+', ' ', 'g')) AS norm FROM curation_decisions WHERE {_ASCII}")
-def norm_host(spark, d, plain=True):
-    rows = table(spark, d, "curation_decisions").filter(F.col("attr_value").rlike(r"\A[\x20-\x7e\t]*\z") if plain else F.col("attr_value").isNotNull())
+@query("SELECT DISTINCT attr_value, " + squeeze("regexp_replace(replace(replace(lower(attr_value), '_', ' '), '-', ' '), '[[:punct:]]', '', 'g')") + " AS norm FROM curation_decisions WHERE attr_value IS NOT NULL")
+def norm_host(spark, d):
+    rows = table(spark, d, "curation_decisions").filter("attr_value is not null")
     return rows.select("attr_value", S.norm_host(F.col("attr_value")).alias("norm")).distinct()
 
 
-@query()
-def norm_host_all(spark, d):
-    """``norm_host`` over all rows that are not null, also those that its SQL leaves out."""
-    return norm_host(spark, d, False)
-
-
 @query("SELECT term, array_to_string(list_filter(list_transform(string_split(coalesce(synonyms, ''), ';'), lambda x: trim(x)), lambda x: x <> '' AND lower(x) <> 'nan'), '|') AS items FROM ontology_terms")
 def semi_split(spark, d):
     return table(spark, d, "ontology_terms").select("term", F.array_join(S.semi_split(F.col("synonyms")), "|").alias("items"))
@@ -99,12 +91,6 @@ _BLOCK = "|".join(S.BLOCK_TAGS)
     f"'(?s)<!--.*?-->', '', 'g'), '(?i)</?(?:{_BLOCK})(?:\\s[^<>]*)?/?>', ' ', 'g'), '</?[A-Za-z][^<>]*>', '', 'g'), '\\s+', ' ', 'g')) AS readable FROM bio_projects"
 )
 def html_text(spark, d):
-    return table(spark, d, "bio_projects").select("project_id", S.html_text_sql(F.col("description")).alias("readable"))
-
-
-@query()
-def html_text_exact(spark, d):
-    """Exact reading of markup through the standard parser; no SQL, tested against hand-made cases."""
     return table(spark, d, "bio_projects").select("project_id", S.html_text(F.col("description")).alias("readable"))
 
 
@@ -132,21 +118,9 @@ def display_term(spark, d):
     return table(spark, d, "ontology_terms").select("term", S.shown_term(F.col("display_term"), F.col("term")).alias("shown"))
 
 
-_PRESENT = "trim(regexp_replace(CASE WHEN length(s) > 1 AND left(s, 1) = right(s, 1) AND left(s, 1) IN ('''', '\"') THEN substr(s, 2, length(s) - 2) ELSE s END, '\\s+', ' ', 'g'))"
-
-
-@query(
-    f"SELECT DISTINCT attr_name, p AS presentation, trim(regexp_replace(p, '[^0-9a-z]+', ' ', 'g')) AS full_form FROM (SELECT attr_name, {_PRESENT} AS p FROM "
-    "(SELECT attr_name, trim(lower(attr_name)) AS s FROM curation_decisions WHERE regexp_full_match(attr_name, '[\\x20-\\x7e]*')))"
-)
+@query(f"WITH {NAME_FORMS} SELECT v AS attr_name, shown AS presentation, form AS full_form FROM nf")
 def norm_attr(spark, d):
-    rows = table(spark, d, "curation_decisions").filter(F.col("attr_name").rlike(r"\A[\x20-\x7e]*\z")).select("attr_name").distinct()
-    return rows.select("attr_name", presentation_col(F.col("attr_name")).alias("presentation"), full_col(F.col("attr_name")).alias("full_form"))
-
-
-@query()
-def norm_attr_unicode(spark, d):
-    """All names in both forms, those outside ASCII included."""
+    """All names in both forms."""
     rows = table(spark, d, "curation_decisions").filter("attr_name is not null").select("attr_name").distinct()
     return rows.select("attr_name", presentation_col(F.col("attr_name")).alias("presentation"), full_col(F.col("attr_name")).alias("full_form"))
 

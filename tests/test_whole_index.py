@@ -23,12 +23,12 @@ def folder(spark, tmp_path_factory):
 
 
 def test_count_of_all_records(spark, folder):
-    got = {r["pathogen"]: r["n"] for r in Q["count_selected_all"](spark, folder).collect()}
+    got = {r["pathogen"]: r["n"] for r in Q["count_selected"](spark, folder).collect()}
     assert got == {"q_varensis": 3, "q_lutea": 0, "b_oxalis": 0, "m_tarda": 1, "p_fulva": 1}
 
 
 def test_outcomes_of_all_pathogens(spark, folder):
-    assert {r["accession"] for r in Q["accept_rows_all"](spark, folder).collect()} == {"A1", "A2", "A3", "A4", "A5"}
-    got = {(r["pathogen"], r["metric"]): r["n"] for r in Q["report_rollup_all"](spark, folder).collect()}
+    assert {r["accession"] for r in Q["accept_rows"](spark, folder).collect()} == {"A1", "A2", "A3", "A4", "A5"}
+    got = {(r["pathogen"], r["metric"]): r["n"] for r in Q["report_rollup"](spark, folder).collect()}
     assert (got["m_tarda", "hosted"], got["p_fulva", "hosted"], got["q_lutea", "hosted"], got[None, "hosted"]) == (1, 1, 0, 5)
-    assert {(r["accession"], r["pathogen"]) for r in Q["final_projection_all"](spark, folder).collect()} >= {("A4", "Quorella tarda"), ("A5", "Pelagoma")}
+    assert {(r["accession"], r["pathogen"]) for r in Q["final_projection"](spark, folder).collect()} >= {("A4", "Quorella tarda"), ("A5", "Pelagoma")}
