@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +21,6 @@ HEMISPHERES = rf"(?iU){_NUMBER}\s*([NS])\s*[,/\s]*\s*{_NUMBER}\s*([EW])"
 PAIR = rf"(?U){_NUMBER}\s*[,/]\s*{_NUMBER}"
 # Decimal digits of all scripts, in runs from zero to nine.
 DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.category(c) == "Nd")
-_LEVELS = (1.0, 8.0, 60.0)
-#: Places up to which each row compares all of them instead of meeting cells.
-FEW_PLACES = 256
 
 
 def coordinates(c: Column) -> Column:
@@ -48,49 +47,59 @@ def great_circle(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(h))))
 
 
-def _nearest_of(points: DataFrame, places: list) -> DataFrame:
-    """Nearest of a few places, compared inside the row."""
-    listed = F.array(*[F.struct(F.lit(float(p["lat"])).alias("a"), F.lit(float(p["lon"])).alias("o"), F.lit(p["place"]).alias("place"), F.lit(p["country"]).alias("country")) for p in places])
-    far = F.transform(listed, lambda p: F.struct(great_circle(F.col("lat"), F.col("lon"), p["a"], p["o"]).alias("degrees"), p["place"].alias("place"), p["country"].alias("country")))
-    if not places:
-        return points.select("lat", "lon", F.lit(None).cast("string").alias("place"), F.lit(None).cast("string").alias("country"), F.lit(None).cast("double").alias("degrees")).limit(0)
-    # inlined, as a struct column would be computed again for each of its fields
-    return points.select("lat", "lon", F.inline(F.array(F.array_min(far)))).select("lat", "lon", "place", "country", "degrees")
+def _cell(lat: Column, lon: Column) -> list[Column]:
+    return [F.least(F.floor(lat + 90), F.lit(179)).cast("int").alias("r"), F.pmod(F.floor(lon + 180), F.lit(360)).cast("int").alias("c")]
+
+
+def _unit(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    lat, lon = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=1)
+
+
+def _cells_to_visit(cells: np.ndarray):
+    """Arrow stage over ``(lat, lon, degrees, ...)``: the cells that may hold a place nearer than the one known so far."""
+    centre = _unit(cells[:, 0] - 89.5, cells[:, 1] - 179.5)
+    reach = 0.7072  # no point of a cell is farther from its centre, in degrees
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, 2_000_000 // max(1, len(cells)))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, step):
+                b = batch.slice(lo, step)
+                lat, lon, known = (np.asarray(b.column(i).fill_null(np.inf)) for i in range(3))
+                far = np.degrees(np.arccos(np.clip(_unit(lat, lon) @ centre.T, -1, 1)))
+                bound = np.minimum(far.min(axis=1, initial=np.inf) + reach, known) + 1e-6
+                # what is known within the cells around is final up to their edge
+                edge = np.degrees(np.arcsin(np.sin(np.radians(1.0)) * np.cos(np.radians(lat))))
+                open_ = known > np.minimum(1.0, edge)
+                at, cell = np.nonzero((far - reach <= bound[:, None]) & open_[:, None])
+                yield pa.record_batch([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(cells[cell, 0], pa.int32()), pa.array(cells[cell, 1], pa.int32())], names=["lat", "lon", "r", "c"])
+
+    return run
 
 
 def nearest_place(points: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """``(lat, lon, place, country, degrees)`` of the nearest place of each distinct point; exact, whatever the distance.
 
-    Points meet the places of the 3 x 3 cells around them. A hit nearer than the edge of those cells is final; other
-    points go on to larger cells, those far from every place at last to the whole table.
+    Points meet the places of the 3 x 3 cells of one degree around them; a hit nearer than the edge of those is final. Every
+    other point goes on to the cells, of at most 64,800, whose nearest edge is not beyond what is known or the farthest edge of
+    the cell that is nearest: one of them holds its place. Points outside the usual ranges, null ones and, without any
+    place, all points give no row.
     """
-    todo = points.select("lat", "lon").filter("lat is not null and lon is not null").distinct()
-    few = gazetteer.select("place", "country", "lat", "lon").limit(FEW_PLACES + 1).collect()
-    if len(few) <= FEW_PLACES:
-        return _nearest_of(todo, few)
-    places = gazetteer.select("place", "country", F.col("lat").alias("__plat"), F.col("lon").alias("__plon"))
-    best = F.min(F.struct(great_circle(F.col("lat"), F.col("lon"), F.col("__plat"), F.col("__plon")).alias("degrees"), "place", "country")).alias("b")
-    done = []
-    for size in _LEVELS:
-        n = int(360 / size)
-        row = lambda lat: F.floor((lat + 90) / size)  # noqa: B023, E731
-        col = lambda lon: F.pmod(F.floor((lon + 180) / size), F.lit(n))  # noqa: B023, E731
-        around = F.array(*[F.struct((row(F.col("lat")) + i).alias("r"), F.pmod(col(F.col("lon")) + j, F.lit(n)).alias("c")) for i in (-1, 0, 1) for j in sorted({x % n for x in (-1, 0, 1)})])
-        cells = todo.select("lat", "lon", F.inline(around))
-        near = cells.join(places.withColumn("r", row(F.col("__plat"))).withColumn("c", col(F.col("__plon"))), ["r", "c"]).groupBy("lat", "lon").agg(best)
-        edge = F.least(F.lit(size), F.degrees(F.asin(F.sin(F.radians(F.lit(size))) * F.cos(F.radians("lat")))))
-        final = cut(near.filter(F.col("b.degrees") <= edge))
-        done.append(final)
-        todo = cut(todo.join(final, ["lat", "lon"], "left_anti"))
-        if not todo.limit(1).count():
-            break
-    else:
-        everywhere = todo.withColumn("all", F.lit(1)).join(dimension(places.withColumn("all", F.lit(1))), "all")
-        done.append(everywhere.groupBy("lat", "lon").agg(best))
-    out = done[0]
-    for x in done[1:]:
-        out = out.unionByName(x)
-    return out.select("lat", "lon", "b.place", "b.country", "b.degrees")
+    points = points.select("lat", "lon").filter("lat between -90 and 90 and lon between -180 and 180").distinct()
+    places = gazetteer.filter("lat is not null and lon is not null").select("place", "country", F.col("lat").alias("__a"), F.col("lon").alias("__o"), *_cell(F.col("lat"), F.col("lon")))
+    taken = places.select("r", "c").distinct().toArrow()  # one row per cell of the globe at most
+    cells = np.stack([np.asarray(taken.column(0)), np.asarray(taken.column(1))], axis=1).astype(np.int64)
+    held = dimension(places)
+    best = F.min(F.struct(great_circle(F.col("lat"), F.col("lon"), F.col("__a"), F.col("__o")).alias("degrees"), "place", "country")).alias("b")
+    r, c = _cell(F.col("lat"), F.col("lon"))
+    around = F.array(*[F.struct((r + i).cast("int").alias("r"), F.pmod(c + j, F.lit(360)).cast("int").alias("c")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    near = points.select("lat", "lon", F.inline(around)).join(held, ["r", "c"], "left").groupBy("lat", "lon").agg(best)
+    near = cut(near.select("lat", "lon", F.when(F.col("b.place").isNotNull() | F.col("b.country").isNotNull(), F.col("b")).alias("b")))
+    more = near.select("lat", "lon", "b.degrees").mapInArrow(_cells_to_visit(cells), "lat double, lon double, r int, c int")
+    far = more.join(held, ["r", "c"]).groupBy("lat", "lon").agg(best)
+    both = near.filter("b is not null").unionByName(far).groupBy("lat", "lon").agg(F.min("b").alias("b"))
+    return both.select("lat", "lon", "b.place", "b.country", "b.degrees")
 
 
 def country_tokens(c: Column) -> Column:

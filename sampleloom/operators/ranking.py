@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows up to which a dimension is sent to every executor; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 
 
-#: Bytes of a plan's own estimate up to which its rows need no counting; joins and generators make estimates no bound.
-KNOWN_BYTES = 4 << 20
+def is_local(df: DataFrame) -> bool:
+    """True if the rows of ``df`` are part of its plan, so that their number is known."""
+    return df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LocalRelation"
 
 
-def _known_small(df: DataFrame) -> bool:
-    plan = df._jdf.queryExecution().optimizedPlan()
-    text = plan.toString()
-    return "Generate " not in text and "Join " not in text and "LogicalRDD" not in text and int(str(plan.stats().sizeInBytes())) <= KNOWN_BYTES
+def local_frame(spark: SparkSession, rows: pa.Table, schema: StructType | str) -> DataFrame:
+    """A few rows as part of the plan, without a job to make them."""
+    return spark.createDataFrame(rows, schema)
 
 
 def dimension(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it is known or counted to hold at most ``limit`` rows, else as it is."""
-    return F.broadcast(df) if _known_small(df) or df.limit(limit + 1).count() <= limit else df
+    """``df`` for a broadcast join if it has at most ``limit`` rows, else as it is.
+
+    It is computed here, once: up to ``limit`` rows and one more come to the driver and then stand in the plan as they are,
+    so nothing of ``df`` is counted first and computed again by the join.
+    """
+    if is_local(df):
+        return F.broadcast(df)
+    rows = df.limit(limit + 1).toArrow()
+    return F.broadcast(local_frame(df.sparkSession, rows, df.schema)) if rows.num_rows <= limit else df
 
 
 def top_rows(rows: DataFrame, group: list[str], order: list[Column | str], k: int, rank: str = "r") -> DataFrame:

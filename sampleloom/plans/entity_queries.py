@@ -14,7 +14,7 @@ from sampleloom.operators import places as G
 from sampleloom.plans import seeds
 from sampleloom.plans.folding import NAME_FORMS, SPACE, simple_form, strip
 from sampleloom.plans.relational_queries import CURATION
-from sampleloom.session import table
+from sampleloom.session import spread, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -104,7 +104,7 @@ def listed(spark, d, target):
     """``(record, pos, attribute, value)`` of the rows of a target's attributes in any spelling, values as they stand, copies once."""
     t = table(spark, d, "curation_decisions").filter("accession is not null and attr_name is not null").select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), "attr_name", F.col("attr_value").alias("value"), full_col(F.col("attr_name")).alias("full"))
     attribute = F.when(F.col("full").isin(*_KNOWN), F.translate("full", " ", "_")).otherwise(F.lower(S.strip(F.col("attr_name"))))
-    return t.filter(F.col("full").isin(target_names(spark, d, target))).select("record", "pos", attribute.alias("attribute"), "value").distinct()
+    return spread(t.filter(F.col("full").isin(target_names(spark, d, target))).select("record", "pos", attribute.alias("attribute"), "value"), "record", "pos").distinct()
 
 
 def curation_rules(spark, d):
@@ -122,7 +122,8 @@ def curated(spark, d):
 
     Names that the operators know are given as these; the others stay as written, in lower case.
     """
-    t = table(spark, d, "curation_decisions").filter("accession is not null").select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value")).distinct()
+    t = table(spark, d, "curation_decisions").filter("accession is not null").select(F.col("accession").alias("record"), F.col("decision_id").alias("pos"), F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"))
+    t = spread(t, "record", "pos").distinct()
     got = C.curate(t, curation_rules(spark, d)).select("record", "pos", F.explode("matches.target").alias("target"), "attribute", "value", F.col("normalized_attribute").alias("full")).filter("target <> 'date'")
     known = F.col("full").isin(*_KNOWN)
     return got.withColumn("attribute", F.when(known, F.translate("full", " ", "_")).otherwise(F.lower(S.strip(F.coalesce("attribute", F.lit(""))))))

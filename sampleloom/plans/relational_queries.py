@@ -13,7 +13,7 @@ from sampleloom.operators.ranking import dimension, first_by
 from sampleloom.plans import seeds
 from sampleloom.plans.folding import NAME_FORMS, VALUE_FORMS, simple_form
 from sampleloom.sources import projects as P
-from sampleloom.session import table
+from sampleloom.session import spread, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -403,7 +403,8 @@ CURATION = {
 @query()
 def curate(spark, d):
     """Decisions on all candidates by the whole rule set; the parts have their own SQL, the whole is tested by hand."""
-    t = table(spark, d, "curation_decisions").dropDuplicates(["decision_id"]).select("decision_id", "accession", F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"))
+    t = table(spark, d, "curation_decisions").select("decision_id", "accession", F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"))
+    t = spread(t, "decision_id").dropDuplicates(["decision_id"])
     got = C.curate(t, C.CurationRules.of(CURATION))
     return got.select("decision_id", "normalized_attribute", "normalized_value", F.to_json("matches").alias("matches"), F.to_json("events").alias("events"))
 

@@ -5,8 +5,11 @@ Each seed is one list of rows, given to Spark as a DataFrame and to the checking
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from sampleloom.operators.ranking import local_frame
+
 #: taxid, rank, scientific_name, synonym, genbank_common_name, common_name; row order is specificity.
 TAXA_COLUMNS = "taxid long, rank string, scientific_name string, synonym string, genbank_common_name string, common_name string, table_priority long"
 TAXA = [
@@ -65,7 +68,10 @@ REGISTRY = [("q_varensis", 0, "Quorella varensis", "species", 70000), ("q_lutea"
 
 
 def frame(spark: SparkSession, rows: list, columns: str) -> DataFrame:
-    return spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], columns)
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+    schema = pa.schema([(n, kinds[k]) for n, k in (c.split() for c in columns.split(", "))])
+    named = [dict(zip(schema.names, r if isinstance(r, tuple) else (r,))) for r in rows]
+    return local_frame(spark, pa.Table.from_pylist(named, schema), columns)
 
 
 def _literal(v: object) -> str:

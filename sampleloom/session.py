@@ -34,6 +34,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in as many partitions as a shuffle has, for rows that cost more than their bytes tell.
+
+    A number that is given is not lowered at run time; a distinct or a grouping on more keys needs no other shuffle.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that Python stages can import it anywhere."""
     sc = spark.sparkContext
