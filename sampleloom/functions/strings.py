@@ -22,6 +22,11 @@ ONTOLOGY_ID = r"\b([A-Z]+:[0-9]+)\b"
 _NONE = "array<string>"
 
 
+def first_text(c: Column, listed: bool = False) -> Column:
+    """The first text that is not blank, without white space around it: of a scalar, or of the items of a list; null without any."""
+    return F.try_element_at(F.filter(F.transform(c, lambda x: strip(x.cast("string"))), lambda x: x.isNotNull() & (x != "")), F.lit(1)) if listed else F.nullif(strip(c.cast("string")), F.lit(""))
+
+
 def none_of(kind: str = _NONE) -> Column:
     return F.array().cast(kind)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sampleloom.session import cut
 
-_REPLY = "fingerprint string, reply string, status string, attempts int, seconds double"
+_REPLY = "fingerprint string, reply string, status string, attempts int, seconds double, input_tokens long, output_tokens long, error string"
 
 
 def canonical_json(value: object) -> str:
@@ -54,40 +54,50 @@ def remember(cache: DataFrame, fresh: DataFrame) -> DataFrame:
     return kept.select("fingerprint", "reply").unionByName(fresh.select("fingerprint", "reply").dropDuplicates(["fingerprint"]))
 
 
-def call_model(requests: DataFrame, client: Callable[[str], str], attempts: int = 2) -> DataFrame:
-    """``(fingerprint, reply, status, attempts, seconds)`` of ``requests (fingerprint, request)``, each fingerprint once.
+def call_model(requests: DataFrame, client: Callable[[str], object], attempts: int = 2) -> DataFrame:
+    """``(fingerprint, reply, status, attempts, seconds, input_tokens, output_tokens, error)`` of ``requests (fingerprint, request)``, each fingerprint once.
 
-    ``client`` takes the request text; it fails by raising. Failures are rows too and are never put in the cache.
+    ``client`` takes the request text and gives the reply, or the reply and a mapping of its tokens; it fails by raising.
+    Failures are rows too, with their sanitised text, and are never put in the cache.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from sampleloom.run.outputs import sanitize
+
         for b in batches:
             rows = []
             for f, r in zip(b["fingerprint"], b["request"]):
-                began, status, reply, n = time.monotonic(), "failed", None, 0
+                began, status, reply, n, used, error = time.monotonic(), "failed", None, 0, {}, None
                 while n < attempts and status != "ok":
                     n += 1
                     try:
-                        reply, status = client(r), "ok"
-                    except TimeoutError:
-                        status = "timeout"
-                    except Exception:  # noqa: BLE001 - the kind of failure is the client's
-                        status = "failed"
-                rows.append((f, reply, status, n, time.monotonic() - began))
-            yield pd.DataFrame(rows, columns=["fingerprint", "reply", "status", "attempts", "seconds"])
+                        got = client(r)
+                        reply, used = got if isinstance(got, tuple) else (got, {})
+                        status, error = "ok", None
+                    except TimeoutError as e:
+                        status, error = "timeout", sanitize(f"{type(e).__name__}: {e}")
+                    except Exception as e:  # noqa: BLE001 - the kind of failure is the client's
+                        status, error = "failed", sanitize(f"{type(e).__name__}: {e}")
+                rows.append((f, reply, status, n, time.monotonic() - began, int(used.get("input_tokens", 0)), int(used.get("output_tokens", 0)), error))
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in _REPLY.split(", ")])
 
     return requests.select("fingerprint", "request").dropDuplicates(["fingerprint"]).mapInPandas(run, _REPLY)
 
 
-def metrics(calls: DataFrame, group: str) -> DataFrame:
-    """Attempts, successes, failures and seconds by ``group`` and in all."""
-    g = calls.groupingSets([[group], []], group)
+def metrics(calls: DataFrame, *group: str) -> DataFrame:
+    """Attempts, successes, failures, retries, seconds and tokens by ``group`` (as target and model) and in all."""
+    g = calls.groupingSets([list(group), []], *group)
     return g.agg(
         F.sum("attempts").alias("attempts"), F.count_if(F.col("status") == "ok").alias("successes"), F.count_if(F.col("status") != "ok").alias("failures"),
-        F.sum(F.col("attempts") - 1).alias("retries"), F.sum("seconds").alias("seconds"),
+        F.sum(F.col("attempts") - 1).alias("retries"), F.sum("seconds").alias("seconds"), F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"),
     )
 
 
+def failures(calls: DataFrame, *group: str) -> DataFrame:
+    """``(group, status, n)`` of the calls that failed."""
+    return calls.filter("status <> 'ok'").groupBy(*group, "status").agg(F.count("*").alias("n"))
+
+
 def valid_country(reply: Column) -> Column:
     """The trimmed country of a reply that is one JSON object with that key alone and a text that is not blank, else null."""
     keys = F.json_object_keys(reply)
@@ -101,15 +111,22 @@ def ask(requests: DataFrame, cache: DataFrame, client: Callable[[str], str] | No
     """Answers of ``requests (fingerprint, request, ...)`` and the cache after them.
 
     Answers add ``reply`` and ``how``: ``cache``, ``call`` for the first of equal requests, ``repeat`` for the others,
-    ``failed`` or ``disabled``. The cache is asked first; only replies that came are kept in it.
+    ``failed`` or ``disabled``. The cache is asked first; only replies that came are kept in it. See :func:`ask_model` for the
+    calls themselves.
     """
+    answers, after, _ = ask_model(requests, cache, client)
+    return answers, after
+
+
+def ask_model(requests: DataFrame, cache: DataFrame, client: Callable[[str], object] | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """:func:`ask`, and the calls that were made (none without a client)."""
     hit, miss = lookup(requests, cache)
     hit = hit.withColumn("how", F.lit("cache"))
     if client is None:
-        return hit.unionByName(miss.withColumns({"reply": F.lit(None).cast("string"), "how": F.lit("disabled")})), cache
+        return hit.unionByName(miss.withColumns({"reply": F.lit(None).cast("string"), "how": F.lit("disabled")})), cache, None
     calls = cut(call_model(miss, client))
     order = [c for c in miss.columns if c not in ("fingerprint", "request")] or ["request"]
     marked = mark_repeats(miss, order).join(calls.select("fingerprint", "reply", "status"), "fingerprint")
     how = F.when(F.col("status") != "ok", "failed").when(F.col("first_call"), "call").otherwise("repeat")
     fresh = marked.withColumn("how", how).drop("first_call", "status")
-    return hit.unionByName(fresh), remember(cache, calls.filter("status = 'ok'"))
+    return hit.unionByName(fresh), remember(cache, calls.filter("status = 'ok'")), calls

@@ -455,17 +455,26 @@ def reply_validate(spark, d):
     return table(spark, d, "events").select("event_id", M.valid_country(reply).alias("country"))
 
 
-@query()
+@query(
+    f"WITH r AS (SELECT DISTINCT request FROM ({_REQ})), c AS (SELECT CASE WHEN contains(request, 'URGENT') THEN 'timeout' ELSE 'ok' END AS status, CASE WHEN contains(request, 'URGENT') THEN 2 ELSE 1 END AS n, length(request) AS t FROM r) SELECT target, model, CAST(sum(n) AS BIGINT) AS attempts, count(*) FILTER (WHERE status = 'ok') AS successes, count(*) FILTER (WHERE status <> 'ok') AS failures, CAST(sum(n - 1) AS BIGINT) AS retries, "
+    "CAST(sum(CASE WHEN status = 'ok' THEN t ELSE 0 END) AS BIGINT) AS input_tokens, CAST(sum(CASE WHEN status = 'ok' THEN 2 ELSE 0 END) AS BIGINT) AS output_tokens FROM (SELECT 'location' AS target, 'm-1' AS model, * FROM c) GROUP BY GROUPING SETS ((target, model), ())"
+)
 def llm_metrics(spark, d):
-    """Calls of a deterministic stand-in for a model, one per distinct request, by status and in all."""
-    calls = M.call_model(_requests(spark, d).select("fingerprint", "request"), _stand_in)
-    return M.metrics(calls.select("status", "attempts", F.lit(0.0).alias("seconds")), "status")
+    """Calls of a deterministic stand-in for a model, one per distinct request, by target and model and in all."""
+    calls = M.call_model(_requests(spark, d).select("fingerprint", "request"), _stand_in).withColumns({"target": F.lit("location"), "model": F.lit("m-1")})
+    return M.metrics(calls, "target", "model").drop("seconds")
+
 
+@query(f"SELECT 'location' AS target, 'timeout' AS status, count(*) AS n FROM (SELECT DISTINCT request FROM ({_REQ}) WHERE contains(request, 'URGENT')) HAVING count(*) > 0")
+def llm_failures(spark, d):
+    """Failed calls of the stand-in by kind."""
+    return M.failures(M.call_model(_requests(spark, d).select("fingerprint", "request"), _stand_in).withColumn("target", F.lit("location")), "target")
 
-def _stand_in(request: str) -> str:
+
+def _stand_in(request: str) -> tuple[str, dict]:
     if "URGENT" in request:
         raise TimeoutError
-    return '{"country": "Norvelia"}'
+    return '{"country": "Norvelia"}', {"input_tokens": len(request), "output_tokens": 2}
 
 
 @query()
@@ -476,3 +485,27 @@ def iso_llm(spark, d):
     pairs = c.filter("value <> ''").groupBy("record").agg(F.array_sort(F.collect_list(F.struct("pos", "attribute", "value"))).alias("p"))
     text = M.request_json("m-1", {"temperature": 0}, "terms:1", "Choose terms.", S.render_block(F.col("p.attribute"), F.col("p.value")))
     return std.join(pairs, "record").select("record", "request_mode", M.fingerprint(text).alias("fingerprint"))
+
+
+# ---- host policy ----------------------------------------------------------------------------------------------------
+
+POLICY = {
+    "schema_version": 2, "normalization": {"ignored_substrings": ["healthy"]}, "routing": {"isolation_source_keywords": ["meat"]}, "value_rejections": {"exact": ["not a host"]},
+    "curated_taxa": {
+        "91001": {"scientific_name": "Ursina fulva", "match_terms": {"exact": ["ox of the hills"], "subset": ["hill ox"], "force": ["Grey-Hen"]}},
+        "91003": {"scientific_name": "Velumia montana", "match_terms": {"exact": ["Ovis dentata", "hill goat"]}},
+        "99999": {"scientific_name": "Absentia nulla", "match_terms": {"subset": ["nobody", "Pelagoma vasta"]}},
+    },
+}
+
+
+@query(
+    f"WITH {TAXA}, want(taxid, name) AS (VALUES (91001, 'Ursina fulva'), (91003, 'Velumia montana'), (99999, 'Absentia nulla')), mine(taxid, term) AS (VALUES (91001, 'ox of the hills'), (91001, 'hill ox'), (91003, 'ovis dentata'), (91003, 'hill goat'), (99999, 'nobody'), (99999, 'pelagoma vasta')), "
+    "exact AS (SELECT lower(scientific_name) AS term, taxid FROM taxa UNION ALL SELECT lower(trim(unnest(string_split(synonym, ';')))), taxid FROM taxa) "
+    "SELECT CAST(w.taxid AS BIGINT) AS taxid, CASE WHEN t.taxid IS NULL THEN 'absent' ELSE 'name' END AS problem, coalesce(t.scientific_name, '') AS detail FROM want w LEFT JOIN taxa t USING (taxid) WHERE t.scientific_name IS DISTINCT FROM w.name UNION ALL SELECT CAST(m.taxid AS BIGINT), 'term', term FROM mine m JOIN exact e USING (term) WHERE e.taxid <> m.taxid"
+)
+def host_policy_check(spark, d):
+    """Curated taxa and terms of a policy that do not fit the taxa."""
+    from sampleloom.operators.host_policy import HostPolicy
+
+    return HostPolicy.of(POLICY).problems(spark, taxa(spark))

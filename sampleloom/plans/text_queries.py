@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sampleloom.functions import strings as S
 from sampleloom.functions.text import full_col, presentation_col
 from sampleloom.plans import seeds
-from sampleloom.plans.folding import NAME_FORMS, squeeze
+from sampleloom.plans.folding import NAME_FORMS, squeeze, strip
 from sampleloom.session import table
 
 QUERIES: dict = {}
@@ -146,3 +146,12 @@ def relevance_flags(spark, d):
     r = F.coalesce("relevance", S.none_of())
     rows = table(spark, d, "bio_projects").select("project_id", *[F.when(F.array_contains(r, n), " Yes ").otherwise("no").alias(n) for n in ("Agricultural", "Environmental", "Veterinary")])
     return rows.select("project_id", F.array_join(flags({n: F.col(n) for n in ("Agricultural", "Environmental", "Veterinary")}), "|").alias("flags"))
+
+
+@query(
+    "SELECT decision_id, nullif(" + strip("attr_value") + ", '') AS of_scalar, list_filter(list_transform([xml_source, ' ', attr_value, attr_name], lambda x: " + strip("x") + "), lambda x: x <> '')[1] AS of_list FROM (SELECT DISTINCT decision_id, attr_name, attr_value, xml_source FROM curation_decisions)"
+)
+def first_text(spark, d):
+    """The first text that is not blank of a scalar and of a list."""
+    t = table(spark, d, "curation_decisions").select("decision_id", "attr_name", "attr_value", "xml_source").distinct()
+    return t.select("decision_id", S.first_text(F.col("attr_value")).alias("of_scalar"), S.first_text(F.array("xml_source", F.lit(" "), "attr_value", "attr_name"), True).alias("of_list"))
