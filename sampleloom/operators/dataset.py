@@ -82,6 +82,43 @@ def report(rows: DataFrame, selection: DataFrame, flags: dict[str, Column], grou
     return long.groupingSets([[group, "metric"], ["metric"]], group, "metric").agg(F.sum("n").alias("n"))
 
 
+# Diagnostics of earlier answers, and of conditions that a run gets over, with what is said of them.
+CACHE_HITS = ("cache_resolution", "cache_hit")
+RECOVERABLE = {
+    "llm_disabled": "location LLM disabled", "recoverable_llm_failure": "recoverable location LLM failure", "recoverable_coordinate_failure": "recoverable coordinate resolution failure",
+    "invalid_llm_response": "invalid location LLM response",
+}
+
+
+def outcome_report(outcomes: DataFrame) -> DataFrame:
+    """``(attribute, pathogen, metric, n)`` of ``outcomes (attribute, accession, pathogen, standardized, diagnostics)``.
+
+    Metrics are ``processed``, ``standardized``, ``rejected`` and ``diagnostic:<name>``, by pathogen and in all (null pathogen).
+    """
+    said = F.transform(F.coalesce("diagnostics", S.none_of()), lambda x: F.concat(F.lit("diagnostic:"), x))
+    done = F.when(F.col("standardized"), "standardized").otherwise("rejected")
+    e = outcomes.select("attribute", "pathogen", F.explode(F.concat(F.array(F.lit("processed"), done), said)).alias("metric"))
+    return e.groupingSets([["attribute", "pathogen", "metric"], ["attribute", "metric"]], "attribute", "pathogen", "metric").agg(F.count("*").alias("n"))
+
+
+def processed_rows(report_rows: DataFrame) -> DataFrame:
+    """``(pathogen, n)``: the most rows that any attribute has processed."""
+    return report_rows.filter("metric = 'processed'").groupBy("pathogen").agg(F.max("n").alias("n"))
+
+
+def cache_hits(report_rows: DataFrame) -> DataFrame:
+    """``(attribute, n)`` of answers that came from a cache, over all pathogens; attributes without any have zero."""
+    hit = F.col("metric").isin(*[f"diagnostic:{d}" for d in CACHE_HITS])
+    return report_rows.filter("pathogen is null and attribute in ('loc', 'iso')").groupBy("attribute").agg(F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias("n"))
+
+
+def recoverable_warnings(report_rows: DataFrame) -> DataFrame:
+    """``(diagnostic, warning, n)`` of location conditions that a run got over."""
+    said = F.create_map(*[F.lit(x) for kv in RECOVERABLE.items() for x in kv])
+    d = F.regexp_replace("metric", "^diagnostic:", "")
+    return report_rows.filter("pathogen is null and attribute = 'loc'").select(d.alias("diagnostic"), F.try_element_at(said, d).alias("warning"), "n").filter("warning is not null")
+
+
 def histogram(rows: DataFrame, diagnostics: str, group: str = "pathogen") -> DataFrame:
     """``(group, diagnostic, n)`` by group and in all."""
     e = rows.select(group, F.explode(diagnostics).alias("diagnostic"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 import pyarrow as pa
@@ -206,3 +207,109 @@ def harmonize(spark, d):
     """The whole pipeline for all registered pathogens; its steps have their own SQL."""
     request = PL.Request([r[0] for r in seeds.REGISTRY], reference_date=DQ.REFERENCE)
     return PL.final_table(records(spark, d), candidates(spark, d), dimensions(spark, d), request)
+
+
+# ---- the model in the pipeline ---------------------------------------------------------------------------------------
+
+
+def _place_client(request: str) -> str:
+    """A stand-in that knows one country, does not know another kind of place, and fails on the rest."""
+    if "geo" in request:
+        return '{"country": "norvelia"}'
+    if "place" in request:
+        return '{"country": "NA"}'
+    raise TimeoutError
+
+
+@query(
+    f"WITH std AS ({E.ORACLE['std_location']}), r AS (SELECT *, diagnostic = 'model_request' AS asked, row_number() OVER (PARTITION BY diagnostic, request ORDER BY record) = 1 AS first_call FROM std) SELECT record, CASE WHEN asked AND contains(request, 'geo') THEN 'Norvelia' ELSE country END AS country, CASE WHEN NOT asked THEN diagnostic "
+    "WHEN contains(request, 'geo') THEN CASE WHEN first_call THEN 'llm_resolution' ELSE 'cache_resolution' END WHEN contains(request, 'place') THEN 'unmappable_result' ELSE 'recoverable_llm_failure' END AS diagnostic FROM r"
+)
+def location_llm(spark, d):
+    """Locations with the answers of a deterministic stand-in for a model."""
+    from sampleloom.plans.model_stage import Model, Prompts, location_answers
+
+    dims = dimensions(spark, d)
+    model = Model("m-1", _place_client, prompts=Prompts(location_user="Where? {metadata}"))
+    return location_answers(E.places_of(spark, d), model, dims.aliases, dims.remap, dims.official).outcomes.select("record", "country", "diagnostic")
+
+
+_OPEN = "cnt AS (SELECT record, count(*) FILTER (WHERE value <> '') AS n, count(*) FILTER (WHERE value IN (SELECT value FROM direct)) AS h FROM iso GROUP BY record), opened AS (SELECT record FROM cnt WHERE n > 0 AND n <> h)"
+_TERM = "(SELECT max(term) FROM ontology_terms WHERE display_term IS NOT NULL AND term_comment IS NULL)"
+_SAID = E._LINKED.replace("sel AS (SELECT DISTINCT record, term FROM iso JOIN direct USING (value))", f"sel AS (SELECT DISTINCT record, term FROM iso JOIN direct USING (value) UNION SELECT record, {_TERM} FROM opened)")
+
+
+@query(
+    f"WITH {E._ISO}, {E._ONTO}, {E._DIRECT}, {_OPEN}, {_SAID}, {E._RENDER} SELECT c.record, coalesce(display_terms, 'unspecified') AS display_terms, coalesce(term_paths, '') AS term_paths, CASE WHEN o.record IS NOT NULL OR h > 0 THEN 'sample' ELSE 'none' END AS evidence_level, "
+    "CASE WHEN o.record IS NOT NULL THEN 'swab' ELSE '' END AS reasoning FROM cnt c LEFT JOIN rend r ON r.record = c.record LEFT JOIN opened o ON o.record = c.record"
+)
+def isolation_llm(spark, d):
+    """Isolation sources with one more term from a deterministic stand-in for a model, where values are left open."""
+    from sampleloom.operators import isolation as I
+    from sampleloom.plans.model_stage import Model, Prompts, isolation_answers
+
+    ontology = table(spark, d, "ontology_terms")
+    last = ontology.filter("display_term is not null and term_comment is null").agg(F.max(F.struct("term", "display_term"))["display_term"]).first()[0]
+    reply = json.dumps({"terms": [last], "reasoning": "swab", "evidence_level": "sample"})
+    cands = E.iso_candidates(spark, d)
+    model = Model("m-1", lambda request: reply, prompts=Prompts(isolation_user="{metadata}"))
+    got = isolation_answers(I.standardize_isolation(cands, ontology), cands, model, ontology).outcomes
+    return got.select("record", "display_terms", "term_paths", "evidence_level", F.array_join("reasoning", "||").alias("reasoning"))
+
+
+_FULL = f"dates AS ({_STD_DATE}), hosts AS ({_STD_HOST}), places AS ({_STD_LOC}), isos AS ({_STD_ISO})"
+_DIAGNOSED = (
+    "SELECT 'host' AS attribute, h.record AS accession, h.taxid IS NOT NULL AS standardized, h.how AS diagnostic FROM hosts h UNION ALL SELECT 'loc', record, country IS NOT NULL, diagnostic FROM places UNION ALL SELECT 'date', accession, date_start IS NOT NULL, CASE WHEN date_start IS NULL THEN 'none' ELSE 'some' END FROM dates "
+    "UNION ALL SELECT 'iso', record, true, evidence_level FROM isos"
+)
+
+
+def _report(spark, d):
+    std = lambda n: E.QUERIES[n](spark, d)
+    part = lambda df, name, key, ok, said: df.select(F.lit(name).alias("attribute"), F.col(key).alias("accession"), ok.alias("standardized"), F.array(said).alias("diagnostics"))
+    dates = DQ.QUERIES["std_date"](spark, d)
+    parts = (
+        part(std("std_host"), "host", "record", F.col("taxid").isNotNull(), F.col("how")), part(std("std_location"), "loc", "record", F.col("country").isNotNull(), F.col("diagnostic")),
+        part(dates, "date", "accession", F.col("date_start").isNotNull(), F.when(F.col("date_start").isNull(), "none").otherwise("some")), part(std("std_isolation"), "iso", "record", F.lit(True), F.col("evidence_level")),
+    )
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return T.outcome_report(every.join(records(spark, d).select("accession", "pathogen"), "accession"))
+
+
+_REPORT = (
+    f"WITH {_FULL}, every AS ({_DIAGNOSED}), j AS (SELECT e.*, x.pathogen FROM every e JOIN {_RECORDS} x ON x.accession = e.accession), m AS (SELECT attribute, pathogen, unnest(['processed', CASE WHEN standardized THEN 'standardized' ELSE 'rejected' END, 'diagnostic:' || diagnostic]) AS metric FROM j), "
+    "rep AS (SELECT attribute, pathogen, metric, count(*) AS n FROM m GROUP BY GROUPING SETS ((attribute, pathogen, metric), (attribute, metric)))"
+)
+
+
+@query(_REPORT + " SELECT * FROM rep")
+def build_report(spark, d):
+    """Counters and histogram of diagnostics of every attribute, by pathogen and in all."""
+    return _report(spark, d)
+
+
+@query(_REPORT + " SELECT pathogen, max(n) AS n FROM rep WHERE metric = 'processed' GROUP BY pathogen")
+def processed_rows(spark, d):
+    return T.processed_rows(_report(spark, d))
+
+
+_MADE = "SELECT o_orderkey AS accession, 'k' || (o_orderkey % 3) AS pathogen, o_orderkey % 2 = 0 AS standardized, (['cache_hit', 'cache_resolution', 'llm_disabled', 'invalid_llm_response', 'other'])[1 + o_orderkey % 5] AS diagnostic, (['loc', 'iso', 'host'])[1 + o_orderkey % 3] AS attribute FROM orders"
+
+
+def _made(spark, d):
+    k = F.col("o_orderkey")
+    pick = lambda xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (1 + k % len(xs)).cast("int"))
+    t = table(spark, d, "orders").select(k.alias("accession"), F.concat(F.lit("k"), (k % 3).cast("string")).alias("pathogen"), (k % 2 == 0).alias("standardized"), F.array(pick(("cache_hit", "cache_resolution", "llm_disabled", "invalid_llm_response", "other"))).alias("diagnostics"), pick(("loc", "iso", "host")).alias("attribute"))
+    return T.outcome_report(t)
+
+
+@query(f"WITH m AS ({_MADE}) SELECT attribute, count(*) FILTER (WHERE diagnostic IN ('cache_hit', 'cache_resolution')) AS n FROM m WHERE attribute IN ('loc', 'iso') GROUP BY attribute")
+def cache_hit_totals(spark, d):
+    """Answers that came from a cache, by target."""
+    return T.cache_hits(_made(spark, d))
+
+
+@query(f"WITH m AS ({_MADE}) SELECT diagnostic, CASE diagnostic WHEN 'llm_disabled' THEN 'location LLM disabled' ELSE 'invalid location LLM response' END AS warning, count(*) AS n FROM m WHERE attribute = 'loc' AND diagnostic IN ('llm_disabled', 'invalid_llm_response') GROUP BY diagnostic")
+def warning_counts(spark, d):
+    """Conditions that a run got over."""
+    return T.recoverable_warnings(_made(spark, d))
