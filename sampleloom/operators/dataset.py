@@ -57,8 +57,11 @@ def final_columns(attributes: Sequence[str]) -> list[str]:
     return [*BASE_COLUMNS, *(c for a in ("date", "loc", "iso", "host") if a in attributes for c in COLUMNS[a])]
 
 
-def project_final(rows: DataFrame, attributes: Sequence[str], registry: DataFrame, members: DataFrame) -> DataFrame:
-    """The final table: scientific names for keys, catalog membership, blanks for missing outcomes, ``NA`` sublocations."""
+def project_final(rows: DataFrame, attributes: Sequence[str], registry: DataFrame, members: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The final table: scientific names for keys, catalog membership, blanks for missing outcomes, ``NA`` sublocations.
+
+    ``keep`` names further columns, such as the place of a record in its source, that stay behind the others.
+    """
     if unknown := sorted(set(attributes) - COLUMNS.keys()):
         raise ValueError(f"unknown attributes: {', '.join(unknown)}")
     names = dimension(registry.select(F.col("key").alias("pathogen"), F.col("scientific_name").alias("__sci")))
@@ -70,7 +73,7 @@ def project_final(rows: DataFrame, attributes: Sequence[str], registry: DataFram
         if c == "loc_sublocation":
             text = F.when(F.col("loc_country").isNotNull(), F.coalesce(F.nullif(text, F.lit("")), F.lit("NA")))
         out.append(F.coalesce(text, F.lit("")).alias(c))
-    return j.select(*out)
+    return j.select(*out, *keep)
 
 
 def report(rows: DataFrame, selection: DataFrame, flags: dict[str, Column], group: str = "pathogen") -> DataFrame:

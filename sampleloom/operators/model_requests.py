@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sampleloom.session import cut
 
-_REPLY = "fingerprint string, reply string, status string, attempts int, seconds double, input_tokens long, output_tokens long, error string"
+_REPLY = "fingerprint string, reply string, status string, attempts int, seconds double, input_tokens long, output_tokens long, error string, trace string"
 
 
 def canonical_json(value: object) -> str:
@@ -54,10 +54,36 @@ def remember(cache: DataFrame, fresh: DataFrame) -> DataFrame:
     return kept.select("fingerprint", "reply").unionByName(fresh.select("fingerprint", "reply").dropDuplicates(["fingerprint"]))
 
 
+class Observed:
+    """A client over an HTTP transport whose exchanges are seen: ``send (method, url, headers, body) -> (status, headers, body)``.
+
+    ``ask`` turns a request text into the arguments of ``send``, ``read`` its answer into the reply and the tokens. The trace of a
+    call lists its exchanges without secrets and without their bodies.
+    """
+
+    def __init__(self, send: Callable, ask: Callable[[str], tuple], read: Callable[[object], tuple[str, Mapping]]) -> None:
+        self.send, self.ask, self.read = send, ask, read
+
+    def __call__(self, request: str) -> tuple[str, dict]:
+        from sampleloom.run.outputs import sanitize_headers, sanitize_url
+
+        method, url, headers, body = self.ask(request)
+        began = time.monotonic()
+        status, got, answer = self.send(method, url, headers, body)
+        seen = {"method": method, "url": sanitize_url(url), "request_headers": sanitize_headers(headers), "status": status, "response_headers": sanitize_headers(got), "seconds": round(time.monotonic() - began, 6), "request_characters": len(body), "response_characters": len(str(answer))}
+        if status == 408 or status == 504:
+            raise TimeoutError(f"status {status} of {sanitize_url(url)}")
+        if not 200 <= status < 300:
+            raise ConnectionError(f"status {status} of {sanitize_url(url)}")
+        reply, used = self.read(answer)
+        return reply, {**used, "trace": canonical_json([seen])}
+
+
 def call_model(requests: DataFrame, client: Callable[[str], object], attempts: int = 2) -> DataFrame:
     """``(fingerprint, reply, status, attempts, seconds, input_tokens, output_tokens, error)`` of ``requests (fingerprint, request)``, each fingerprint once.
 
-    ``client`` takes the request text and gives the reply, or the reply and a mapping of its tokens; it fails by raising.
+    ``client`` takes the request text and gives the reply, or the reply and a mapping of its tokens and trace (as
+    :class:`Observed` gives them); it fails by raising.
     Failures are rows too, with their sanitised text, and are never put in the cache.
     """
 
@@ -78,7 +104,7 @@ def call_model(requests: DataFrame, client: Callable[[str], object], attempts: i
                         status, error = "timeout", sanitize(f"{type(e).__name__}: {e}")
                     except Exception as e:  # noqa: BLE001 - the kind of failure is the client's
                         status, error = "failed", sanitize(f"{type(e).__name__}: {e}")
-                rows.append((f, reply, status, n, time.monotonic() - began, int(used.get("input_tokens", 0)), int(used.get("output_tokens", 0)), error))
+                rows.append((f, reply, status, n, time.monotonic() - began, int(used.get("input_tokens", 0)), int(used.get("output_tokens", 0)), error, used.get("trace")))
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in _REPLY.split(", ")])
 
     return requests.select("fingerprint", "request").dropDuplicates(["fingerprint"]).mapInPandas(run, _REPLY)

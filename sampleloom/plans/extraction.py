@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from sampleloom.functions import strings as S
 from sampleloom.operators import curation as C
 from sampleloom.operators.index import last_wins
-from sampleloom.run.manifest import provenance, publish
+from sampleloom.run.manifest import provenance
 from sampleloom.session import cut
 from sampleloom.sources import projects as P
 from sampleloom.sources.tables import write_tsv
@@ -76,24 +75,33 @@ def long_candidates(table: DataFrame) -> DataFrame:
 
 
 def write_bundle(e: Extraction, folder: str, staging: str, manifests: dict[str, tuple[str, str]], reviews: bool = True) -> None:
-    """Candidate table, catalog and provenance as one bundle, published last-marker-first; reviews beside it."""
+    """Candidate table, catalog and provenance as one bundle in any store, the marker published last; reviews beside it."""
     import yaml
 
-    stage = Path(staging)
-    stage.mkdir(parents=True, exist_ok=True)
-    write_tsv(e.candidates, str(stage / "extracted_metadata.tsv"), ["accession"])
-    P.write_catalog(e.catalog, str(stage / "bioproject_context.jsonl"))
+    from sampleloom.run.files import Store
+
+    store = Store(e.candidates.sparkSession)
+    stage = lambda n: f"{staging}/{n}"
+    store.make_folder(staging)
+    write_tsv(e.candidates, stage("extracted_metadata.tsv"), ["accession"])
+    P.write_catalog(e.catalog, stage("bioproject_context.jsonl"))
     if reviews:
         for name, df, order in (("unreviewed_attributes.tsv", e.unreviewed, ["target", "family", "norm"]), ("uncertain_rejections.tsv", e.uncertain, ["target", "family", "norm"]), ("unresolved_bioproject_links.tsv", e.unresolved, ["id"])):
             if df.limit(1).count():
-                write_tsv(df, str(Path(folder) / name), order)
-    names = ("extracted_metadata.tsv", "bioproject_context.jsonl")
-    marker = "provenance.yaml"
-    (stage / marker).write_text(yaml.safe_dump(provenance(manifests, {n: stage / n for n in names}), sort_keys=True), encoding="utf-8")
-    publish({n: stage / n for n in (*names, marker)}, folder, marker)
+                write_tsv(df, f"{folder}/{name}", order)
+    names, marker = ("extracted_metadata.tsv", "bioproject_context.jsonl"), "provenance.yaml"
+    store.write_text(stage(marker), yaml.safe_dump(provenance(manifests, {n: stage(n) for n in names}, store.sha256), sort_keys=True))
+    store.publish({n: stage(n) for n in (*names, marker)}, folder, marker)
 
 
 def scan_index(spark: SparkSession, path: str) -> DataFrame:
     from sampleloom.sources.tables import scan_tsv
 
     return scan_tsv(spark, path, "accession string, pathogen_biosample string").withColumn("seq", F.monotonically_increasing_id())
+
+
+def scan_candidates(spark: SparkSession, path: str) -> DataFrame:
+    """A written candidate table with the order of its rows as ``source_position``."""
+    from sampleloom.sources.tables import scan_tsv
+
+    return scan_tsv(spark, path, ", ".join(f"{c} string" for c in COLUMNS)).withColumn("source_position", F.monotonically_increasing_id())

@@ -232,7 +232,9 @@ def build_report(r: Run) -> DataFrame:
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    return T.outcome_report(every.join(r.chosen.select("accession", "pathogen"), "accession"))
+    # every chosen record is processed for every attribute, also one without candidates
+    asked = r.chosen.select("accession", "pathogen", F.explode(F.array(*[F.lit(a) for a in r.outcomes])).alias("attribute"))
+    return T.outcome_report(asked.join(every, ["attribute", "accession"], "left").withColumn("standardized", F.coalesce("standardized", F.lit(False))))
 
 
 def final_table(records: DataFrame, candidates: DataFrame, dims: Dimensions, request: Request) -> DataFrame:

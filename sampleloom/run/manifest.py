@@ -6,7 +6,7 @@ import datetime as dt
 import hashlib
 import os
 import shutil
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -80,24 +80,24 @@ class Snapshot:
                 raise ValueError(f"{self.snapshot_id}: {name} has another hash")
 
 
-def provenance(manifests: Mapping[str, tuple[str, str | Path]], artifacts: Mapping[str, str | Path]) -> dict:
-    """Document of a derived bundle: ``manifests`` name -> (snapshot id, path), ``artifacts`` name -> path."""
+def provenance(manifests: Mapping[str, tuple[str, str | Path]], artifacts: Mapping[str, str | Path], digest: Callable[[object], str] = sha256_of) -> dict:
+    """Document of a derived bundle: ``manifests`` name -> (snapshot id, path), ``artifacts`` name -> path; ``digest`` hashes a file or folder."""
     return {
         "bundle_version": 1,
-        "source_manifests": {k: {"snapshot_id": i, "path": str(p), "sha256": sha256_of(p)} for k, (i, p) in manifests.items()},
-        "artifacts": {k: {"path": Path(p).name, "sha256": sha256_of(p)} for k, p in artifacts.items()},
+        "source_manifests": {k: {"snapshot_id": i, "path": str(p), "sha256": digest(p)} for k, (i, p) in manifests.items()},
+        "artifacts": {k: {"path": Path(p).name, "sha256": digest(p)} for k, p in artifacts.items()},
     }
 
 
-def check_bundle(document: Mapping, folder: str | Path, manifests: Mapping[str, str | Path]) -> None:
+def check_bundle(document: Mapping, folder: str | Path, manifests: Mapping[str, str | Path], digest: Callable[[object], str] = sha256_of) -> None:
     """Every artifact and manifest of the bundle must still be what it was."""
     _exact(document, ("bundle_version", "source_manifests", "artifacts"), (), "bundle")
     for name, entry in document["artifacts"].items():
         path = Path(folder) / entry["path"]
-        if not path.exists() or sha256_of(path) != entry["sha256"]:
+        if not path.exists() or digest(path) != entry["sha256"]:
             raise ValueError(f"bundle: artifact {name} is missing or changed")
     for name, entry in document["source_manifests"].items():
-        if name not in manifests or sha256_of(manifests[name]) != entry["sha256"]:
+        if name not in manifests or digest(manifests[name]) != entry["sha256"]:
             raise ValueError(f"bundle: manifest {name} is missing or changed")
 
 

@@ -21,6 +21,19 @@ def sanitize(text: str, limit: int = 500) -> str:
     return " ".join(_URL_USER.sub(r"\1", _SECRET.sub(r"\1\2[removed]", text)).split())[:limit]
 
 
+_HIDDEN = re.compile(r"(?i)authorization|cookie|token|secret|password|api[-_]?key")
+
+
+def sanitize_url(url: str) -> str:
+    """An address without credentials, with the values of its secret parameters removed."""
+    return re.sub(r"([?&][^=&#]*(?:key|token|secret|password|signature)[^=&#]*=)[^&#]*", r"\1[removed]", _URL_USER.sub(r"\1", url), flags=re.I)
+
+
+def sanitize_headers(headers: Mapping[str, str]) -> dict[str, str]:
+    """Headers by lower-case name, the secret ones without their value."""
+    return {k.lower(): "[removed]" if _HIDDEN.search(k) else sanitize(str(v)) for k, v in sorted(headers.items())}
+
+
 def stable(value: object) -> object:
     """JSON value with enum members as their values and keys in order."""
     if isinstance(value, Enum):
@@ -41,10 +54,10 @@ class Outputs:
     diagnostics: Path
 
     @classmethod
-    def plan(cls, folder: str | Path, name: str, attributes: Sequence[str], with_model: bool) -> "Outputs":
+    def plan(cls, folder: str | Path, name: str, attributes: Sequence[str], with_model: bool, dataset: str | Path | None = None) -> "Outputs":
         f = Path(folder)
         asked = with_model and bool({"iso", "loc"} & set(attributes))
-        return cls(f / f"{name}.tsv", f / f"{name}_reasoning.jsonl" if "iso" in attributes else None, f / f"{name}_prompts.txt" if asked else None, f / f"{name}.log", f / f"{name}_diagnostics.json")
+        return cls(Path(dataset) if dataset else f / f"{name}.tsv", f / f"{name}_reasoning.jsonl" if "iso" in attributes else None, f / f"{name}_prompts.txt" if asked else None, f / f"{name}.log", f / f"{name}_diagnostics.json")
 
     def paths(self) -> list[Path]:
         return [p for p in (self.dataset, self.reasoning, self.prompts, self.log, self.diagnostics) if p is not None]

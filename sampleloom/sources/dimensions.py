@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 from pathlib import Path
 
@@ -56,6 +55,13 @@ def scan_id_lists(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select("*", name.alias("file_name")).filter(F.col("file_name") != "manifest.tsv").withColumn("pathogen", F.regexp_replace("file_name", r"\.tsv\z", ""))
 
 
+def scan_written_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The lists that :func:`write_id_lists` wrote, as :func:`scan_id_lists` gives them."""
+    raw = spark.read.csv(f"{folder}/pathogen=*", sep="\t", header=True, schema=ID_LIST)
+    key = F.regexp_extract("_metadata.file_path", r"/pathogen=([^/]+)/", 1)
+    return raw.select("*", key.alias("file_name"), key.alias("pathogen"))
+
+
 def first_listed(lists: DataFrame) -> DataFrame:
     cell = F.struct("file_name", "pathogen", "taxid", "organism")
     return lists.groupBy("accession").agg(F.min(cell).alias("b")).select("accession", "b.pathogen", "b.taxid", "b.organism")
@@ -73,14 +79,24 @@ def list_manifest(rows: DataFrame, registry: DataFrame, key: str = "pathogen") -
     return out.select("pathogen", "taxid", F.coalesce("n", F.lit(0)).alias("rows"), F.when(F.col("n") > 0, "ok").otherwise("empty").alias("status"))
 
 
+def hashed_manifest(lists: DataFrame, registry: DataFrame, folder: str, source: str, run_date: str) -> list[dict]:
+    """Rows of the manifest of written lists, each with the hash of its list; there is one for each registered key."""
+    from sampleloom.run.files import Store
+
+    store = Store(lists.sparkSession)
+    rows = []
+    for r in list_manifest(lists, registry).orderBy("pathogen").collect():
+        path = f"{folder}/pathogen={r['pathogen']}"
+        rows.append({"pathogen": r["pathogen"], "run_date": run_date, "taxids": str(r["taxid"]), "source": source, "rows": r["rows"], "status": r["status"], "sha256": store.sha256(path) if store.exists(path) else ""})
+    return rows
+
+
 def write_index(index: DataFrame, path: str) -> None:
-    """The index as one table sorted by accession; a table that is there becomes ``*_old``."""
-    p = Path(path)
-    if p.exists():
-        old = p.with_name(f"{p.stem}_old{p.suffix}")
-        if old.exists():
-            import shutil
-
-            shutil.rmtree(old) if old.is_dir() else old.unlink()
-        os.replace(p, old)
-    write_tsv(index.select(*INDEX), str(p), ["accession"])
+    """The index as a table sorted by accession, in any store; a table that is there becomes ``*_old``."""
+    from sampleloom.run.files import Store
+
+    store = Store(index.sparkSession)
+    if store.exists(path):
+        stem, dot, suffix = path.rpartition(".")
+        store.move(path, f"{stem}_old{dot}{suffix}" if dot and "/" not in suffix else f"{path}_old")
+    write_tsv(index.select(*INDEX), path, ["accession"])
