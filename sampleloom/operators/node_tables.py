@@ -297,7 +297,7 @@ def _canonical(doc: bytes) -> bytes:
     return "".join(out).encode()
 
 
-def _bare(doc: bytes) -> bytes | None:
+def bare_markup(doc: bytes) -> bytes | None:
     """The tags of a well-formed document without comments, sections and instructions; null if it is malformed."""
     doc = re.sub(rb"\A<\?xml[^>]*\?>", b"", doc)
     try:
@@ -336,7 +336,7 @@ class Markup(Nodes):
 
 def xml_nodes(docs: list[bytes], code_of) -> Markup:
     """Node table of XML texts; malformed ones have root -1. Only the check for being well-formed is made text by text, in the parser."""
-    bare = [_bare(d) for d in docs]
+    bare = [bare_markup(d) for d in docs]
     j = _Joined([b or b"" for b in bare])
     lt = np.flatnonzero(j.u == 60)
     doc = j.doc_of(lt)

@@ -272,6 +272,21 @@ def nearest_place(spark, d):
     return G.nearest_place(points, seeds.frame(spark, seeds.GAZETTEER, seeds.GAZETTEER_COLUMNS)).select("lat", "lon", "place", "country")
 
 
+_MANY = "gaz AS (SELECT 'p' || p_partkey AS place, 'c' || (p_partkey % 50) AS country, -85 + ((p_partkey * 7919) % 16999) / 100.0 AS lat, -180 + ((p_partkey * 104729) % 35999) / 100.0 AS lon FROM part)"
+
+
+@query(
+    f"WITH {_MANY}, {_XY}, p AS (SELECT DISTINCT lat, lon FROM xy WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180), dist AS (SELECT p.lat, p.lon, g.place, g.country, pow(sin(radians(g.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(g.lat)) * pow(sin(radians(g.lon - p.lon) / 2), 2) AS h FROM p, gaz g) "
+    "SELECT lat, lon, arg_min(place, h) AS place, arg_min(country, h) AS country FROM dist GROUP BY lat, lon"
+)
+def nearest_of_many(spark, d):
+    """The nearest of thousands of places, one for each part."""
+    points = _coords(spark, d).filter("valid").select("lat", "lon")
+    k = F.col("p_partkey")
+    places = table(spark, d, "part").select(F.concat(F.lit("p"), k.cast("string")).alias("place"), F.concat(F.lit("c"), (k % 50).cast("string")).alias("country"), (F.lit(-85) + ((k * 7919) % 16999) / F.lit(100.0)).alias("lat"), (F.lit(-180) + ((k * 104729) % 35999) / F.lit(100.0)).alias("lon"))
+    return G.nearest_place(points, places).select("lat", "lon", "place", "country")
+
+
 _TOKENS = (
     "vals AS (SELECT DISTINCT attr_value AS value FROM curation_decisions WHERE attr_value IS NOT NULL), tok AS (SELECT value, trim(unnest(regexp_split_to_array(regexp_replace(value, '" + SPACE + "+', ' ', 'g'), '[:;,]'))) AS t, generate_subscripts(regexp_split_to_array(regexp_replace(value, '" + SPACE + "+', ' ', 'g'), '[:;,]'), 1) AS i FROM vals), "
     "ctry AS (SELECT value, arg_min(country, i) AS country, arg_min(continent, i) AS continent, arg_min(un_region, i) AS un_region FROM tok JOIN aliases ON alias = lower(t) GROUP BY value)"

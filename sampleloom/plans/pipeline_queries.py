@@ -44,14 +44,21 @@ def _shared(spark: SparkSession, name: str) -> str:
 
 
 def _xml_file(spark: SparkSession, d: str) -> str:
-    """The whole XML payloads as one text source."""
+    """The well-formed XML payloads as one text source."""
     path = _shared(spark, "xml")
-    whole = table(spark, d, "raw_records").filter("payload_format = 'xml' and (rtrim(payload) like '%</Package>' or rtrim(payload) like '%</DocumentSummary>')").select("record_id", "payload").distinct()
-    bare = whole.select(F.regexp_replace("payload", r"<\?xml[^>]*\?>", "").alias("value"))
-    bare.mapInArrow(_rooted, "value string").write.text(path)
+    rows = table(spark, d, "raw_records").filter("payload_format = 'xml' and payload is not null").select("record_id", "payload").distinct()
+    rows.select(F.col("payload").alias("value")).mapInArrow(_well_formed, "value string").mapInArrow(_rooted, "value string").write.text(path)
     return path
 
 
+def _well_formed(batches):
+    from sampleloom.operators.node_tables import bare_markup
+
+    for b in batches:
+        whole = [x.decode() for x in (bare_markup(v.encode()) for v in b.column(0).to_pylist()) if x]
+        yield pa.record_batch([pa.array(whole, pa.string())], names=["value"])
+
+
 def _rooted(batches):
     """One root element around the rows of each partition, so that each file is a document."""
     line = lambda s: pa.record_batch([pa.array([s])], names=["value"])
@@ -60,10 +67,60 @@ def _rooted(batches):
     yield line("</Set>")
 
 
-@query("SELECT count(*) AS samples, count(DISTINCT coalesce(nullif(acc, ''), 'unknown')) AS accessions FROM (SELECT unnest(regexp_extract_all(payload, '<BioSample(?: accession=\"([^\"]*)\")?', 1)) AS acc FROM (SELECT DISTINCT record_id, payload FROM raw_records WHERE payload_format = 'xml' AND (rtrim(payload) LIKE '%</Package>' OR rtrim(payload) LIKE '%</DocumentSummary>')))")
+def _escaped(c):
+    """Text of an element or attribute: what XML 1.0 cannot hold is left out, line ends and tabs are written as references."""
+    c = F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\t", "&#9;"), ("\n", "&#10;"), ("\r", "&#13;")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+def _sample_dump(spark: SparkSession, d: str) -> str:
+    """All decisions as a dump of samples: one element for each accession, decision after decision, with its project as a link."""
+    t = table(spark, d, "curation_decisions").filter("accession is not null").select("decision_id", "accession", "attr_name", "attr_value", "bioproject_accession").distinct()
+    cell = F.struct("decision_id", "attr_name", "attr_value", "bioproject_accession")
+    g = t.groupBy("accession").agg(F.array_sort(F.collect_list(cell)).alias("c"), F.max("decision_id").alias("last"), (F.max("decision_id") % 3).alias("taxid"))
+    named = lambda x: F.when(x["decision_id"] % 2 == 0, F.concat(F.lit(' harmonized_name="'), _escaped(F.coalesce(x["attr_name"], F.lit(""))), F.lit('"'))).otherwise(F.concat(F.lit(' attribute="'), _escaped(F.coalesce(x["attr_name"], F.lit(""))), F.lit('"')))
+    attributes = F.array_join(F.transform("c", lambda x: F.concat(F.lit("<Attribute"), named(x), F.lit(">"), _escaped(F.coalesce(x["attr_value"], F.lit(""))), F.lit("</Attribute>"))), "")
+    links = F.array_join(F.transform("c", lambda x: F.concat(F.lit('<Link target="bioproject">'), F.regexp_replace(F.coalesce(x["bioproject_accession"], F.lit("")), "[^0-9]", ""), F.lit("</Link>"))), "")
+    body = F.concat(
+        F.lit('<BioSample accession="'), _escaped(F.col("accession")), F.lit('" access="public" submission_date="'), F.concat(F.lit("2020-01-01T00:00:"), F.lpad((F.col("last") % 60).cast("string"), 2, "0")), F.lit('"><Description><Organism taxonomy_id="'), F.col("taxid").cast("string"),
+        F.lit('" taxonomy_name="n'), F.col("taxid").cast("string"), F.lit('"/></Description><Attributes>'), attributes, F.lit("</Attributes><Links>"), links, F.lit("</Links></BioSample>"),
+    )
+    path = _shared(spark, "samples")
+    g.select(body.alias("value")).mapInArrow(_rooted, "value string").write.text(path)
+    return path
+
+
+_HELD = "regexp_replace({}, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g')"
+_DUMPED = f"t AS (SELECT DISTINCT decision_id, accession, attr_name, attr_value, bioproject_accession FROM curation_decisions WHERE accession IS NOT NULL), inner_ AS (SELECT accession, decision_id, {_HELD.format('attr_name')} AS attribute, {_HELD.format('attr_value')} AS value FROM t)"
+
+
+@query(
+    f"WITH {_DUMPED}, c AS (SELECT accession, -1 AS i, 'submission_date' AS attribute, '2020-01-01T00:00:' || lpad(CAST(max(decision_id) % 60 AS VARCHAR), 2, '0') AS value, 'biosample_root' AS xml_source, false AS numbered FROM t GROUP BY accession UNION ALL SELECT accession, decision_id, attribute, value, 'attribute', false FROM inner_ WHERE attribute <> '' AND NOT regexp_full_match(value, '[ \\t\\r\\n]*')) "
+    "SELECT accession, row_number() OVER (PARTITION BY accession ORDER BY i, attribute, value) - 1 AS pos, attribute, value, xml_source, (SELECT array_to_string(list_sort(list(DISTINCT regexp_replace(bioproject_accession, '[^0-9]', '', 'g'))), ',') FROM t WHERE t.accession = c.accession AND regexp_replace(bioproject_accession, '[^0-9]', '', 'g') <> '') AS ids FROM c"
+)
 def scan_xml_samples(spark, d):
-    got = xml.scan_samples(spark, _xml_file(spark, d))
-    return got.agg(F.count("*").alias("samples"), F.count_distinct("accession").alias("accessions"))
+    """Every candidate and linked id of all decisions, written as a dump of samples and scanned again."""
+    got = xml.scan_samples(spark, _sample_dump(spark, d))
+    return got.select("accession", F.posexplode("candidates").alias("pos", "c"), F.array_join("project_ids", ",").alias("ids")).select("accession", F.col("pos").cast("long").alias("pos"), "c.*", F.nullif("ids", F.lit("")).alias("ids"))
+
+
+@query(
+    "WITH t AS (SELECT accession, max(decision_id) % 3 AS taxid FROM curation_decisions WHERE accession <> '' GROUP BY accession), scope AS (SELECT DISTINCT accession FROM accession_index WHERE in_atb = 'True') "
+    "SELECT accession, CASE taxid WHEN 1 THEN 'one' WHEN 2 THEN 'two' END AS pathogen, CAST(taxid AS VARCHAR) AS taxid, 'n' || taxid AS organism FROM t WHERE taxid <> 0 UNION ALL SELECT accession, NULL, NULL, NULL FROM t WHERE taxid = 0 AND accession IN (SELECT accession FROM scope)"
+)
+def subset_xml(spark, d):
+    """Id lists by taxid and, with null pathogen, the elements that only the scope of the catalog keeps; the written subset is scanned again."""
+    from sampleloom.plans import subset
+
+    closed = spark.createDataFrame([(1, "one"), (2, "two")], "taxid long, key string")
+    scope = table(spark, d, "accession_index").filter("in_atb = 'True'").select("accession")
+    got = subset.select_samples(subset.raw_samples(spark, _sample_dump(spark, d)), closed, scope)
+    path = _shared(spark, "subset")
+    subset.write_subset(got.elements, path)
+    again = xml.scan_samples(spark, path).select("accession")
+    return again.join(got.lists, "accession", "left").select("accession", "pathogen", "taxid", "organism")
 
 
 @query()

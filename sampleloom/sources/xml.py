@@ -42,7 +42,7 @@ def candidates_of(root: dict[str, Column], inner: Column) -> Column:
 def scan_samples(spark: SparkSession, path: str) -> DataFrame:
     """One row per ``BioSample`` element of a plain or compressed file: accession (``unknown`` if absent), candidates, project ids.
 
-    A compressed file is one task; spread the rows right after the scan if it is large.
+    Values keep their spaces; one of white space alone counts as none. A compressed file is one task; spread the rows right after the scan if it is large.
     """
     raw = _scan(spark, path, "BioSample", SAMPLE_SCHEMA)
     inner = F.transform("Attributes.Attribute", lambda a: F.struct(a["_harmonized_name"].alias("harmonized"), a["_attribute"].alias("attribute"), a["_VALUE"].alias("value")))
