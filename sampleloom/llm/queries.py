@@ -12,6 +12,7 @@ from sampleloom.llm.langid import language_segments, wrong_or_mixed
 from sampleloom.llm.packing import pack
 from sampleloom.llm.term_counts import mark_terms, term_counts
 from sampleloom.operators.wide_table import attributes_of
+from sampleloom.plans.folding import SPACE, complete, forms
 from sampleloom.session import cut, shipped, table
 
 
@@ -84,6 +85,17 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return wrong_or_mixed(p8_segments(spark, d), _languages(spark, d)).select("doc_id", "seg_no", "lang")
 
 
+_DISTINCT = "(SELECT DISTINCT decision_id, accession, attr_value, events FROM curation_decisions)"
+_TEXTS = forms("SELECT attr_value AS v FROM curation_decisions UNION ALL SELECT unnest(events).normalized_attribute FROM curation_decisions", "tf")
+_OCCURRENCES = (
+    f"o AS (SELECT 'attr_value' AS field_name, decision_id, accession, 1 AS place, attr_value AS v FROM {_DISTINCT} UNION ALL SELECT 'normalized_attribute', decision_id, accession, unnest(range(1, len(events) + 1)), unnest(events).normalized_attribute FROM {_DISTINCT}), "
+    f"k AS (SELECT field_name, shown AS term, accession, decision_id, place FROM o JOIN tf USING (v) WHERE shown <> '' AND NOT regexp_full_match(accession, '{SPACE}*') GROUP BY ALL), n AS (SELECT count(DISTINCT accession) AS n FROM curation_decisions WHERE NOT regexp_full_match(accession, '{SPACE}*')), "
+    "t AS (SELECT field_name, term, count(*) AS occurrences, count(DISTINCT accession) AS records FROM k GROUP BY field_name, term), m AS (SELECT t.*, CASE WHEN records < 3 THEN 'rare' WHEN records > 0.02 * n THEN 'common' END AS mark FROM t, n)"
+)
+
 _ALL = (p4_found, p5_found, p5_terms, p6_ids, p7_containers, p8_found, p8_segments)
 QUERIES = {f.__name__: shipped(f) for f in _ALL}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "p5_terms": complete(f"WITH {_TEXTS}, {_OCCURRENCES} SELECT field_name, term, occurrences, records, mark FROM m"),
+    "p5_found": complete(f"WITH {_TEXTS}, {_OCCURRENCES} SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL"),
+}
