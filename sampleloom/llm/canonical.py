@@ -142,7 +142,7 @@ class Lexicon:
 
     def compile(self) -> "Lexicon":
         self.automaton = ahocorasick.Automaton()
-        self.by_word: dict[str, list[tuple[str, ...]]] = {}
+        self.by_word: dict[str, list[tuple[str, frozenset[str]]]] = {}
         self.squeezed: dict[str, str] = {}
         for name in self.names:
             self.automaton.add_word(f" {name} ", name)
@@ -150,7 +150,7 @@ class Lexicon:
             if any(ch.isdigit() for ch in name):
                 continue  # ids and codes are only meant as they stand
             for w in set(tokens):
-                self.by_word.setdefault(w, []).append(tokens)
+                self.by_word.setdefault(w, []).append((name, frozenset(tokens)))
             if len(tokens) > 1:
                 self.squeezed["".join(tokens)] = name
         self.automaton.make_automaton() if len(self.automaton) else None
@@ -240,26 +240,24 @@ class Lexicon:
         """Names whose token set is among ``tokens``, with nothing but link words between."""
         bare = [t.rstrip(".") for t in tokens]
         read = [self.readings(t, b in known) if t != "|" else {} for t, b in zip(tokens, bare)]
+        there = set().union(*read)
         out: list[Option] = []
         offer = lambda cost, gap, places, name: out.append((len(places) == 1 and " " not in name, cost, gap, places, name, tuple(sorted(self.names[name]))))
         for i, r in enumerate(read):
             for w, cost in r.items():
                 if w in self.squeezed:
                     offer(cost, 0, (i,), self.squeezed[w])
-                for name in self.by_word.get(w, ()):
-                    need = set(name)
+                for name, need in self.by_word.get(w, ()):
                     if len(need) == 1:
-                        if len(name) == 1:
-                            offer(cost, 0, (i,), name[0])
-                        continue
-                    places = self._places(i, w, cost, need, bare, read)
-                    if places:
+                        if name == w:
+                            offer(cost, 0, (i,), name)
+                    elif need <= there and (places := self._places(i, w, cost, need, bare, read)):
                         total, where = places
-                        offer(total, max(where) - min(where), tuple(sorted(where)), " ".join(name))
+                        offer(total, max(where) - min(where), tuple(sorted(where)), name)
         return out
 
     @staticmethod
-    def _places(i: int, w: str, cost: int, need: set[str], bare: list[str], read: list[dict[str, int]]) -> tuple[int, list[int]] | None:
+    def _places(i: int, w: str, cost: int, need: frozenset[str], bare: list[str], read: list[dict[str, int]]) -> tuple[int, list[int]] | None:
         """Cost and tokens of the other words of a name around its word ``w`` at ``i``: the cheapest, then the nearest of each."""
         reach = [i, i]
         for side, step in ((0, -1), (1, 1)):
