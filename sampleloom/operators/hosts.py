@@ -119,16 +119,29 @@ def rank_of(attribute: Column) -> Column:
     return out.when(a == "host", ATTRIBUTE_RANK["host"]).otherwise(OTHER_RANK)
 
 
+def _candidate() -> Column:
+    """A matched row as a struct that orders by score, earlier taxon of the table, attribute rank and position."""
+    return F.struct((-F.col("score")).alias("neg"), "table_priority", rank_of(F.col("attribute")).alias("rank"), "pos", "taxid", "scientific_name", "score", "attribute", "value", "match_tier", "names")
+
+
+_SEVERAL = "min(taxid) <> max(taxid)"
+
+
+def _flags() -> tuple[Column, Column]:
+    """Whether the best candidate ``b`` of a record is uncertain, and why."""
+    subset, ambiguous = F.col("b.match_tier") != "", F.size("b.names") > 0
+    why = F.filter(F.array(F.when(subset, "subset_match"), F.when(ambiguous, "ambiguous_subset"), F.when(F.col("several"), "attribute_disagreement")), lambda x: x.isNotNull())
+    return subset | ambiguous | F.col("several"), why
+
+
 def best_candidate(matched: DataFrame) -> DataFrame:
     """Winner of each record among ``matched (record, pos, attribute, value, ...match)`` with its flags, by partial aggregation.
 
     Higher score, then earlier taxon of the table, then attribute rank, then position.
     """
-    order = F.struct((-F.col("score")).alias("neg"), "table_priority", rank_of(F.col("attribute")).alias("rank"), "pos", "taxid", "scientific_name", "score", "attribute", "value", "match_tier", "names")
-    g = matched.groupBy("record").agg(F.min(order).alias("b"), (F.min("taxid") != F.max("taxid")).alias("several"))
-    subset, ambiguous = F.col("b.match_tier") != "", F.size("b.names") > 0
-    flags = F.filter(F.array(F.when(subset, "subset_match"), F.when(ambiguous, "ambiguous_subset"), F.when(F.col("several"), "attribute_disagreement")), lambda x: x.isNotNull())
-    return g.select("record", "b.taxid", "b.scientific_name", "b.score", "b.pos", "b.attribute", "b.value", "b.match_tier", (subset | ambiguous | F.col("several")).alias("low_confidence"), flags.alias("flags"))
+    g = matched.groupBy("record").agg(F.min(_candidate()).alias("b"), F.expr(_SEVERAL).alias("several"))
+    low, why = _flags()
+    return g.select("record", "b.taxid", "b.scientific_name", "b.score", "b.pos", "b.attribute", "b.value", "b.match_tier", low.alias("low_confidence"), why.alias("flags"))
 
 
 def standardize_hosts(cands: DataFrame, taxa: DataFrame, preempt: DataFrame, ignored: Sequence[str], keywords: Sequence[str], curated: DataFrame | None = None) -> DataFrame:
@@ -138,18 +151,25 @@ def standardize_hosts(cands: DataFrame, taxa: DataFrame, preempt: DataFrame, ign
     on to the isolation step). Without ``keywords`` this is the retry. Null values count as empty.
     """
     rows = cands.select("record", "pos", S.strip(F.coalesce("attribute", F.lit(""))).alias("attribute"), F.coalesce("value", F.lit("")).alias("value"))
-    preempted = rows.filter(keyword_hit(F.array("value"), keywords).isNotNull()).select("record").distinct().withColumn("keyword", F.lit(True)) if keywords else None
-    decided = decisions(rows, preempt)
-    keyed = rows.withColumn("norm", normal_value(F.col("value"), ignored)).withColumn("by_taxid", F.lower("attribute") == "host_taxid")
-    found = keyed.join(match_values(keyed.select("norm", "by_taxid"), taxa, term_table(taxa, curated)), ["norm", "by_taxid"])
-    best = best_candidate(found)
-    records = rows.groupBy("record").agg(F.bool_or(S.strip(F.col("value")) != "").alias("has_value"))
-    out = records.join(best, "record", "left").join(decided, "record", "left")
-    out = out.join(preempted, "record", "left") if preempted is not None else out.withColumn("keyword", F.lit(False))
+    keyword = keyword_hit(F.array("value"), keywords).isNotNull() if keywords else F.lit(False)
+    # all that is said of a row stands on it before the one grouping by record
+    keyed = rows.select("*", normal_value(F.col("value"), ignored).alias("norm"), (F.lower("attribute") == "host_taxid").alias("by_taxid"), S.norm_host(F.col("value")).alias("norm_value"), keyword.alias("keyword"))
+    said = dimension(preempt.select("norm_value", F.col("taxid").alias("__forced"), F.lit(True).alias("__said")))
+    matched = match_values(keyed.select("norm", "by_taxid"), taxa, term_table(taxa, curated))
+    j = keyed.join(said, "norm_value", "left").join(matched, ["norm", "by_taxid"], "left")
+    g = j.groupBy("record").agg(
+        F.bool_or("keyword").alias("keyword"), F.bool_or(S.strip(F.col("value")) != "").alias("has_value"), F.bool_or(F.coalesce("__said", F.lit(False)) & F.col("__forced").isNull()).alias("rejected"),
+        F.min(F.when(F.col("__forced").isNotNull(), F.struct("pos", F.col("__forced").alias("forced"), "attribute", S.strip(F.col("value")).alias("value")))).alias("f"),
+        F.min(F.when(F.col("taxid").isNotNull(), _candidate())).alias("b"), F.expr(_SEVERAL).alias("several"),
+    )
+    low, why = _flags()
+    out = g.select(
+        "record", "keyword", "has_value", "rejected", F.col("f.forced").alias("forced"), F.col("f.attribute").alias("__fa"), F.col("f.value").alias("__fv"), "b.taxid", "b.scientific_name", "b.score", "b.attribute", "b.value",
+        low.alias("low_confidence"), why.alias("flags"),
+    )
     names = dimension(taxa.select(F.col("taxid").alias("forced"), F.col("scientific_name").alias("__fn")))
-    forced_row = rows.select("record", F.col("pos").alias("forced_pos"), F.col("attribute").alias("__fa"), S.strip(F.col("value")).alias("__fv"))
-    out = out.join(names, "forced", "left").join(forced_row, ["record", "forced_pos"], "left")
-    keyword, rejected = F.coalesce("keyword", F.lit(False)), F.coalesce("rejected", F.lit(False))
+    out = out.join(names, "forced", "left")
+    keyword, rejected = F.col("keyword"), F.col("rejected")
     forced = ~keyword & ~rejected & F.col("forced").isNotNull()
     usual = ~keyword & ~rejected & F.col("forced").isNull() & F.col("taxid").isNotNull()
     pick = lambda f, u: F.when(forced, f).when(usual, u)

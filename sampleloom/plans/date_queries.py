@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sampleloom.functions import dates as D
 from sampleloom.operators.date_records import reduce_dates
-from sampleloom.session import table
+from sampleloom.session import spread, table
 
 REFERENCE = dt.date(2025, 6, 30)
 QUERIES: dict = {}
@@ -156,7 +156,7 @@ _SAMPLED = f"CASE WHEN n > 1 THEN {_WIDTH.format('samp.s', 'samp.e')} ELSE samp.
 def date_candidates(spark: SparkSession, d: str) -> DataFrame:
     """``(accession, pos, attribute, value, category)``; copies of a candidate are one."""
     rows = table(spark, d, "date_origins").filter("accession is not null and trim(accession) <> '' and attr_value is not null and attr_name is not null")
-    return rows.groupBy("accession", F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"), "category").agg(F.min("origin_id").alias("pos"))
+    return spread(rows, "accession", "attr_value").groupBy("accession", F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"), "category").agg(F.min("origin_id").alias("pos"))
 
 
 def date_records(spark: SparkSession, d: str) -> DataFrame:

@@ -17,7 +17,7 @@ from sampleloom.plans import pipeline as PL
 from sampleloom.plans import seeds
 from sampleloom.plans.folding import strip
 from sampleloom.plans.relational_queries import REG, registry
-from sampleloom.session import ensure_checkpoint_dir, table
+from sampleloom.session import ensure_checkpoint_dir, spread, table
 from sampleloom.sources import tables, xml
 
 QUERIES: dict = {}
@@ -253,7 +253,7 @@ def dimensions(spark: SparkSession, d: str) -> PL.Dimensions:
 def candidates(spark: SparkSession, d: str) -> DataFrame:
     """``(record, pos, target, attribute, value, category)`` of all four targets."""
     dates = table(spark, d, "date_origins").filter("accession is not null and trim(accession) <> '' and attr_value is not null and attr_name is not null")
-    dates = dates.groupBy(F.col("accession").alias("record"), F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"), "category").agg(F.min("origin_id").alias("pos"))
+    dates = spread(dates, "accession", "attr_value").groupBy(F.col("accession").alias("record"), F.col("attr_name").alias("attribute"), F.col("attr_value").alias("value"), "category").agg(F.min("origin_id").alias("pos"))
     out = dates.select("record", "pos", F.lit("date").alias("target"), "attribute", "value", "category")
     rest = E.curated(spark, d).select("record", "pos", "target", "attribute", "value", F.lit("").alias("category")).distinct()
     return out.unionByName(rest)
