@@ -1,7 +1,8 @@
 """Host standardisation: exact tiers, whole-word containment, forced and rejected values, ranking.
 
-Values are matched once per distinct normal form and joined back. The containment join is an equi join on words: a term
-is inside a value if all its distinct words are, so no pairs of values and terms are formed beyond shared words.
+Values are matched once per distinct normal form and joined back. The containment join is an equi join on the rarest word
+of a term: a term is inside a value if all its distinct words are, so no pairs are formed but of values and terms that share
+that word.
 """
 
 from __future__ import annotations
@@ -54,10 +55,16 @@ def exact_terms(terms: DataFrame) -> DataFrame:
 
 
 def word_index(terms: DataFrame) -> DataFrame:
-    """``(word, norm_term, n_words, n_raw, taxid, ...)`` of the terms that may be found inside a value."""
-    best = _winner(terms.filter("for_subset"))
+    """``(word, norm_term, words, n_raw, taxid, ...)`` of the terms that may be found inside a value, each under its rarest word.
+
+    So no term meets a value for the sake of a word that many terms have.
+    """
     words = F.split("norm_term", " ")
-    return best.select("*", F.size(F.array_distinct(words)).alias("n_words"), F.size(words).alias("n_raw"), F.explode(F.array_distinct(words)).alias("word"))
+    best = _winner(terms.filter("for_subset")).select("*", F.array_distinct(words).alias("words"), F.size(words).alias("n_raw"))
+    each = best.select("norm_term", F.explode("words").alias("word"))
+    often = each.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = each.join(often, "word").groupBy("norm_term").agg(F.min(F.struct("n", "word"))["word"].alias("word"))
+    return best.join(rarest, "norm_term").select("word", "norm_term", "words", "n_raw", "taxid", "scientific_name", "table_priority")
 
 
 def normal_value(value: Column, ignored: Sequence[str]) -> Column:
@@ -71,9 +78,9 @@ def contained_terms(values: DataFrame, index: DataFrame) -> DataFrame:
     earliest of the table is taken and all names are kept in ``names``.
     """
     words = S.words_of(F.col("norm"))
-    exploded = values.select("norm", F.size(words).alias("n_value"), F.explode(S.digit_variants(F.array_distinct(words))).alias("word"))
-    hit = exploded.join(dimension(index), "word").groupBy("norm", "norm_term").agg(F.count_distinct("word").alias("n"), *[F.first(c).alias(c) for c in ("n_value", "n_words", "n_raw", "taxid", "scientific_name", "table_priority")])
-    whole = hit.filter((F.col("n") == F.col("n_words")) & ((F.col("n_raw") == 1) | (F.col("n_raw") <= F.col("n_value"))))
+    read = values.select("norm", F.size(words).alias("n_value"), S.digit_variants(F.array_distinct(words)).alias("read"))
+    hit = read.select("*", F.explode("read").alias("word")).join(dimension(index), "word")
+    whole = hit.filter((F.size(F.array_except("words", "read")) == 0) & ((F.col("n_raw") == 1) | (F.col("n_raw") <= F.col("n_value"))))
     taxon = F.struct("table_priority", "taxid", "scientific_name")
     g = whole.groupBy("norm").agg(F.collect_set(F.when(F.col("n_raw") > 1, taxon)).alias("many"), F.collect_set(F.when(F.col("n_raw") == 1, taxon)).alias("single"))
     multi = F.size("many") > 0

@@ -154,6 +154,14 @@ PERMITTED = {"sample_only": (SAMPLE, NONE), "project_only": (PROJECT, NONE), "co
 REPLY = "terms array<string>, reasoning string, evidence_level string"
 
 
+def reply_schema(shown: list[str], mode: str) -> dict:
+    """JSON schema of a reply to a request of ``mode``: display terms of the ontology, a reasoning and the evidence it may claim."""
+    return {
+        "type": "object", "additionalProperties": False, "required": ["terms", "reasoning", "evidence_level"],
+        "properties": {"terms": {"type": "array", "items": {"type": "string", "enum": sorted(set(shown))}}, "reasoning": {"type": "string"}, "evidence_level": {"type": "string", "enum": list(PERMITTED[mode])}},
+    }
+
+
 def read_replies(replies: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(record, terms, reasoning, claimed, problem)`` of ``replies (record, request_mode, reply)``.
 
