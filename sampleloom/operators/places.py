@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from sampleloom.functions import strings as S
 from sampleloom.operators.ranking import dimension
-from sampleloom.session import cut
 
 NA = "NA"
 _NUMBER = r"(-?[0-9]+\.?[0-9]*)"
@@ -23,21 +22,26 @@ PAIR = rf"(?U){_NUMBER}\s*[,/]\s*{_NUMBER}"
 DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.category(c) == "Nd")
 
 
+def _read_coordinates(c: Column) -> Column:
+    """One-item list of ``(lat, lon, looks, valid)``; each step is bound to a variable, so that a text is searched once for each writing."""
+    plain = F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(c, DIGITS, "0123456789" * (len(DIGITS) // 10))).otherwise(c)
+    seen = F.transform(F.array(plain), lambda x: F.struct(x.alias("x"), x.rlike(HEMISPHERES).alias("named"), x.rlike(PAIR).alias("pair")))
+    num = lambda s, p, g: F.regexp_extract(s["x"], p, g).try_cast("double")
+    sign = lambda s, g, minus: F.when(F.upper(F.regexp_extract(s["x"], HEMISPHERES, g)) == minus, -1.0).otherwise(1.0)
+    of = lambda s, n, g, minus, k: F.when(s["named"], num(s, HEMISPHERES, n) * sign(s, g, minus)).when(s["pair"], num(s, PAIR, k))
+    point = F.transform(seen, lambda s: F.struct(of(s, 1, 2, "S", 1).alias("lat"), of(s, 3, 4, "W", 2).alias("lon"), F.coalesce(s["named"] | s["pair"], F.lit(False)).alias("looks")))
+    ok = lambda p: F.coalesce(p["lat"].between(-90, 90) & p["lon"].between(-180, 180), F.lit(False))
+    return F.transform(point, lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), p["looks"].alias("looks"), ok(p).alias("valid")))
+
+
 def coordinates(c: Column) -> Column:
     """Struct ``(lat, lon, looks, valid)``; nulls if no writing is found in the text."""
-    c = F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(c, DIGITS, "0123456789" * (len(DIGITS) // 10))).otherwise(c)
-    named, pair = c.rlike(HEMISPHERES), c.rlike(PAIR)
-    num = lambda p, g: F.regexp_extract(c, p, g).try_cast("double")
-    sign = lambda g, minus: F.when(F.upper(F.regexp_extract(c, HEMISPHERES, g)) == minus, -1.0).otherwise(1.0)
-    lat = F.when(named, num(HEMISPHERES, 1) * sign(2, "S")).when(pair, num(PAIR, 1))
-    lon = F.when(named, num(HEMISPHERES, 3) * sign(4, "W")).when(pair, num(PAIR, 2))
-    ok = lat.between(-90, 90) & lon.between(-180, 180)
-    return F.struct(lat.alias("lat"), lon.alias("lon"), F.coalesce(named | pair, F.lit(False)).alias("looks"), F.coalesce(ok, F.lit(False)).alias("valid"))
+    return _read_coordinates(c)[0]
 
 
 def with_coordinates(rows: DataFrame, column: str) -> DataFrame:
     """Adds ``lat``, ``lon``, ``looks`` and ``valid`` of a text column; inlined, so that the text is searched once."""
-    return rows.select("*", F.inline(F.array(coordinates(F.coalesce(F.col(column), F.lit(""))))))
+    return rows.select("*", F.inline(_read_coordinates(F.coalesce(F.col(column), F.lit("")))))
 
 
 def great_circle(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -91,13 +95,13 @@ def nearest_place(points: DataFrame, gazetteer: DataFrame) -> DataFrame:
     taken = places.select("r", "c").distinct().toArrow()  # one row per cell of the globe at most
     cells = np.stack([np.asarray(taken.column(0)), np.asarray(taken.column(1))], axis=1).astype(np.int64)
     held = dimension(places)
-    best = F.min(F.struct(great_circle(F.col("lat"), F.col("lon"), F.col("__a"), F.col("__o")).alias("degrees"), "place", "country")).alias("b")
+    met = F.when(F.col("__a").isNotNull(), F.struct(great_circle(F.col("lat"), F.col("lon"), F.col("__a"), F.col("__o")).alias("degrees"), "place", "country")).alias("b")
     r, c = _cell(F.col("lat"), F.col("lon"))
     around = F.array(*[F.struct((r + i).cast("int").alias("r"), F.pmod(c + j, F.lit(360)).cast("int").alias("c")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    near = points.select("lat", "lon", F.inline(around)).join(held, ["r", "c"], "left").groupBy("lat", "lon").agg(best)
-    near = cut(near.select("lat", "lon", F.when(F.col("b.place").isNotNull() | F.col("b.country").isNotNull(), F.col("b")).alias("b")))
+    # read twice below from one shuffle
+    near = points.select("lat", "lon", F.inline(around)).join(held, ["r", "c"], "left").groupBy("lat", "lon").agg(F.min(met).alias("b"))
     more = near.select("lat", "lon", "b.degrees").mapInArrow(_cells_to_visit(cells), "lat double, lon double, r int, c int")
-    far = more.join(held, ["r", "c"]).groupBy("lat", "lon").agg(best)
+    far = more.join(held, ["r", "c"]).select("lat", "lon", met)
     both = near.filter("b is not null").unionByName(far).groupBy("lat", "lon").agg(F.min("b").alias("b"))
     return both.select("lat", "lon", "b.place", "b.country", "b.degrees")
 
