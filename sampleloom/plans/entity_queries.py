@@ -492,7 +492,13 @@ def _stand_in(request: str) -> tuple[str, dict]:
     return '{"country": "Norvelia"}', {"input_tokens": len(request), "output_tokens": 2}
 
 
-@query()
+_OPENED = "cnt AS (SELECT record, count(*) FILTER (WHERE value <> '') AS n, count(*) FILTER (WHERE value IN (SELECT value FROM direct)) AS h FROM iso GROUP BY record), opened AS (SELECT record FROM cnt WHERE n > 0 AND n <> h)"
+
+
+@query(
+    f"WITH {_ISO}, {_ONTO}, {_DIRECT}, {_OPENED}, b AS (SELECT record, 'Metadata:' || chr(10) || string_agg(attribute || ' = ' || value, chr(10) ORDER BY pos, attribute, value) AS block FROM iso JOIN opened USING (record) WHERE value <> '' GROUP BY record) "
+    "SELECT record, 'sample_only' AS request_mode, sha256('{\"messages\":[{\"content\":\"Choose terms.\",\"role\":\"system\"},{\"content\":' || to_json(block) || ',\"role\":\"user\"}],\"model\":\"m-1\",\"parameters\":{\"temperature\":0},\"response_schema_id\":\"terms:1\"}') AS fingerprint FROM b"
+)
 def iso_llm(spark, d):
     """Requests that a model would get for records that direct matches do not cover, and their fingerprints."""
     c = iso_candidates(spark, d)

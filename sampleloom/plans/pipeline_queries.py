@@ -291,13 +291,12 @@ def location_llm(spark, d):
     return location_answers(E.places_of(spark, d), model, dims.aliases, dims.remap, dims.official).outcomes.select("record", "country", "diagnostic")
 
 
-_OPEN = "cnt AS (SELECT record, count(*) FILTER (WHERE value <> '') AS n, count(*) FILTER (WHERE value IN (SELECT value FROM direct)) AS h FROM iso GROUP BY record), opened AS (SELECT record FROM cnt WHERE n > 0 AND n <> h)"
 _TERM = "(SELECT max(term) FROM ontology_terms WHERE display_term IS NOT NULL AND term_comment IS NULL)"
 _SAID = E._LINKED.replace("sel AS (SELECT DISTINCT record, term FROM iso JOIN direct USING (value))", f"sel AS (SELECT DISTINCT record, term FROM iso JOIN direct USING (value) UNION SELECT record, {_TERM} FROM opened)")
 
 
 @query(
-    f"WITH {E._ISO}, {E._ONTO}, {E._DIRECT}, {_OPEN}, {_SAID}, {E._RENDER} SELECT c.record, coalesce(display_terms, 'unspecified') AS display_terms, coalesce(term_paths, '') AS term_paths, CASE WHEN o.record IS NOT NULL OR h > 0 THEN 'sample' ELSE 'none' END AS evidence_level, "
+    f"WITH {E._ISO}, {E._ONTO}, {E._DIRECT}, {E._OPENED}, {_SAID}, {E._RENDER} SELECT c.record, coalesce(display_terms, 'unspecified') AS display_terms, coalesce(term_paths, '') AS term_paths, CASE WHEN o.record IS NOT NULL OR h > 0 THEN 'sample' ELSE 'none' END AS evidence_level, "
     "CASE WHEN o.record IS NOT NULL THEN 'swab' ELSE '' END AS reasoning FROM cnt c LEFT JOIN rend r ON r.record = c.record LEFT JOIN opened o ON o.record = c.record"
 )
 def isolation_llm(spark, d):
